@@ -111,7 +111,8 @@ def split_bad(
     """
     flagged = T.StructType([*schema.fields, T.StructField(BAD, T.StringType())])
     text = F.col(column).cast("string")
-    parsed = df.select(*keep, text.alias("__text"), F.from_json(text, flagged).alias("data"))
+    data = F.from_json(text, flagged, {"columnNameOfCorruptRecord": BAD})
+    parsed = df.select(*keep, text.alias("__text"), data.alias("data"))
     is_bad = F.col("__text").isNull() | F.col(f"data.{BAD}").isNotNull()
     good = parsed.filter(~is_bad).select(*keep, *[F.col(f"data.{f.name}") for f in schema])
     bad = parsed.filter(is_bad).select(*keep, F.col("__text").alias("bad_value"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidestar.functions.decode import conform, micros_to_ts, record_key, unwrap_cdc
+from tidestar.storage import parents_of
 
 MARKS = ["__op", "__ts_ms", "__lsn", "__deleted", "__offset"]
 
@@ -41,10 +42,7 @@ def replica_changes(
 
 def _versions(spark: SparkSession, root: str) -> list[int]:
     """Complete versions under a folder: those whose write committed."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{root}/v=*/_SUCCESS")
-    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
-    return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in found or [])
+    return sorted(int(name.split("=")[1]) for name in parents_of(spark, f"{root}/v=*/_SUCCESS"))
 
 
 def current_version(spark: SparkSession, root: str) -> int | None:

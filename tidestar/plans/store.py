@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,13 +16,20 @@ from tidestar.functions.derive import with_datetime_hash
 from tidestar.operators.changes import rows_to_insert
 from tidestar.operators.star import build_dim_datetime
 from tidestar.plans.star import code_dimensions
+from tidestar.storage import make_folder
 
-# dim_datetime grows with the data, so it is laid out by pickup day, in columns it has anyway.
-DAY_PARTS = ["pickup_year", "pickup_month", "pickup_day"]
-PICKUP_DATE = T.StructField("pickup_date", T.DateType())
-BATCH = [T.StructField("run", T.StringType()), T.StructField("batch_id", T.LongType())]
+# The two tables that grow with the data are laid out by pickup month, and sorted by time inside their files,
+# whose statistics then narrow a read to days. Months keep folders large enough when a batch spans years.
+MONTH = ["pickup_year", "pickup_month"]
+BATCH = schemas.struct((schemas.TEXT, "run"), (schemas.LONG, "batch_id"))
+PICKUP = schemas.struct((schemas.INT, "pickup_year pickup_month"), (T.DateType(), "pickup_date"))
 CODE_KEYS = [key for name, key in schemas.DIM_KEYS.items() if name != "dim_datetime"]
-LAYOUTS = {"dim_datetime": DAY_PARTS, "fact_trips": ["run", "batch_id", "pickup_date"]}
+
+
+def _months_between(first: date, last: date) -> Column:
+    """Folders that can hold rows of the days from first to last."""
+    month = F.col("pickup_year") * 12 + F.col("pickup_month")
+    return month.between(*[d.year * 12 + d.month for d in (first, last)])
 
 
 @dataclass(frozen=True)
@@ -30,7 +37,7 @@ class StarStore:
     """The star under one folder.
 
     Dimensions take only keys they lack, so loading a batch twice adds nothing.
-    The fact is laid out by run, batch and pickup day, and a batch overwrites
+    The fact is laid out by run, batch and pickup month, and a batch overwrites
     its own folder, so loading it twice leaves it once. Dimensions are written
     before the fact: whatever fact is visible has its dimension rows. One
     writer at a time.
@@ -43,22 +50,30 @@ class StarStore:
         return f"{self.root.rstrip('/')}/{table}"
 
     def stored_schema(self, table: str) -> T.StructType:
-        extra = [*BATCH, PICKUP_DATE] if table == "fact_trips" else []
+        extra = [*PICKUP, *BATCH] if table == "fact_trips" else []
         return T.StructType([*schemas.STAR_TABLES[table].fields, *extra])
 
     def create(self, spark: SparkSession) -> None:
         """Lay down empty tables where there are none."""
         for name in schemas.STAR_TABLES:
-            empty = spark.createDataFrame([], self.stored_schema(name))
-            empty.write.mode("ignore").partitionBy(*LAYOUTS.get(name, [])).parquet(self.path(name))
+            make_folder(spark, self.path(name))
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         """A table in its declared columns."""
         return self.stored(spark, table).select(*schemas.STAR_TABLES[table].fieldNames())
 
-    def stored(self, spark: SparkSession, table: str) -> DataFrame:
-        """A table with its layout columns; a filter on the fact's ``pickup_date`` prunes folders."""
-        return spark.read.schema(self.stored_schema(table)).parquet(self.path(table))
+    def stored(self, spark: SparkSession, table: str, first: date | None = None, last: date | None = None) -> DataFrame:
+        """A table with its layout columns; a growing table may be narrowed to the pickup days first..last."""
+        rows = spark.read.schema(self.stored_schema(table)).parquet(self.path(table))
+        if first is None or last is None:
+            return rows
+        if table == "fact_trips":
+            days = F.col("pickup_date").between(first, last)
+        else:
+            days = (F.col("tpep_pickup_datetime") >= F.lit(str(first)).cast("timestamp")) & (
+                F.col("tpep_pickup_datetime") < F.lit(str(last + timedelta(days=1))).cast("timestamp")
+            )
+        return rows.filter(_months_between(first, last) & days)
 
     def tables(self, spark: SparkSession) -> dict[str, DataFrame]:
         return {name: self.read(spark, name) for name in schemas.STAR_TABLES}
@@ -90,16 +105,15 @@ class StarStore:
         self._write_fact(trips, run, batch_id)
 
     def _merge_datetime(self, spark: SparkSession, rows: DataFrame, first: date, last: date) -> None:
-        """Only the folders of the batch's days can hold its keys, so only those are read.
+        """Only rows of the batch's days can hold its keys, so only those are read.
 
         The key is never null; a plain equality keeps the merge on the distinct's own partitioning.
         """
         name = "dim_datetime"
-        folder_day = F.make_date(*[F.col(c) for c in DAY_PARTS])
-        target = self.read(spark, name).filter(folder_day.between(F.lit(first), F.lit(last)))
-        rows = conform(rows, schemas.STAR_TABLES[name])
-        new = rows_to_insert(target, rows, [schemas.DIM_KEYS[name]], null_safe=False)
-        new.hint("rebalance", *DAY_PARTS).write.mode("append").partitionBy(*DAY_PARTS).parquet(self.path(name))
+        target = self.stored(spark, name, first, last)
+        new = rows_to_insert(target, conform(rows, schemas.STAR_TABLES[name]), [schemas.DIM_KEYS[name]], null_safe=False)
+        new = new.hint("rebalance", *MONTH).sortWithinPartitions(*MONTH, "tpep_pickup_datetime")
+        new.write.mode("append").partitionBy(*MONTH).parquet(self.path(name))
 
     def _merge_codes(self, spark: SparkSession, name: str, rows: DataFrame) -> None:
         """Most batches bring no new code; skipping their write spares the table a trail of empty files."""
@@ -113,9 +127,12 @@ class StarStore:
             new.unpersist()
 
     def _write_fact(self, trips: DataFrame, run: str, batch_id: int) -> None:
-        """Rebalancing by day writes few files, and splits a day too big for one task."""
-        schema = T.StructType([*schemas.FACT_TRIPS.fields, PICKUP_DATE])
-        dated = with_datetime_hash(trips).withColumn("pickup_date", F.to_date("tpep_pickup_datetime"))
-        rows = conform(dated, schema).hint("rebalance", "pickup_date")
+        """Rebalancing by month writes few files, and splits a month too big for one task."""
+        pickup = F.col("tpep_pickup_datetime")
+        dated = with_datetime_hash(trips).withColumns(
+            {"pickup_year": F.year(pickup), "pickup_month": F.month(pickup), "pickup_date": F.to_date(pickup)}
+        )
+        rows = conform(dated, T.StructType([*schemas.FACT_TRIPS, *PICKUP]))
+        rows = rows.hint("rebalance", *MONTH).sortWithinPartitions(*MONTH, "pickup_date")
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        writer.partitionBy("pickup_date").parquet(f"{self.path('fact_trips')}/run={run}/batch_id={batch_id}")
+        writer.partitionBy(*MONTH).parquet(f"{self.path('fact_trips')}/run={run}/batch_id={batch_id}")
