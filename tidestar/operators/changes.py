@@ -38,13 +38,16 @@ def _one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return least.select(*keys, "__row.*").select(*df.columns)
 
 
-def rows_to_insert(target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe: bool = True) -> DataFrame:
+def rows_to_insert(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe: bool = True, unique: bool = False
+) -> DataFrame:
     """Source rows whose key the target lacks, one per key.
 
     With ``null_safe`` a null key matches a null key; without it, it never
-    matches and is inserted again by every merge.
+    matches and is inserted again by every merge. ``unique`` says that the
+    source has one row per key already, which spares a shuffle.
     """
-    source = _one_per_key(source, keys)
+    source = source if unique else _one_per_key(source, keys)
     if not null_safe:
         return source.join(target.select(*keys), on=list(keys), how="left_anti")
     s, t = source.alias("s"), target.select(*keys).alias("t")

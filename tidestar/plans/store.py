@@ -107,18 +107,19 @@ class StarStore:
     def _merge_datetime(self, spark: SparkSession, rows: DataFrame, first: date, last: date) -> None:
         """Only rows of the batch's days can hold its keys, so only those are read.
 
-        The key is never null; a plain equality keeps the merge on the distinct's own partitioning.
+        The key is never null, so a plain equality will do.
         """
         name = "dim_datetime"
         target = self.stored(spark, name, first, last)
-        new = rows_to_insert(target, conform(rows, schemas.STAR_TABLES[name]), [schemas.DIM_KEYS[name]], null_safe=False)
+        rows = conform(rows, schemas.STAR_TABLES[name])
+        new = rows_to_insert(target, rows, [schemas.DIM_KEYS[name]], null_safe=False, unique=True)
         new = new.hint("rebalance", *MONTH).sortWithinPartitions(*MONTH, "tpep_pickup_datetime")
         new.write.mode("append").partitionBy(*MONTH).parquet(self.path(name))
 
     def _merge_codes(self, spark: SparkSession, name: str, rows: DataFrame) -> None:
         """Most batches bring no new code; skipping their write spares the table a trail of empty files."""
         rows = conform(rows, schemas.STAR_TABLES[name])
-        new = rows_to_insert(self.read(spark, name), rows, [schemas.DIM_KEYS[name]], self.null_safe)
+        new = rows_to_insert(self.read(spark, name), rows, [schemas.DIM_KEYS[name]], self.null_safe, unique=True)
         new.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if not new.isEmpty():
