@@ -18,6 +18,7 @@ from tidestar.streaming import (
     append,
     append_star,
     decode_trips,
+    merge_replica,
     query_id,
     read_replica,
     replica_sink,
@@ -65,15 +66,15 @@ def check_star(spark, store):
 def test_stream_equals_batch_and_survives_replay_and_restart(spark, trip_topic, folder):
     store, checkpoint = StarStore(f"{folder}/star"), f"{folder}/checkpoint"
     query = start_star(decode_trips(one_by_one(spark, trip_topic)), store, checkpoint)
-    run(spark, query)
+    run(query)
     assert query.lastProgress["batchId"] == 2
     check_star(spark, store)
 
     undo_last_commit(checkpoint)
-    run(spark, start_star(decode_trips(one_by_one(spark, trip_topic)), store, checkpoint))
+    run(start_star(decode_trips(one_by_one(spark, trip_topic)), store, checkpoint))
     check_star(spark, store)
 
-    run(spark, start_star(decode_trips(one_by_one(spark, trip_topic)), store, checkpoint))
+    run(start_star(decode_trips(one_by_one(spark, trip_topic)), store, checkpoint))
     check_star(spark, store)
     assert store.stored(spark, "fact_trips").select("run").distinct().count() == 1
     assert store.stored(spark, "fact_trips").select("batch_id").distinct().count() == 3
@@ -88,17 +89,17 @@ def test_failure_between_tables_is_repaired_by_the_replay(spark, trip_topic, fol
     with monkeypatch.context() as patch:
         patch.setattr(StarStore, "_write_fact", broken)
         with pytest.raises(Exception, match="lost the fact"):
-            run(spark, start_star(decode_trips(one_by_one(spark, trip_topic)), store, checkpoint))
+            run(start_star(decode_trips(one_by_one(spark, trip_topic)), store, checkpoint))
     assert store.read(spark, "dim_datetime").count() > 0
     assert store.read(spark, "fact_trips").count() == 0
-    run(spark, start_star(decode_trips(one_by_one(spark, trip_topic)), store, checkpoint))
+    run(start_star(decode_trips(one_by_one(spark, trip_topic)), store, checkpoint))
     check_star(spark, store)
 
 
 def test_a_new_checkpoint_does_not_overwrite_the_batches_of_another(spark, trip_topic, folder):
     store = StarStore(f"{folder}/star")
     for name in ("first", "second"):
-        run(spark, start_star(decode_trips(file_topic(spark, trip_topic)), store, f"{folder}/{name}"))
+        run(start_star(decode_trips(file_topic(spark, trip_topic)), store, f"{folder}/{name}"))
     once = expected_star(spark)["fact_trips"].count()
     assert store.read(spark, "fact_trips").count() == 2 * once
     assert store.read(spark, "dim_datetime").count() == expected_star(spark)["dim_datetime"].count()
@@ -152,7 +153,7 @@ def test_six_append_queries_resume_from_their_checkpoints(spark, trip_topic, fol
 
     for _ in range(2):
         queries = append_star(described(), "plain_appends", f"{folder}/checkpoints")
-        run(spark, queries.values())
+        run(queries.values())
     kept = require_non_negative(trips(spark, SMALL), schemas.NON_NEGATIVE)
     for name in schemas.STAR_TABLES:
         assert spark.table(f"plain_appends.{name}").count() == kept.count(), name
@@ -166,7 +167,7 @@ def test_stream_append_restarts_where_it_stopped(spark, folder):
     for wave in (range(0, 5), range(5, 8)):
         spark.createDataFrame([(k,) for k in wave], schema).coalesce(1).write.mode("append").parquet(source)
         stream = spark.readStream.schema(schema).parquet(source)
-        run(spark, stream_append(stream, "restarted", f"{folder}/checkpoint"))
+        run(stream_append(stream, "restarted", f"{folder}/checkpoint"))
     assert rows(spark.read.parquet(location)) == [(k,) for k in range(8)]
     spark.sql("DROP TABLE restarted")
 
@@ -188,7 +189,7 @@ def test_replica_converges_over_batches_and_replay(spark, folder):
     def load():
         changes = replica_changes(one_by_one(spark, topic), USER_ROW, USER_ROW, ["user_id"])
         writer = changes.writeStream.foreachBatch(replica_sink(root, ["user_id"], ["__offset"]))
-        run(spark, writer.trigger(availableNow=True).option("checkpointLocation", checkpoint).start())
+        run(writer.trigger(availableNow=True).option("checkpointLocation", checkpoint).start())
         return changes.schema
 
     load()
@@ -198,9 +199,23 @@ def test_replica_converges_over_batches_and_replay(spark, folder):
     last = {}
     for r in sorted(changes.collect(), key=lambda r: r["__offset"]):
         last[r.user_id] = r
-    for deletes, want in (("keep", last), ("apply", {k: r for k, r in last.items() if r["__deleted"] == "false"})):
-        got = read_replica(spark, root, schema, ["user_id"], ["__offset"], deletes)
-        assert sorted((r.user_id, r.event_id) for r in got.collect()) == sorted((k, r.event_id) for k, r in want.items())
+    live = {k: r for k, r in last.items() if r["__deleted"] == "false"}
+
+    def check():
+        for deletes, want in (("keep", last), ("apply", live)):
+            got = read_replica(spark, root, schema, ["user_id"], ["__offset"], deletes).collect()
+            assert sorted((r.user_id, r.event_id) for r in got) == sorted((k, r.event_id) for k, r in want.items())
+
+    check()
+    assert merge_replica(spark, root, schema, ["user_id"], ["__offset"]) == 4
+    check()
+    assert spark.read.schema(schema).parquet(root).count() == len(last)
+    undo_last_commit(checkpoint)
+    load()
+    check()
+    assert merge_replica(spark, root, schema, ["user_id"], ["__offset"]) == 2
+    check()
+    assert merge_replica(spark, root, schema, ["user_id"], ["__offset"]) == 0
 
 
 def test_broker_source_needs_only_its_connector(spark):

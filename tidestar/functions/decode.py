@@ -23,8 +23,17 @@ def parse_json(df: DataFrame, schema: T.StructType, column: str = "json", keep:
 
     Field names match case-sensitively: rename afterwards with :func:`rename`.
     """
-    data = F.from_json(F.col(column).cast("string"), schema)
-    return df.select(*keep, data.alias("data")).select(*keep, "data.*")
+    return df.select(*keep, _once(F.from_json(F.col(column).cast("string"), schema)))
+
+
+def _once(parsed: Column) -> Column:
+    """The fields of a parsed struct as columns, parsed once per row.
+
+    Selected as ``data.*``, every later filter on a field would be pushed below
+    the projection and parse the text again for each of its conditions; filters
+    do not move below a generator.
+    """
+    return F.inline(F.array(parsed))
 
 
 def _payload(column: str, schema: T.StructType, wrapped: bool) -> Column:
@@ -51,24 +60,24 @@ def unwrap_cdc(
     """
     if not keep_tombstones:
         records = records.filter(F.col("value").isNotNull())
-    env = records.select(*keep, _payload("value", schemas.envelope(row), wrapped).alias("env"))
-    is_delete = F.col("env.op") == "d"
-    image = F.when(is_delete, F.col("env.before")).otherwise(F.col("env.after"))
-    return env.select(
+    envelopes = records.select(*keep, _once(_payload("value", schemas.envelope(row), wrapped)))
+    is_delete = F.col("op") == "d"
+    image = F.when(is_delete, F.col("before")).otherwise(F.col("after"))
+    return envelopes.select(
         *keep,
         image.alias("image"),
-        F.col("env.op").alias("__op"),
-        F.col("env.ts_ms").alias("__ts_ms"),
-        F.col("env.source.lsn").alias("__lsn"),
-        F.col("env.source").alias("source"),
+        F.col("op").alias("__op"),
+        F.col("ts_ms").alias("__ts_ms"),
+        F.col("source.lsn").alias("__lsn"),
+        "source",
         is_delete.cast("string").alias("__deleted"),
     ).select(*keep, "image.*", "__op", "__ts_ms", "__lsn", "source", "__deleted")
 
 
 def record_key(records: DataFrame, fields: T.StructType, wrapped: bool = False) -> DataFrame:
     """Primary-key columns parsed from the record key, in front of the record's columns."""
-    parsed = records.withColumn("__key", _payload("key", fields, wrapped))
-    return parsed.select("__key.*", *records.columns)
+    parsed = records.select(*records.columns, _once(_payload("key", fields, wrapped)))
+    return parsed.select(*fields.fieldNames(), *records.columns)
 
 
 def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
@@ -112,8 +121,8 @@ def split_bad(
     flagged = T.StructType([*schema.fields, T.StructField(BAD, T.StringType())])
     text = F.col(column).cast("string")
     data = F.from_json(text, flagged, {"columnNameOfCorruptRecord": BAD})
-    parsed = df.select(*keep, text.alias("__text"), data.alias("data"))
-    is_bad = F.col("__text").isNull() | F.col(f"data.{BAD}").isNotNull()
-    good = parsed.filter(~is_bad).select(*keep, *[F.col(f"data.{f.name}") for f in schema])
+    parsed = df.select(*keep, text.alias("__text"), _once(data))
+    is_bad = F.col("__text").isNull() | F.col(BAD).isNotNull()
+    good = parsed.filter(~is_bad).select(*keep, *schema.fieldNames())
     bad = parsed.filter(is_bad).select(*keep, F.col("__text").alias("bad_value"))
     return good, bad

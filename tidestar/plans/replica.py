@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidestar.functions.decode import conform, micros_to_ts, record_key, unwrap_cdc
-from tidestar.storage import parents_of
+from tidestar.storage import folders_with
 
 MARKS = ["__op", "__ts_ms", "__lsn", "__deleted", "__offset"]
 
@@ -42,7 +42,7 @@ def replica_changes(
 
 def _versions(spark: SparkSession, root: str) -> list[int]:
     """Complete versions under a folder: those whose write committed."""
-    return sorted(int(name.split("=")[1]) for name in parents_of(spark, f"{root}/v=*/_SUCCESS"))
+    return sorted(int(folder.rsplit("=", 1)[1]) for folder in folders_with(spark, f"{root}/v=*/_SUCCESS"))
 
 
 def current_version(spark: SparkSession, root: str) -> int | None:

@@ -18,7 +18,8 @@ from tidestar.session import work_dir
 from tidestar.sources import file_topic
 from tidestar.streaming import decode_trips, read_replica, replica_sink, run, start_star, stream_append
 
-BATCHES = 3
+# A few micro-batches over a small topic; over a large one as many as its files need, each of bounded size.
+BATCHES, MAX_FILES = 3, 1000
 
 
 def lay_topic(spark: SparkSession, feed: DataFrame, label: str) -> DataFrame:
@@ -26,7 +27,7 @@ def lay_topic(spark: SparkSession, feed: DataFrame, label: str) -> DataFrame:
     path = work_dir(spark, label)
     feed.write.partitionBy("topic", "partition").parquet(path)
     files = len(spark.read.parquet(path).inputFiles())
-    return file_topic(spark, path, maxFilesPerTrigger=str(-(-files // BATCHES)))
+    return file_topic(spark, path, maxFilesPerTrigger=str(min(-(-files // BATCHES), MAX_FILES)))
 
 
 @query("stream_file_source", "SELECT event_id AS feed_offset, concat('{\"user_id\":', user_id, '}') AS json FROM events")
@@ -39,7 +40,7 @@ def stream_file_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _append(spark: SparkSession, rows: DataFrame, label: str) -> DataFrame:
     name, location = scratch_table(spark, label, columns_of(rows))
-    run(spark, stream_append(rows, name, work_dir(spark, "checkpoint")))
+    run(stream_append(rows, name, work_dir(spark, "checkpoint")))
     spark.sql(f"DROP TABLE {name}")
     return spark.read.schema(rows.schema).parquet(location)
 
@@ -53,7 +54,7 @@ def stream_append_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stream_star(spark: SparkSession, sf_dir: str) -> StarStore:
     topic = lay_topic(spark, trip_feed(spark, sf_dir), "trip_topic")
     store = StarStore(work_dir(spark, "stream_star"))
-    run(spark, start_star(decode_trips(topic), store, work_dir(spark, "checkpoint")))
+    run(start_star(decode_trips(topic), store, work_dir(spark, "checkpoint")))
     return store
 
 
@@ -80,5 +81,5 @@ def stream_replica(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = replica_changes(topic, USER_ROW, USER_ROW, ["user_id"])
     root, keys, order = work_dir(spark, "replica"), ["user_id"], ["__offset"]
     writer = changes.writeStream.foreachBatch(replica_sink(root, keys, order)).trigger(availableNow=True)
-    run(spark, writer.option("checkpointLocation", work_dir(spark, "checkpoint")).start())
+    run(writer.option("checkpointLocation", work_dir(spark, "checkpoint")).start())
     return read_replica(spark, root, changes.schema, keys, order)

@@ -17,7 +17,12 @@ def make_folder(spark: SparkSession, path: str) -> None:
     fs.mkdirs(target)
 
 
-def parents_of(spark: SparkSession, pattern: str) -> list[str]:
-    """Names of the folders holding the files that match a glob pattern."""
+def folders_with(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths of the folders holding a file that matches a glob pattern."""
     fs, target = _path(spark, pattern)
-    return [s.getPath().getParent().getName() for s in fs.globStatus(target) or []]
+    return [s.getPath().getParent().toString() for s in fs.globStatus(target) or []]
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, target = _path(spark, path)
+    fs.delete(target, True)

@@ -1,5 +1,5 @@
 from tidestar.streaming.appends import append, append_star, stream_append
-from tidestar.streaming.replica import read_replica, replica_sink
+from tidestar.streaming.replica import merge_replica, read_replica, replica_sink
 from tidestar.streaming.run import run
 from tidestar.streaming.star import decode_trips, query_id, star_sink, start_star
 
@@ -7,6 +7,7 @@ __all__ = [
     "append",
     "append_star",
     "decode_trips",
+    "merge_replica",
     "query_id",
     "read_replica",
     "replica_sink",

@@ -1,13 +1,15 @@
-"""Streaming replica: change batches are appended, and the last row per key is taken when read."""
+"""Streaming replica: change batches are appended, and the last row per key is taken when read or merged."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tidestar.operators.changes import apply_changes, latest_per_key
+from tidestar.storage import folders_with, remove_folder
 from tidestar.streaming.star import query_id
 
 
@@ -36,3 +38,22 @@ def read_replica(
     """The replica's current rows; ``schema`` is that of the change frame."""
     stored = spark.read.schema(schema).parquet(root).select(*schema.fieldNames())
     return apply_changes(None, stored, keys, order, deletes)
+
+
+def merge_replica(
+    spark: SparkSession, root: str, schema: T.StructType, keys: Sequence[str], order: Sequence[str]
+) -> int:
+    """Fold the finished batches into one folder of last changes per key; gives the number of folders folded.
+
+    Order and delete marks stay, so it does not matter if a folded batch is
+    there again: after a failure before the old folders were removed, or when
+    the stream replays it. Run it while no reader holds the old files.
+    """
+    folders = folders_with(spark, f"{root}/run=*/batch_id=*/_SUCCESS")
+    if len(folders) < 2:
+        return 0
+    stored = spark.read.schema(schema).parquet(*folders)
+    latest_per_key(stored, keys, order).write.parquet(f"{root}/run=merged-{uuid.uuid4().hex}/batch_id=0")
+    for folder in folders:
+        remove_folder(spark, folder)
+    return len(folders)

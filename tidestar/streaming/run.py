@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -14,14 +13,8 @@ def with_trigger(writer: DataStreamWriter, every: str | None) -> DataStreamWrite
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
 
 
-def run(spark: SparkSession, queries: StreamingQuery | Iterable[StreamingQuery]) -> None:
-    """Wait for one query, or for all of several; the first failure among them is raised."""
-    if isinstance(queries, StreamingQuery):
-        queries.awaitTermination()
-        return
-    waiting = list(queries)
-    while any(q.isActive for q in waiting):
-        spark.streams.awaitAnyTermination()
-        spark.streams.resetTerminated()
-    for query in waiting:
-        query.awaitTermination()
+def run(queries: StreamingQuery | Iterable[StreamingQuery]) -> None:
+    """Wait for one query, or for all of several; the first failure among them is raised at once."""
+    waiting = [queries] if isinstance(queries, StreamingQuery) else list(queries)
+    while waiting:
+        waiting = [q for q in waiting if not q.awaitTermination(0.2)]
