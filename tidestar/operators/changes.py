@@ -59,9 +59,14 @@ def merge_insert(target: DataFrame, source: DataFrame, keys: Sequence[str], null
     return target.unionByName(rows_to_insert(target, source, keys, null_safe).select(*target.columns))
 
 
-def merge_into(source: DataFrame, table: str, keys: Sequence[str], null_safe: bool = True) -> None:
-    """The same merge as a MERGE statement, for a catalog whose tables support row-level changes."""
-    one_each = _one_per_key(source, keys).alias("s")
+def merge_into(
+    source: DataFrame, table: str, keys: Sequence[str], null_safe: bool = True, unique: bool = False
+) -> None:
+    """The same merge as a MERGE statement, for a catalog whose tables support row-level changes.
+
+    It runs on the source's own session, which inside a micro-batch is not the caller's.
+    """
+    one_each = (source if unique else _one_per_key(source, keys)).alias("s")
     same = Column.eqNullSafe if null_safe else Column.__eq__
     on = _all([same(F.col(f"s.{k}"), F.col(f"{table}.{k}")) for k in keys])
     one_each.mergeInto(table, on).whenNotMatched().insertAll().merge()

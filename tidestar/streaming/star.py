@@ -12,6 +12,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from tidestar import schemas
 from tidestar.functions.decode import conform, decode_value, parse_json
 from tidestar.plans.star import clean_trips
+from tidestar.plans.catalog import CatalogStar
 from tidestar.plans.store import StarStore
 from tidestar.streaming.run import with_trigger
 
@@ -33,12 +34,12 @@ def query_id(spark: SparkSession) -> str:
     return found
 
 
-def star_sink(store: StarStore) -> Callable[[DataFrame, int], None]:
+def star_sink(store: StarStore | CatalogStar) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that loads clean trips into the store.
 
     Six table writes cannot commit together; a failure between them is repaired
     by the replay of the batch, which finds the dimension rows already there
-    and overwrites its own part of the fact.
+    and, in a ``StarStore``, overwrites its own part of the fact.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
@@ -53,7 +54,11 @@ def star_sink(store: StarStore) -> Callable[[DataFrame, int], None]:
 
 
 def start_star(
-    trips: DataFrame, store: StarStore, checkpoint: str, every: str | None = None, mode: str = "update"
+    trips: DataFrame,
+    store: StarStore | CatalogStar,
+    checkpoint: str,
+    every: str | None = None,
+    mode: str = "update",
 ) -> StreamingQuery:
     """Start the load of decoded trips; only the columns the star needs are kept per micro-batch."""
     store.create(trips.sparkSession)
