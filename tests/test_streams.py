@@ -10,7 +10,7 @@ from conftest import SMALL, rows
 from pyspark.sql import functions as F
 
 from tidestar import schemas
-from tidestar.operators import create_star, enrich, require_non_negative
+from tidestar.operators import create_star, dedup, enrich, require_non_negative
 from tidestar.plans import StarStore, clean_trips, replica_changes, run_batch, star_tables
 from tidestar.registry.fixtures import USER_ROW, trip_feed, trips, user_feed
 from tidestar.sources import append_load, file_topic, payment_types, rate_codes, read_topic
@@ -226,3 +226,15 @@ def test_broker_source_needs_only_its_connector(spark):
 def test_topic_records_round_trip_through_json(spark):
     record = trip_feed(spark, SMALL).select(F.col("value").cast("string")).first()[0]
     assert set(json.loads(record)) <= set(schemas.WIRE_TRIPS.fieldNames())
+
+
+def test_stream_dedup_drops_repeats_across_batches(spark, folder):
+    schema = "k int, t timestamp"
+    row = spark.sql("SELECT 1 AS k, timestamp'2025-01-01 00:00:00' AS t UNION ALL SELECT 2, timestamp'2025-01-01 00:01:00'")
+    spark.sql(f"CREATE TABLE once_each (k int, t timestamp) USING parquet LOCATION '{folder}/out'")
+    for _ in range(2):
+        row.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        stream = dedup(spark.readStream.schema(schema).parquet(f"{folder}/in"), ["k"], "t", "1 hour")
+        run(stream_append(stream, "once_each", f"{folder}/checkpoint"))
+    assert rows(spark.read.parquet(f"{folder}/out").select("k")) == [(1,), (2,)]
+    spark.sql("DROP TABLE once_each")
