@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidestar import schemas
 from tidestar.operators import (
     apply_changes,
+    build_dim,
     build_dim_datetime,
     check_rules,
     diff_changes,
@@ -21,12 +22,14 @@ from tidestar.operators import (
     latest_per_key,
     orphans,
     rows_to_insert,
+    sizes,
     star_join,
     update_where_in,
 )
 from tidestar.plans import clean_trips, run_batch, star_tables
 from tidestar.plans.batch import trips_of_day
 from tidestar.registry.fixtures import trips
+from tidestar.session import stored
 from tidestar.sources import payment_types
 
 
@@ -74,20 +77,31 @@ def test_code_lists_are_broadcast_from_their_known_size(spark, small_trips):
     assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
 
 
-def test_no_query_broadcasts_past_the_threshold(spark, small_trips):
-    """Without room to broadcast, every lookup has a shuffled way."""
+def test_growing_times_are_never_broadcast_and_few_codes_always(spark, small_trips):
+    tables = star_tables(clean_trips(small_trips))
+    fact = tables["fact_trips"]
+    text = plan(star_join(fact, {"dim_datetime": tables["dim_datetime"]}))
+    assert "SortMergeJoin" in text and "Broadcast" not in text
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        text = plan(star_join(fact, {"dim_ratecode": stored(tables["dim_ratecode"], "codes")}))
+    assert "BroadcastHashJoin" in text
+
+
+def test_many_codes_or_keys_are_shuffled(spark, small_trips, monkeypatch):
+    monkeypatch.setattr(sizes, "BROADCAST_ROWS", 2)
+    codes = build_dim(small_trips, "payment_type", payment_types(spark))
+    places = small_trips.select("DOLocationID")
     with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
-        tables = star_tables(clean_trips(small_trips))
-        text = plan(star_join(tables.pop("fact_trips"), tables))
-        assert "Broadcast" not in text
-        keys = small_trips.select("DOLocationID").distinct()
-        assert "Broadcast" not in plan(update_where_in(small_trips, keys, "DOLocationID", {"fare_amount": 0.0}))
+        assert "BroadcastExchange" not in plan(star_join(small_trips, {"dim_payment_type": stored(codes, "codes")}))
+        many = update_where_in(small_trips, places, "DOLocationID", {"fare_amount": 0.0})
+        text = plan(many)
+        assert "LeftSemi" in text and "LeftAnti" in text and "Broadcast" not in text
+    assert many.count() == small_trips.count() == many.filter("fare_amount = 0").count()
 
 
 def test_attributeless_dimensions_are_not_joined(spark, small_trips):
-    tables = star_tables(clean_trips(small_trips))
-    joined = star_join(tables.pop("fact_trips"), tables)
-    assert len(re.findall(r"(?:HashJoin|SortMergeJoin) ", plan(joined))) == 2 + 3  # two lookups inside their dims
+    dims = {name: build_dim(small_trips, name.removeprefix("dim_")) for name in ("dim_passenger_count", "dim_trip_distance")}
+    assert "Join" not in plan(star_join(small_trips, dims))
 
 
 def test_latest_keeps_one_row_per_key_and_task_before_the_shuffle(spark):

@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidestar.operators.sizes import is_few
+
 
 def _all(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
@@ -136,18 +138,26 @@ def where_in(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
 
 
 def update_where_in(df: DataFrame, keys: DataFrame, column: str, values: Mapping[str, object]) -> DataFrame:
-    """The table with new values where its column is among the keys; other rows unchanged."""
-    hit = keys.select(column).distinct().withColumn("__hit", F.lit(True))
-    joined = df.join(hit, on=column, how="left_outer")
+    """The table with new values where its column is among the keys; other rows unchanged.
+
+    Few keys are broadcast and the table is read once. Many keys take a semi
+    and an anti join instead of one join to their distinct: both split a hot
+    value of the table, which a join to an aggregate would not.
+    """
 
-    def new(name: str) -> Column:
+    def new(name: str, hit: Column) -> Column:
         if name not in values:
             return F.col(name)
         value = values[name]
         value = value if isinstance(value, Column) else F.lit(value)
-        return F.when(F.col("__hit"), value).otherwise(F.col(name)).alias(name)
-
-    return joined.select([new(c) for c in df.columns])
+        return F.when(hit, value).otherwise(F.col(name)).alias(name)
+
+    distinct = keys.select(column).distinct().withColumn("__hit", F.lit(True))
+    if is_few(distinct):
+        joined = df.join(F.broadcast(distinct), on=column, how="left_outer")
+        return joined.select([new(c, F.col("__hit")) for c in df.columns])
+    hits = where_in(df, keys, column).select([new(c, F.lit(True)) for c in df.columns])
+    return delete_where_in(df, keys, column).unionByName(hits)
 
 
 def delete_where_in(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:

@@ -1,0 +1,13 @@
+"""What may be broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+# A broadcast of this many short rows stays in the tens of megabytes.
+BROADCAST_ROWS = 200_000
+
+
+def is_few(df: DataFrame) -> bool:
+    """Whether a count proves the frame small enough to broadcast."""
+    return df.count() <= BROADCAST_ROWS

@@ -32,7 +32,7 @@ from tidestar.registry.fixtures import (
     user_feed,
 )
 from tidestar.registry.star import DIM_DATETIME_SQL
-from tidestar.session import work_dir
+from tidestar.session import stored, work_dir
 from tidestar.sources import rate_codes
 
 ITEM_KEY = ["l_orderkey", "l_linenumber"]
@@ -148,7 +148,7 @@ def diff_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def apply_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The changes between two versions, applied to the first, give the second."""
     before = table(spark, sf_dir, "orders")
-    changes = diff_changes(before, orders_after(spark, sf_dir), ["o_orderkey"])
+    changes = stored(diff_changes(before, orders_after(spark, sf_dir), ["o_orderkey"]), "order_changes")
     return apply_changes(before, changes, ["o_orderkey"])
 
 
@@ -158,7 +158,7 @@ def versioned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     before, root = table(spark, sf_dir, "orders"), work_dir(spark, "orders")
     write_version(before, root)
     current = read_versioned(spark, root, before.schema)
-    changes = diff_changes(current, orders_after(spark, sf_dir), ["o_orderkey"])
+    changes = stored(diff_changes(current, orders_after(spark, sf_dir), ["o_orderkey"]), "order_changes")
     write_version(apply_changes(current, changes, ["o_orderkey"]), root)
     return read_versioned(spark, root, before.schema)
 

@@ -106,6 +106,9 @@ DIM_KEYS = {
     "dim_trip_distance": "trip_distance",
 }
 
+# Dimensions that have about as many rows as the fact has distinct trips.
+GROWING = {"dim_datetime"}
+
 # --- Fixed values: code lists. Codes without a row (0, 99) keep a null description. ---
 PAYMENT_TYPES = [
     (1, "Credit card"),

@@ -52,3 +52,10 @@ def checkpoint(df: DataFrame) -> DataFrame:
     if not spark.conf.get("spark.checkpoint.dir", None):
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
     return df.checkpoint()
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The frame written to a scratch table and read back: computed once, and of a size that Catalyst knows."""
+    path = work_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
