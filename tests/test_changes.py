@@ -141,11 +141,23 @@ def test_picks_are_exact_and_repeatable(spark):
     assert sample_n(orders, 10**6, seed=3).count() == orders.count()
 
 
-def test_large_picks_go_through_a_threshold_and_stay_exact(spark, monkeypatch):
-    monkeypatch.setattr(sampling, "TOP_N_ROWS", 10)
+def test_large_picks_are_narrowed_first_and_stay_exact(spark, monkeypatch):
     orders = spark.read.parquet(f"{SMALL}/orders.parquet")
-    for n in (11, 700, 1499, 1500, 5000):
-        assert pick_keys(orders, "o_orderkey", n, seed=1).distinct().count() == min(n, 1500)
-        assert sample_n(orders, n, seed=1).distinct().count() == min(n, 1500)
-    twins = orders.unionByName(orders.filter("o_orderkey < 5"))
-    assert sample_n(twins, 1000, seed=4).count() == 1000
+    want = {n: rows(pick_keys(orders, "o_orderkey", n, seed=1)) for n in (5, 50, 400)}
+    monkeypatch.setattr(sampling, "SMALL_TABLE", 10)
+    for top in (10, 1000):
+        monkeypatch.setattr(sampling, "TOP_N_ROWS", top)
+        for n, keys in want.items():
+            assert rows(pick_keys(orders, "o_orderkey", n, seed=1)) == keys
+            assert sample_n(orders, n, seed=1).distinct().count() == n
+        for n in (1499, 1500, 5000):
+            assert pick_keys(orders, "o_orderkey", n, seed=1).distinct().count() == min(n, 1500)
+            assert sample_n(orders, n, seed=1).distinct().count() == min(n, 1500)
+
+
+def test_picks_with_equal_order_values_stay_exact(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "SMALL_TABLE", 10)
+    monkeypatch.setattr(sampling, "TOP_N_ROWS", 10)
+    twins = spark.range(3000).select((F.col("id") % 30).alias("k"))
+    assert pick_keys(twins, "k", 250, seed=1).count() == 250
+    assert pick_keys(twins, "k", 250, seed=1).distinct().count() == 3

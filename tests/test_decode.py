@@ -89,7 +89,8 @@ def test_include_tables_and_route(feed, spark):
 
 def test_bootstrap_puts_the_snapshot_before_the_changes(spark):
     snapshot = spark.createDataFrame([(1, "a")], "id long, name string")
-    changes = spark.createDataFrame([(1, "b", "u", "false", 5)], "id long, name string, __op string, __deleted string, __offset long")
+    marks = "__op string, __deleted string, __offset long"
+    changes = spark.createDataFrame([(1, "b", "u", "false", 5)], f"id long, name string, {marks}")
     got = bootstrap(snapshot, changes).select("id", "name", "__op", "__deleted", "__offset")
     assert rows(got) == [(1, "a", "r", "false", None), (1, "b", "u", "false", 5)]
 

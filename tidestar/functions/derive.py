@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidestar import schemas
-
-UTC_NAMES = {"UTC", "Etc/UTC", "GMT", "Z", "+00:00", "UTC+0"}
+from tidestar.session import require_utc
 
 
 def trip_dates(df: DataFrame) -> DataFrame:
@@ -41,9 +40,8 @@ def datetime_hash(*columns: str) -> Column:
 def with_datetime_hash(df: DataFrame, columns: Sequence[str] = tuple(schemas.EVENT_TIMES)) -> DataFrame:
     """Add ``datetime_hash``; refuses zoned timestamps outside UTC, whose text would differ by session."""
     zoned = [c for c in columns if isinstance(df.schema[c].dataType, T.TimestampType)]
-    zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
-    if zoned and zone not in UTC_NAMES:
-        raise ValueError(f"hash keys over {zoned} need spark.sql.session.timeZone=UTC, not {zone}")
+    if zoned:
+        require_utc(df.sparkSession, f"a hash key over {zoned}")
     return df.withColumn("datetime_hash", datetime_hash(*columns))
 
 

@@ -2,56 +2,52 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+from math import sqrt
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidestar.session import checkpoint
+from tidestar.session import stored
 
-# Up to here the pick is a top-n: each task keeps n rows, one task merges them.
-# Beyond it the pick goes through a rank threshold, so no task holds the sample.
+# A top-n sends n rows of every task to one. That suits small tables; in large ones the rows that
+# can be among the n are first set apart, and a large n is cut off at a value instead of sorted.
+SMALL_TABLE = 1_000_000
 TOP_N_ROWS = 100_000
-BUCKETS = 4096
 
 
-def _smallest(df: DataFrame, order: Column, n: int) -> DataFrame:
-    """The n rows with the smallest order value (a 64-bit integer), whatever n is.
+def _smallest(df: DataFrame, n: int, cut: Callable[[float], object]) -> DataFrame:
+    """The n rows with the smallest ``__o``; ``cut`` gives the value below which a share of all rows is expected.
 
-    Counts per slice of the value range (at most ``BUCKETS`` numbers on the
-    driver) show which slices are taken whole; only the slice that the n-th row
-    falls in is sorted.
+    The share asked for is n rows and ten standard deviations more, so it holds
+    the n smallest; were it ever to fall short, the plain top-n answers.
     """
-    if n <= TOP_N_ROWS:
-        return df.withColumn("__o", order).orderBy("__o").limit(n).drop("__o")
-    width = 64 - BUCKETS.bit_length() + 1
-    sliced = df.withColumn("__o", order).withColumn("__b", F.shiftright("__o", width))
-    left, edge = n, None
-    for bucket, size in sorted(sliced.groupBy("__b").count().collect()):
-        if size > left:
-            edge = bucket
-            break
-        left -= size
-    if edge is None:
+    total = df.count()
+    if total <= n:
         return df
-    whole = sliced.filter(F.col("__b") < edge)
-    part = sliced.filter(F.col("__b") == edge).orderBy("__o").limit(left)
-    return whole.unionByName(part).drop("__o", "__b")
+    top = df.orderBy("__o").limit(n)
+    share = (n + 10 * sqrt(n) + 100) / total
+    if total <= SMALL_TABLE or share >= 1:
+        return top
+    near = stored(df.filter(F.col("__o") < F.lit(cut(share))), "sample")
+    surplus = near.count() - n
+    if surplus < 0:
+        return top
+    if n <= TOP_N_ROWS or surplus == 0:
+        return near.orderBy("__o").limit(n) if surplus else near
+    first_out = near.select("__o").orderBy(F.desc("__o")).limit(surplus).agg(F.min("__o")).first()[0]
+    below = near.filter(F.col("__o") < first_out)
+    tied = near.filter(F.col("__o") == first_out).limit(n - below.count())
+    return below.unionByName(tied)
 
 
 def pick_keys(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     """n keys in random order of ``sha2(key|seed)``: the same seed gives the same keys on any cluster."""
     digest = F.sha2(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed))), 256)
-    if n <= TOP_N_ROWS:
-        return df.select(key).withColumn("__o", digest).orderBy("__o").limit(n).select(key)
-    return _smallest(df.select(key), F.xxhash64(digest), n)
+    ordered = df.select(key, digest.alias("__o"))
+    return _smallest(ordered, n, lambda share: format(int(share * 16**12), "012x")).select(key)
 
 
 def sample_n(df: DataFrame, n: int, seed: int) -> DataFrame:
-    """Exactly n rows without replacement, or all when there are fewer.
-
-    Above the top-n size the draw is checkpointed, since it is read twice and
-    must not change in between.
-    """
-    drawn = df.withColumn("__r", F.xxhash64(F.rand(seed)))
-    if n > TOP_N_ROWS:
-        drawn = checkpoint(drawn)
-    return _smallest(drawn, F.col("__r"), n).drop("__r")
+    """Exactly n rows without replacement, or all when there are fewer."""
+    return _smallest(df.withColumn("__o", F.rand(seed)), n, lambda share: share).drop("__o")

@@ -16,6 +16,7 @@ from tidestar.functions.derive import with_datetime_hash
 from tidestar.operators.changes import rows_to_insert
 from tidestar.operators.star import build_dim_datetime
 from tidestar.plans.star import code_dimensions
+from tidestar.session import require_utc
 from tidestar.storage import make_folder
 
 # The two tables that grow with the data are laid out by pickup month, and sorted by time inside their files,
@@ -90,6 +91,7 @@ class StarStore:
         kept, and the source of four dimensions), the distinct times, the fact.
         """
         spark = trips.sparkSession
+        require_utc(spark, "loading a star")
         day = F.to_date("tpep_pickup_datetime")
         codes = trips.groupBy(*CODE_KEYS).agg(F.min(day).alias("first_day"), F.max(day).alias("last_day"))
         codes.persist(StorageLevel.MEMORY_AND_DISK)

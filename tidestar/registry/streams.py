@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidestar import schemas
-from tidestar.functions import decode_value
 from tidestar.operators.star import FACT_COLUMNS
 from tidestar.plans import StarStore, payment_summary, replica_changes
 from tidestar.registry.base import query, table, without_zone

@@ -28,6 +28,16 @@ def build_session(app: str = "tidestar", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+UTC_NAMES = {"UTC", "Etc/UTC", "GMT", "Z", "+00:00", "UTC+0"}
+
+
+def require_utc(spark: SparkSession, what: str) -> None:
+    """Fail where the session zone would change the meaning of stored times."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in UTC_NAMES:
+        raise ValueError(f"{what} needs spark.sql.session.timeZone=UTC, not {zone}")
+
+
 def pin_utc(spark: SparkSession) -> SparkSession:
     """Set the session zone to UTC, which timestamps on the wire and hash keys assume."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -46,14 +56,6 @@ def work_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Write the frame to the checkpoint folder and cut its lineage there."""
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
-    return df.checkpoint()
-
-
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The frame written to a scratch table and read back: computed once, and of a size that Catalyst knows."""
     path = work_dir(df.sparkSession, label)
