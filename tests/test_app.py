@@ -33,7 +33,7 @@ def test_append_star_keeps_trips_without_times(spark, topic, folder):
     assert fact.count() == spark.table("app_plain.dim_payment_type").count() > 0
 
 
-def test_stream_replica_of_wrapped_envelopes(spark, folder):
+def test_replica_and_star_of_wrapped_envelopes(spark, folder):
     wrap = F.concat(F.lit('{"schema":{},"payload":'), F.col("value").cast("string"), F.lit("}")).cast("binary")
     key = F.concat(F.lit('{"schema":{},"payload":'), F.col("key").cast("string"), F.lit("}")).cast("binary")
     feed = captured_trip_feed(spark, SMALL).withColumns(
@@ -42,6 +42,10 @@ def test_stream_replica_of_wrapped_envelopes(spark, folder):
     feed.withColumn("timestamp", F.lit(None).cast("timestamp")).write.parquet(f"{folder}/topic")
     args = ["--files", f"{folder}/topic", "--root", f"{folder}/replica", "--checkpoint", f"{folder}/c", "--merge"]
     main(["stream-replica", *args], spark)
+    star = StarStore(f"{folder}/star")
+    args = ["--files", f"{folder}/topic", "--root", star.root, "--checkpoint", f"{folder}/c2", "--captured"]
+    main(["stream-star", *args], spark)
+    assert star.read(spark, "fact_trips").count() == clean_trips(trips(spark, SMALL)).count()
     marks = schemas.struct((schemas.TEXT, "__op __deleted"), (schemas.LONG, "__ts_ms __lsn __offset"))
     schema = type(marks)([*schemas.REPLICA, *marks])
     got = read_replica(spark, f"{folder}/replica", schema, ["trip_id"], ["__offset"])

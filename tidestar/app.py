@@ -13,7 +13,15 @@ from tidestar.operators import create_star, enrich, fill, require_non_negative
 from tidestar.plans import CatalogStar, StarStore, replica_changes, run_batch
 from tidestar.session import build_session
 from tidestar.sources import append_load, file_topic, payment_types, rate_codes, read_topic
-from tidestar.streaming import append_star, decode_trips, merge_replica, replica_sink, run, start_star
+from tidestar.streaming import (
+    append_star,
+    decode_captured_trips,
+    decode_trips,
+    merge_replica,
+    replica_sink,
+    run,
+    start_star,
+)
 from tidestar.streaming.run import with_trigger
 
 REPLICA_KEY, REPLICA_ORDER = ["trip_id"], ["__offset"]
@@ -38,6 +46,7 @@ def parser() -> argparse.ArgumentParser:
     target = star.add_mutually_exclusive_group(required=True)
     target.add_argument("--root", help="folder of the stored star")
     target.add_argument("--database", help="database of a catalog that supports MERGE")
+    star.add_argument("--captured", action="store_true", help="the topic holds change envelopes, not flat trips")
     star.add_argument("--table-format", default="iceberg", help="format of the database's tables")
     feed("append-star", "append a trip topic to six plain tables").add_argument("--database", required=True)
     replica = feed("stream-replica", "replicate a captured trip table, last write wins")
@@ -79,7 +88,9 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     spark = spark or build_session(f"tidestar-{args.load}")
     if args.load == "stream-star":
         star = StarStore(args.root) if args.root else CatalogStar(args.database, args.table_format)
-        run(start_star(decode_trips(subscribe(spark, args)), star, args.checkpoint, args.every))
+        records = subscribe(spark, args)
+        trips = decode_captured_trips(records, wrapped=True) if args.captured else decode_trips(records)
+        run(start_star(trips, star, args.checkpoint, args.every))
     elif args.load == "append-star":
         trips = described_trips(subscribe(spark, args))
         run(append_star(trips, args.database, args.checkpoint, args.every).values())

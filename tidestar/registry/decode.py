@@ -34,6 +34,7 @@ from tidestar.registry.fixtures import (
     user_feed,
 )
 from tidestar.sources import bootstrap, include_tables, route
+from tidestar.streaming import decode_captured_trips
 
 PROPS = schemas.struct((schemas.INT, "k"))
 
@@ -159,7 +160,5 @@ FACT_LIST = ", ".join(schemas.FACT_TRIPS.fieldNames())
 @query("cdc_star_fact", f"WITH {CLEAN_SQL} SELECT {FACT_LIST} FROM clean")
 def cdc_star_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Captured envelopes all the way to fact rows."""
-    rows = unwrap_cdc(captured_trip_feed(spark, sf_dir), schemas.CAPTURED_TRIPS)
-    live = rows.filter(F.col("__deleted") == "false")
-    typed = conform(rename(micros_to_ts(live, schemas.EVENT_TIMES), schemas.TRIP_NAMES), schemas.WIRE_TRIPS)
-    return without_zone(build_fact(clean_trips(typed)))
+    rows = decode_captured_trips(captured_trip_feed(spark, sf_dir))
+    return without_zone(build_fact(clean_trips(rows)))

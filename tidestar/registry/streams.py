@@ -5,16 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidestar.functions import record_key
 from tidestar.operators.star import FACT_COLUMNS
 from tidestar.plans import StarStore, payment_summary, replica_changes
 from tidestar.registry.base import query, table, without_zone
 from tidestar.registry.changes import REPLICA_SQL
-from tidestar.registry.fixtures import CLEAN_SQL, USER_ROW, trip_feed, user_feed
+from tidestar.registry.fixtures import CLEAN_SQL, USER_KEY, USER_ROW, trip_feed, user_feed
 from tidestar.registry.scans import columns_of, scratch_table
 from tidestar.registry.star import DIM_DATETIME_SQL, FACT_LIST, SUMMARY_SQL
 from tidestar.session import work_dir
-from tidestar.sources import file_topic
-from tidestar.streaming import decode_trips, read_replica, replica_sink, run, start_star, stream_append
+from tidestar.sources import file_topic, route
+from tidestar.streaming import (
+    decode_trips,
+    read_replica,
+    read_routed,
+    replica_sink,
+    routed_sink,
+    run,
+    start_star,
+    stream_append,
+)
 
 # A few micro-batches over a small topic; over a large one as many as its files need, each of bounded size.
 BATCHES, MAX_FILES = 3, 1000
@@ -81,3 +91,17 @@ def stream_replica(spark: SparkSession, sf_dir: str) -> DataFrame:
     writer = changes.writeStream.foreachBatch(replica_sink(root, keys, order)).trigger(availableNow=True)
     run(writer.option("checkpointLocation", work_dir(spark, "checkpoint")).start())
     return read_replica(spark, root, changes.schema, keys, order)
+
+
+@query(
+    "stream_route",
+    """SELECT event_id AS feed_offset, user_id FROM events WHERE event_type = 'purchase'""",
+)
+def stream_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All topics routed to table folders in one pass, then one table read back."""
+    records = lay_topic(spark, user_feed(spark, sf_dir), "user_topic").select("key", "offset", "topic")
+    routed, root = route(records, {"app.public.purchases": "purchases"}), work_dir(spark, "routed")
+    writer = routed.writeStream.foreachBatch(routed_sink(root)).trigger(availableNow=True)
+    run(writer.option("checkpointLocation", work_dir(spark, "checkpoint")).start())
+    purchases = record_key(read_routed(spark, root, routed.schema, "purchases"), USER_KEY)
+    return purchases.select(F.col("offset").alias("feed_offset"), "user_id")

@@ -1,16 +1,19 @@
-from tidestar.streaming.appends import append, append_star, stream_append
+from tidestar.streaming.appends import append, append_star, read_routed, routed_sink, stream_append
 from tidestar.streaming.replica import merge_replica, read_replica, replica_sink
-from tidestar.streaming.run import run
-from tidestar.streaming.star import decode_trips, query_id, star_sink, start_star
+from tidestar.streaming.run import query_id, run
+from tidestar.streaming.star import decode_captured_trips, decode_trips, star_sink, start_star
 
 __all__ = [
     "append",
     "append_star",
+    "decode_captured_trips",
     "decode_trips",
     "merge_replica",
     "query_id",
     "read_replica",
+    "read_routed",
     "replica_sink",
+    "routed_sink",
     "run",
     "star_sink",
     "start_star",

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tidestar import schemas
 from tidestar.operators.star import build_dim_datetime, build_fact
-from tidestar.streaming.run import with_trigger
+from tidestar.streaming.run import query_id, with_trigger
 
 
 def append(df: DataFrame, table: str) -> None:
@@ -48,3 +52,24 @@ def append_star(
     return {
         name: stream_append(df, f"{database}.{name}", f"{checkpoints}/{name}", every) for name, df in frames.items()
     }
+
+
+def routed_sink(root: str) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that writes routed records, one pass for all their tables.
+
+    Each batch has its own folder with one subfolder per ``table``; a replayed
+    batch overwrites itself.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        folder = f"{root}/run={query_id(batch.sparkSession)}/batch_id={batch_id}"
+        batch.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("table").parquet(folder)
+
+    return write
+
+
+def read_routed(spark: SparkSession, root: str, schema: T.StructType, table: str) -> DataFrame:
+    """The records routed to one table; only its folders are read."""
+    stored = T.StructType([*[f for f in schema if f.name != "table"], T.StructField("table", T.StringType())])
+    records = spark.read.schema(stored).parquet(root).filter(F.col("table") == table)
+    return records.select([f.name for f in schema if f.name != "table"])

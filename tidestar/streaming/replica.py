@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tidestar.operators.changes import apply_changes, latest_per_key
 from tidestar.storage import folders_with, remove_folder
-from tidestar.streaming.star import query_id
+from tidestar.streaming.run import query_id
 
 
 def replica_sink(root: str, keys: Sequence[str], order: Sequence[str]) -> Callable[[DataFrame, int], None]:

@@ -1,9 +1,10 @@
-"""Starting and waiting for streaming queries."""
+"""Starting, naming and waiting for streaming queries."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark.sql import SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -13,6 +14,18 @@ def with_trigger(writer: DataStreamWriter, every: str | None) -> DataStreamWrite
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
 
 
+def query_id(spark: SparkSession) -> str:
+    """The id of the streaming query whose micro-batch is running.
+
+    It comes from the checkpoint, so a restart keeps it and a new checkpoint,
+    whose batches count from 0 again, gets another.
+    """
+    found = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not found:
+        raise RuntimeError("no streaming query is running a micro-batch in this thread")
+    return found
+
+
 def run(queries: StreamingQuery | Iterable[StreamingQuery]) -> None:
     """Wait for one query, or for all of several; the first failure among them is raised at once."""
     waiting = [queries] if isinstance(queries, StreamingQuery) else list(queries)

@@ -5,16 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tidestar import schemas
-from tidestar.functions.decode import conform, decode_value, parse_json
+from tidestar.functions.decode import conform, decode_value, micros_to_ts, parse_json, rename, unwrap_cdc
 from tidestar.plans.star import clean_trips
 from tidestar.plans.catalog import CatalogStar
 from tidestar.plans.store import StarStore
-from tidestar.streaming.run import with_trigger
+from tidestar.streaming.run import query_id, with_trigger
 
 
 def decode_trips(records: DataFrame, schema: T.StructType = schemas.WIRE_TRIPS) -> DataFrame:
@@ -22,16 +23,14 @@ def decode_trips(records: DataFrame, schema: T.StructType = schemas.WIRE_TRIPS)
     return parse_json(decode_value(records), schema)
 
 
-def query_id(spark: SparkSession) -> str:
-    """The id of the streaming query whose micro-batch is running.
+def decode_captured_trips(records: DataFrame, wrapped: bool = False) -> DataFrame:
+    """Topic records of change envelopes around raw trips to the rows of :func:`decode_trips`.
 
-    It comes from the checkpoint, so a restart keeps it and a new checkpoint,
-    whose batches count from 0 again, gets another.
+    Raw names are mapped, times read as microseconds; deletes have no trip to load.
     """
-    found = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-    if not found:
-        raise RuntimeError("no streaming query is running a micro-batch in this thread")
-    return found
+    rows = unwrap_cdc(records, schemas.CAPTURED_TRIPS, keep_tombstones=False, wrapped=wrapped)
+    kept = micros_to_ts(rows.filter(F.col("__deleted") == "false"), schemas.EVENT_TIMES)
+    return conform(rename(kept, schemas.TRIP_NAMES), schemas.WIRE_TRIPS)
 
 
 def star_sink(store: StarStore | CatalogStar) -> Callable[[DataFrame, int], None]:
