@@ -14,6 +14,7 @@ from tidestar.operators.changes import merge_into
 from tidestar.operators.star import build_dim_datetime, create_star
 from tidestar.plans.star import code_dimensions
 from tidestar.plans.store import CODE_KEYS
+from tidestar.session import require_utc
 
 
 @dataclass(frozen=True)
@@ -36,6 +37,7 @@ class CatalogStar:
 
     def load(self, trips: DataFrame, run: str, batch_id: int) -> None:
         """Merge the dimensions of clean trips, then append their fact rows."""
+        require_utc(trips.sparkSession, "loading a star")
         codes = trips.select(*CODE_KEYS).distinct().persist(StorageLevel.MEMORY_AND_DISK)
         try:
             dims = {"dim_datetime": build_dim_datetime(trips)} | code_dimensions(codes)
