@@ -123,6 +123,15 @@ def test_daily_batches_can_be_run_again(spark, folder):
     assert rows(times.select(F.to_date("tpep_pickup_datetime")).distinct()) == [(days[0],)]
 
 
+def test_a_day_run_again_without_its_trips_is_emptied(spark, folder):
+    rows_of = clean_trips(trips(spark, SMALL)).withColumn("day", F.to_date("tpep_pickup_datetime"))
+    first, second = [r.day for r in rows_of.select("day").distinct().orderBy("day").limit(2).collect()]
+    for source in (trips(spark, SMALL), trips(spark, SMALL).filter(F.to_date("tpep_pickup_datetime") != second)):
+        for day in (first, second):
+            store = run_batch(spark, source, f"{folder}/star", day)
+    assert rows(store.stored(spark, "fact_trips").select("pickup_date").distinct()) == [(first,)]
+
+
 def test_empty_batch_writes_nothing(spark, folder):
     none = trips(spark, SMALL).filter("false")
     store = run_batch(spark, none, f"{folder}/star")

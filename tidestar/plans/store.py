@@ -87,8 +87,9 @@ class StarStore:
     def load(self, trips: DataFrame, run: str, batch_id: int) -> None:
         """Merge the dimensions of clean trips, then write their fact rows as one batch.
 
-        The trips are read three times: for the combinations of code keys (few,
-        kept, and the source of four dimensions), the distinct times, the fact.
+        A batch loaded again with no rows leaves none behind. The trips are read
+        three times: for the combinations of code keys (few, kept, and the
+        source of four dimensions), for the distinct times, and for the fact.
         """
         spark = trips.sparkSession
         require_utc(spark, "loading a star")
@@ -97,11 +98,10 @@ class StarStore:
         codes.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             first, last = codes.agg(F.min("first_day"), F.max("last_day")).first()
-            if first is None:
-                return
-            self._merge_datetime(spark, build_dim_datetime(trips), first, last)
-            for name, rows in code_dimensions(codes).items():
-                self._merge_codes(spark, name, rows)
+            if first is not None:
+                self._merge_datetime(spark, build_dim_datetime(trips), first, last)
+                for name, rows in code_dimensions(codes).items():
+                    self._merge_codes(spark, name, rows)
         finally:
             codes.unpersist()
         self._write_fact(trips, run, batch_id)
