@@ -19,19 +19,26 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split() if text else []
 
 
+#: Bytes of a batch that a function gets at a time; Python objects take several times as much.
+SLICE_BYTES = 8_000_000
+
+
 def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[[dict[str, list]], dict[str, Any]]]) -> DataFrame:
     """Apply a function to batches of rows, given and returned as columns.
 
     ``make`` is called once in each task and returns the function for its batches, so that
-    caches and tables live as long as the task. Batches are bounded by Spark's own settings.
+    caches and tables live as long as the task. Batches are bounded by Spark's own settings, and
+    large ones are handed on in slices.
     """
     wanted = to_arrow_schema(T._parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = make()
         for batch in batches:
-            if batch.num_rows:
-                out = function({name: batch.column(i).to_pylist() for i, name in enumerate(batch.schema.names)})
+            step = max(1, batch.num_rows * SLICE_BYTES // max(batch.nbytes, SLICE_BYTES))
+            for at in range(0, batch.num_rows, step):
+                part = batch.slice(at, step)
+                out = function({name: part.column(i).to_pylist() for i, name in enumerate(part.schema.names)})
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in wanted], schema=wanted)
 
     return df.mapInArrow(run, schema)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 from collections.abc import Callable
+from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidestar.llm import bpe
+from tidestar.llm import bpe, forest, robust
 from tidestar.session import pin_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,11 +18,25 @@ QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 
+SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Give the executors this package's code, once for each application."""
+    app = spark.sparkContext.applicationId
+    if app not in SHIPPED:
+        SHIPPED.add(app)
+        root = Path(__file__).resolve().parent.parent
+        to = f"{tempfile.mkdtemp(prefix='run-')}/{root.name}"
+        spark.sparkContext.addPyFile(shutil.make_archive(to, "zip", root.parent, root.name))
+    return spark
+
+
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     """Register a query and, where SQL can express it, the SQL that must give the same rows."""
 
     def register(function: Query) -> Query:
-        QUERIES[name] = lambda spark, sf_dir: function(pin_utc(spark), sf_dir)
+        QUERIES[name] = lambda spark, sf_dir: function(pin_utc(ship(spark)), sf_dir)
         if sql is not None:
             ORACLE[name] = sql.strip()
         return function
@@ -36,3 +53,17 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded and decoded with the public byte-level vocabulary."""
     encoded = bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
     return encoded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query("op1_robust_outliers")
+def op1_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the robust verdict of every document."""
+    found = robust.verdicts(table(spark, sf_dir, "documents"))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return found.select("doc_id", *counts, "base_failed", "kept", "distance")
+
+
+@query("op8_lsh_forest")
+def op8_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents over two-word shingles."""
+    return forest.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
