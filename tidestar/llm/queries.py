@@ -10,7 +10,8 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidestar.llm import bpe, forest, robust
+import corpus_pipeline
+from tidestar.llm import bpe, forest, lookup, mixing, quotes, robust
 from tidestar.session import pin_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,3 +68,32 @@ def op1_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents over two-word shingles."""
     return forest.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
+
+
+@query("op3_soft_mixing")
+def op3_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Soft memberships, rates and copies of all documents for the default targets."""
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+SHARDS = [f"shard-{i:02d}" for i in range(32)]
+
+
+@query("op9_lookup_table", lookup.ORACLE.format(slots=lookup.SLOTS, shards=len(SHARDS)))
+def op9_lookup_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The slot and shard of every document."""
+    placed = lookup.place(table(spark, sf_dir, "documents"), "doc_id", SHARDS)
+    return placed.select("doc_id", "slot", "shard")
+
+
+@query("op10_quotation_linking")
+def op10_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations turned into threads of quoting messages, and back from their quotes alone."""
+    threads = quotes.with_quotes(table(spark, sf_dir, "conversations"))
+    return quotes.conversations(threads)
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline."""
+    return corpus_pipeline.run(spark, sf_dir)
