@@ -23,22 +23,36 @@ def words_of(text: str | None) -> list[bytes]:
 SLICE_BYTES = 8_000_000
 
 
-def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[[dict[str, list]], dict[str, Any]]]) -> DataFrame:
-    """Apply a function to batches of rows, given and returned as columns.
+def map_slices(df: DataFrame, schema: str, run: Callable[[Iterator[dict[str, list]]], Iterator[dict[str, Any]]]) -> DataFrame:
+    """Apply a generator to the slices of each partition, given and returned as columns.
 
-    ``make`` is called once in each task and returns the function for its batches, so that
-    caches and tables live as long as the task. Batches are bounded by Spark's own settings, and
-    large ones are handed on in slices.
+    Batches are bounded by Spark's own settings, and large ones are handed on in slices.
     """
     wanted = to_arrow_schema(T._parse_datatype_string(schema))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        function = make()
+    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
         for batch in batches:
             step = max(1, batch.num_rows * SLICE_BYTES // max(batch.nbytes, SLICE_BYTES))
             for at in range(0, batch.num_rows, step):
                 part = batch.slice(at, step)
-                out = function({name: part.column(i).to_pylist() for i, name in enumerate(part.schema.names)})
-                yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in wanted], schema=wanted)
+                yield {name: part.column(i).to_pylist() for i, name in enumerate(part.schema.names)}
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in run(slices(batches)):
+            yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in wanted], schema=wanted)
+
+    return df.mapInArrow(mapped, schema)
+
+
+def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[[dict[str, list]], dict[str, Any]]]) -> DataFrame:
+    """Apply a function to slices of rows, given and returned as columns.
+
+    ``make`` is called once in each task and returns the function, so that caches and tables live
+    as long as the task.
+    """
+
+    def run(slices: Iterator[dict[str, list]]) -> Iterator[dict[str, Any]]:
+        function = make()
+        yield from map(function, slices)
 
-    return df.mapInArrow(run, schema)
+    return map_slices(df, schema, run)

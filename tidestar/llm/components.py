@@ -39,3 +39,12 @@ def components(links: DataFrame) -> DataFrame:
             break
     nodes = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return nodes.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def least_members(members: DataFrame, links: DataFrame) -> DataFrame:
+    """``id`` and ``component_id``: the smallest ``doc_id`` in the component of every row of ``members`` (``id``, ``doc_id``)."""
+    known = components(links)
+    named = members.select("id", "doc_id").join(known, F.col("id") == F.col("node"), "left")
+    named = stored(named.select("id", "doc_id", F.coalesce("component", "id").alias("component")), "members")
+    least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    return named.join(least, "component").select("id", "component_id")

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidestar.llm.batches import map_rows
-from tidestar.llm.components import components
+from tidestar.llm.components import components, least_members
 from tidestar.session import stored
 
 TREES, DEPTH, MIN_DEPTH = 14, 5, 3
@@ -274,11 +274,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     left, right = (known.select(F.col("node").alias(c), F.col("component").alias(f"c{c}")) for c in "ab")
     apart = pairs.join(best, ["a", "b"], "left_anti").join(left, "a", "left").join(right, "b", "left")
     apart = apart.where(~F.coalesce(F.col("ca") == F.col("cb"), F.lit(False))).select("a", "b")
-    known = components(links.unionByName(confirmed(apart, sets, percent)))
-    named = classes.select("id", "doc_id").join(known, F.col("id") == F.col("node"), "left")
-    named = stored(named.select("id", "doc_id", F.coalesce("component", "id").alias("component")), "members")
-    least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = named.join(least, "component").select("id", "component_id")
+    named = least_members(classes.select("id", "doc_id"), links.unionByName(confirmed(apart, sets, percent)))
     out = table.join(named, "id", "left").withColumn("component_id", F.when(F.col("id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
     return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 

@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tidestar.llm import bpe, forest, lookup, mixing, quotes, robust
+from tidestar.llm import bpe, forest, grid, licenses, lookup, mixing, packing, quotes, robust
 from tidestar.session import pin_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,6 +93,24 @@ def op10_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.conversations(threads)
 
 
+@query("op4_patience_licenses")
+def op4_patience_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices of all documents."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op5_packed_ids")
+def op5_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as packed rows of token ids."""
+    return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), end=50256)
+
+
+@query("op6_grid_order_join")
+def op6_grid_order_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings."""
+    return grid.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""
