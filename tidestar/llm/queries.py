@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tidestar.llm import bpe, forest, grid, licenses, lookup, mixing, packing, quotes, robust
+from tidestar.llm import attention, bpe, forest, grid, licenses, lookup, mixing, packing, quotes, robust
 from tidestar.session import pin_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,6 +111,12 @@ def op6_grid_order_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+@query("op2_attention_scores")
+def op2_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model scores of all documents."""
+    return attention.score_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), end=50256)
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""
