@@ -1,0 +1,412 @@
+"""Quality rules, MinHash, BPE, packing, licenses and scoring of texts against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+from collections import Counter, defaultdict
+from itertools import combinations, pairwise
+from math import log10
+
+import numpy as np
+import public_tokenizers
+import pytest
+from cases import documents, empty, is_held_out, lower, prose, row, smallest_reachable, words
+from conftest import SMALL
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from tidestar.llm import attention, bpe, forest, licenses, packing, robust
+
+JSON, RANKS, END = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), 50256
+
+
+def bag(df, *columns):  # noqa: ANN001, ANN201
+    return Counter(tuple(r) for r in df.select(*columns).collect())
+
+
+# --- quality rules
+
+
+def brute_counts(text):  # noqa: ANN001, ANN201
+    w = words(text)
+    lines, seen, dup = (text or "").split("\n"), set(), 0
+    for line in lines:
+        dup += bool(words(line)) and line in seen
+        seen.add(line)
+    windows = Counter(zip(w, w[1:], w[2:], strict=False))
+    covered = {i + k for i in range(len(w) - 2) if windows[tuple(w[i : i + 3])] > 1 for k in range(3)}
+    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for x in w for c in x), dup, len(covered)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(st.sampled_from("ab#|é \t\n\r\x0b\x1c\x85"), max_size=60))
+def test_counts_of_any_text(text):
+    assert robust.text_counts(text)[:5] == brute_counts(text)
+
+
+def test_quality_of_awkward_documents(spark):
+    docs = documents(spark)
+    got = robust.verdicts(docs)
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    want = Counter((r.doc_id, *brute_counts(r.text)) for r in docs.select("doc_id", "text").collect())
+    assert bag(got, "doc_id", *names) == want
+    for r in got.collect():
+        assert r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words)
+        assert not (r.base_failed and r.kept)
+    assert robust.verdicts(empty(spark)).count() == 0
+    kept = robust.kept_documents(docs)
+    assert kept.columns == docs.columns
+    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in got.collect()} - {r.doc_id for r in got.collect() if not r.kept}
+
+
+def test_junk_is_rejected_and_clean_text_kept(spark):
+    docs = spark.read.parquet(SMALL.replace("0.001", "0.1") + "/documents.parquet")
+    labels = spark.read.parquet(SMALL.replace("0.001", "0.1") + "/labels.parquet")
+    found = robust.verdicts(docs).where("not base_failed").join(labels, "doc_id").groupBy("quality", "kept").count().collect()
+    n = {(r.quality, r.kept): r["count"] for r in found}
+    assert n.get((1, False), 0) <= 0.002 * n[1, True]
+    assert n.get((0, True), 0) <= 0.01 * n[0, False]
+
+
+def test_estimates_ignore_a_cluster_of_outliers(spark):
+    r = np.random.default_rng(3)
+    mixing = r.normal(size=(6, 6)) + 2 * np.eye(6)
+    clean = r.normal(size=(4000, 6)) @ mixing.T
+    bad = r.normal(size=(800, 6)) * 0.3 + 40
+    rows = [("g", *map(float, x)) for x in np.concatenate([clean, bad])]
+    points = spark.createDataFrame(rows, "grp string, " + ", ".join(f"{x} double" for x in robust.X))
+    found = robust.estimates(points).collect()
+    assert len(found) == 1
+    assert np.abs(np.array(found[0].center) - clean.mean(axis=0)).max() < 0.3
+    true = np.linalg.slogdet(np.cov(clean.T) + np.diag(np.square(robust.FLOORS)))[1]
+    assert abs(found[0].logdet - true) < 1.0
+    far = [d for (d,) in points.join(robust.estimates(points), "grp").select(robust.squared_distance()).collect()]
+    limit = robust.chi2_quantile(robust.QUANTILE, 6)
+    assert sum(d > limit for d in far) >= 800 and sum(d > limit for d in far[:4000]) < 20
+
+
+def test_chi_square():
+    assert abs(robust.chi2_quantile(0.975, 6) - 14.449) < 1e-3
+    assert abs(robust.chi2_cdf(3.357, 8) - 0.0900) < 1e-3
+
+
+# --- MinHash
+
+
+def brute_components(rows, width, percent=80):  # noqa: ANN001, ANN201
+    sets = []
+    for r in rows:
+        w = words(lower(r.text))
+        k = min(width, len(w))
+        sets.append(frozenset(tuple(w[i : i + k]) for i in range(len(w) - k + 1)) if w else frozenset())
+    links = []
+    for i, j in combinations(range(len(rows)), 2):
+        a, b = sets[i], sets[j]
+        if a and b and 100 * min(len(a), len(b)) >= percent * max(len(a), len(b)):
+            both = len(a & b)
+            if 100 * both >= percent * (len(a) + len(b) - both):
+                links.append((i, j))
+    group = smallest_reachable(range(len(rows)), links)
+    ids = defaultdict(list)
+    for i, g in group.items():
+        ids[g].append(rows[i].doc_id)
+    least = {g: min((x for x in v if x is not None), default=None) for g, v in ids.items()}
+    return Counter((r.doc_id, len(s), least[group[i]]) for i, (r, s) in enumerate(zip(rows, sets, strict=True)))
+
+
+@pytest.mark.parametrize("width", [2, 5])
+def test_near_duplicates_of_awkward_documents(spark, width):
+    docs = documents(spark)
+    got = forest.near_duplicates(docs, width)
+    assert bag(got, "doc_id", "n_shingles", "component_id") == brute_components(docs.collect(), width)
+    assert all(r.kept == (r.doc_id == r.component_id) for r in got.collect() if r.doc_id is not None)
+    assert forest.near_duplicates(empty(spark)).count() == 0
+
+
+def test_near_duplicates_in_crowds(spark):
+    """Chains of small edits, a crowd of near copies, and texts that share most of their words with it."""
+    rows, base = [], prose(900, 120).split()
+    for i in range(300):  # a crowd around one text
+        edited = list(base)
+        edited[i % 110] = f"edit{i}"
+        edited[(7 * i) % 110] = f"other{i}"
+        rows.append(row(1000 + i, " ".join(edited)))
+    chain = prose(901, 100).split()
+    for i in range(40):  # each close to the next only
+        chain[2 * i] = f"link{i}"
+        rows.append(row(5000 - i, " ".join(chain)))
+    rows += [row(6000 + i, " ".join(base[:60]) + " " + prose(950 + i, 60)) for i in range(100)]
+    docs = spark.createDataFrame(rows, documents(spark).schema)
+    for width in (2, 5):
+        assert bag(forest.near_duplicates(docs, width), "doc_id", "n_shingles", "component_id") == brute_components(docs.collect(), width)
+    kept = forest.kept_documents(docs, 2)
+    assert kept.columns == docs.columns
+    assert Counter(r.doc_id for r in kept.collect()) == Counter({c: 1 for _, _, c in brute_components(docs.collect(), 2)})
+
+
+def test_near_duplicates_of_a_table(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    assert bag(forest.near_duplicates(docs, 2), "doc_id", "n_shingles", "component_id") == brute_components(docs.collect(), 2)
+
+
+# --- BPE
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(JSON)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(max_size=80) | st.text(st.sampled_from("ab '\n\té<|endoftext|>  1!"), max_size=60) | st.sampled_from(["<|endoftext|>", "a<|endoftext|> <|endoftext|>b", "aaaaaaaaa", "''s'll"]))
+def test_encoding_is_that_of_the_library(text):
+    own, library = bpe.load(JSON), Tokenizer.from_file(JSON) if not hasattr(test_encoding_is_that_of_the_library, "t") else test_encoding_is_that_of_the_library.t
+    test_encoding_is_that_of_the_library.t = library
+    ids = own.encode_batch([text, None, text])
+    want = library.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(ids[0], "<u4").tolist() == want and ids[0] == ids[2] and ids[1] == b""
+    assert own.decode(ids[0]) == library.decode(want, skip_special_tokens=False) == text
+
+
+def test_bpe_of_awkward_documents(spark, library):
+    docs = documents(spark)
+    want = Counter()
+    for r in docs.collect():
+        ids = library.encode(r.text or "", add_special_tokens=False).ids
+        text = library.decode(ids, skip_special_tokens=False)
+        want[r.doc_id, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()] += 1
+    assert bag(bpe.encode(docs, JSON), "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == want
+    assert bpe.encode(empty(spark), JSON).count() == 0
+    assert bpe.encode(docs, JSON, with_ids=False).where("ids is not null").count() == 0
+
+
+def test_a_broken_sequence_decodes_with_replacement(library):
+    ids = library.encode("漢", add_special_tokens=False).ids[:1]
+    assert bpe.load(JSON).decode(np.array(ids, "<u4").tobytes()) == library.decode(ids, skip_special_tokens=False)
+
+
+def test_a_cleared_cache_changes_nothing(monkeypatch):
+    own = bpe.PairIndexBPE(JSON)
+    texts = [prose(i, 50) for i in range(20)]
+    want = own.encode_batch(texts)
+    monkeypatch.setattr(bpe, "CACHE_WORDS", 3)
+    assert [own.encode_batch([t])[0] for t in texts] == want
+
+
+# --- packing
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(1, 50), max_size=60))
+def test_packing_is_best_fit_decreasing(sizes):
+    rows = packing.pack_sizes(sizes, 50)
+    assert sorted(i for r in rows for i in r) == list(range(len(sizes)))
+    free: list[int] = []
+    for size in sorted(sizes, reverse=True):  # the same by looking at every row
+        fits = [f for f in free if f >= size]
+        if fits:
+            free[free.index(min(fits))] -= size
+        else:
+            free.append(50 - size)
+    assert sorted(50 - sum(sizes[i] for i in r) for r in rows) == sorted(free)
+
+
+def test_packing_of_awkward_documents(spark):
+    docs = documents(spark)
+    got = packing.packed(docs, RANKS, END, capacity=256).collect()
+    encoder, parts = packing.encoding(RANKS), defaultdict(list)
+    for r in got:
+        ids = np.frombuffer(r.input_ids, "<u2")
+        assert len(ids) == 256 and r.cu_seqlens[0] == 0 and r.cu_seqlens[-1] == r.n_tokens <= 256
+        assert r.resets == r.cu_seqlens[:-1] and (ids[r.n_tokens :] == END).all()
+        position = packing.position_ids(r.cu_seqlens, 256)
+        for doc_id, part, (a, b) in zip(r.doc_ids, r.parts, pairwise(r.cu_seqlens), strict=True):
+            parts[doc_id, part].append(tuple(ids[a:b].tolist()))
+            assert position[a:b].tolist() == list(range(b - a))
+    want = defaultdict(list)
+    for r in docs.collect():
+        ids = [*encoder.encode_ordinary(r.text or ""), END]
+        for part, at in enumerate(range(0, len(ids), 256)):
+            want[r.doc_id, part].append(tuple(ids[at : at + 256]))
+    assert {k: Counter(v) for k, v in parts.items()} == {k: Counter(v) for k, v in want.items()}
+    assert packing.packed(empty(spark), RANKS, END).count() == 0
+
+
+def test_blocks_are_bounded(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    whole = packing.packed(docs, RANKS, END)
+    filled = whole.selectExpr("sum(n_tokens) / (count(1) * 2048)").first()[0]
+    assert filled > 0.95
+
+
+# --- licenses
+
+
+def test_patience_alignment():
+    a, b = "the a of the b x c the".split(), "the a b c of the".split()
+    pairs = licenses.patience(a, b)
+    assert all(a[i] == b[j] for i, j in pairs)
+    assert all(p < q and r < s for (p, r), (q, s) in pairwise(pairs))
+    assert len(pairs) >= 4
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from("abc"), max_size=12), st.lists(st.sampled_from("abc"), max_size=12))
+def test_gaps_are_aligned_by_a_longest_common_subsequence(a, b):
+    table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, j in np.ndindex(len(a), len(b)):
+        table[i + 1][j + 1] = table[i][j] + 1 if a[i] == b[j] else max(table[i][j + 1], table[i + 1][j])
+    pairs = licenses.common(a, b)
+    assert len(pairs) == table[-1][-1] and all(a[i] == b[j] for i, j in pairs)
+    assert all(p < q and r < s for (p, r), (q, s) in pairwise(pairs))
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.permutations(range(9)))
+def test_longest_increasing_subsequence(values):
+    got = [values[i] for i in licenses.increasing(values)]
+    best = max(len(c) for n in range(10) for c in combinations(values, n) if all(x < y for x, y in pairwise(c)))
+    assert got == sorted(got) and len(got) == best
+
+
+def test_licenses_in_documents(spark):
+    mit, gpl = licenses.TEMPLATES["MIT-text"], licenses.TEMPLATES["GPL-3.0"]
+    changed = mit.replace("charge", "cost").replace("Software without", "Software entirely without")
+    texts = {
+        1: prose(1, 300) + "\n" + mit + "\n" + prose(2, 20_000),
+        2: f"{changed} {changed}",
+        3: gpl.upper() + " " + gpl,
+        4: prose(4, 5000),
+        5: mit[: len(mit) // 2],
+        6: None,
+        7: "",
+    }
+    docs = spark.createDataFrame([row(i, t) for i, t in texts.items()] + [row(None, gpl), row(3, texts[3])], documents(spark).schema)
+    got = Counter((r.doc_id, r.license) for r in licenses.scan(docs).collect())
+    assert got == Counter({(1, "MIT-text"): 1, (2, "MIT-text"): 2, (3, "GPL-3.0"): 4, (None, "GPL-3.0"): 1})
+    for r in licenses.scan(docs).where("doc_id is not null").collect():
+        assert texts[r.doc_id][r.start : r.stop] == r.notice and r.coverage >= 0.8
+        assert r.coverage == r.n_matched / r.n_template
+    assert licenses.scan(empty(spark)).count() == 0
+
+
+def test_every_planted_notice_is_found(spark):
+    docs = spark.read.parquet(SMALL.replace("0.001", "0.01") + "/documents.parquet")
+    got = Counter((r.doc_id, r.license) for r in licenses.scan(docs).collect())
+    short = ("CC-BY-NC-4.0", "GPL-3.0", "Apache-2.0", "MIT")
+    want = Counter({(r.doc_id, k): r.text.count(licenses.TEMPLATES[k]) for r in docs.collect() for k in short})
+    assert got == +want
+
+
+# --- scoring
+
+
+@pytest.fixture(scope="module")
+def scored(spark):
+    docs = spark.read.parquet(SMALL.replace("0.001", "0.01") + "/documents.parquet")
+    return docs.select("doc_id", "text").collect(), attention.score_documents(docs, RANKS, END).collect()
+
+
+def base_scores(rows):  # noqa: ANN001, ANN201
+    tokens = [[*words(lower(r.text)), None] for r in rows]
+    counts = Counter(w for r, t in zip(rows, tokens, strict=True) if not is_held_out(r.doc_id) for w in t)
+    n, v = sum(counts.values()), len(counts)
+    score = lambda t: sum(log10((counts[w] + 0.5) / (n + 0.5 * (v + 1))) for w in t)
+    return Counter((r.doc_id, is_held_out(r.doc_id), len(t), sum(counts[w] > 0 for w in t), n, round(score(t), 4)) for r, t in zip(rows, tokens, strict=True))
+
+
+def rounded(rows):  # noqa: ANN001, ANN201
+    return Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4)) for r in rows)
+
+
+def test_base_scores(scored):
+    assert rounded(scored[1]) == base_scores(scored[0])
+
+
+def test_base_scores_without_frequent_words(spark, scored, monkeypatch):
+    monkeypatch.setattr(attention, "FREQUENT", 5)
+    docs = spark.createDataFrame(scored[0])
+    assert rounded(attention.score_documents(docs, RANKS, END).collect()) == base_scores(scored[0])
+
+
+def test_held_out_text_is_predicted(scored):
+    held = [r for r in scored[1] if r.held_out]
+    unigrams = sum(r.base_score for r in held)
+    assert sum(r.score for r in held) > unigrams
+    assert all(r.score < 0 for r in held)
+
+
+def test_scoring_of_awkward_documents(spark):
+    docs = documents(spark)
+    got = attention.score_documents(docs, RANKS, END).collect()
+    assert rounded(got) == base_scores(docs.collect())
+    assert all(np.isfinite(r.score) for r in got)
+    same = {r.score for r in got if r.doc_id in (6, 7)}
+    assert len(same) == 1  # letters are lower-cased
+    assert attention.score_documents(empty(spark), RANKS, END).count() == 0
+
+
+@pytest.fixture(scope="module")
+def small_model():
+    texts = [np.array(packing.encoding(RANKS).encode_ordinary(" " + prose(i, 70).lower()), "<u2").tobytes() for i in range(30)]
+    counts = np.bincount(np.frombuffer(b"".join(texts), "<u2"), minlength=END + 1).astype(float)
+    counts[END] = len(texts)
+    vocabulary = attention.Vocabulary(counts)
+    x = attention.Blocks(vocabulary, texts)
+    cells = np.zeros((attention.CLASSES + 1, attention.CLASSES + 1))
+    np.add.at(cells, (x.inputs, x.targets), 1)
+    table = cells[: attention.CLASSES, : attention.CLASSES]
+    values = attention.Values(vocabulary.unigram, table, table)
+    values.add_pairs(np.zeros((len(values.firsts), attention.CLASSES)))
+    return vocabulary, attention.Model(attention.start_parameters(), values), texts
+
+
+def test_probabilities_of_the_next_class_sum_to_one(small_model):
+    vocabulary, model, texts = small_model
+    _, x, keys, _ = next(attention.Blocks(vocabulary, texts).windows(4))
+    total = sum(model.attend(x, keys, np.full(x.shape, y))["chance"].astype(float) for y in range(attention.CLASSES))
+    assert np.abs(total - 1)[x != attention.PAD].max() < 1e-4
+    other = vocabulary.of == attention.OTHER
+    assert abs((10 ** vocabulary.within[other]).sum() - 1) < 1e-9
+
+
+def test_batches_score_as_places_one_by_one(small_model):
+    vocabulary, model, texts = small_model
+    want = []
+    for text in texts[:5]:
+        ids = vocabulary.of[np.append(np.frombuffer(text, "<u2"), END)]
+        sequence = np.append(vocabulary.of[END], ids)
+        total = vocabulary.within[np.frombuffer(text, "<u2")].sum()
+        for i in range(len(ids)):
+            low = i // attention.BLOCK * attention.BLOCK - attention.BLOCK
+            context = np.array([sequence[j] if j >= 0 else attention.PAD for j in range(low, i + 1)])
+            p, v, own = model.parameters, model.values, context[-1]
+            s = p["key"][context] @ p["query"][own] + p["offset"][i - np.arange(low, i + 1)]
+            s[-1] += p["near"][own]
+            weight = np.where(context == attention.PAD, 0, np.exp(s))
+            chance = v.later.reshape(-1, attention.CLASSES)[context, ids[i]]
+            chance[-1] = v.own.reshape(-1, attention.CLASSES)[v.row[context[-2] * (attention.CLASSES + 1) + own], ids[i]]
+            none = np.exp(p["none"][own])
+            total += log10(((weight * chance).sum() + none * v.unigram[ids[i]]) / (weight.sum() + none))
+        want.append(total)
+    assert np.allclose(model.score(vocabulary, texts[:5]), want, rtol=1e-4)
+
+
+def test_gradients_are_those_of_the_score(small_model):
+    vocabulary, model, texts = small_model
+    blocks = attention.Blocks(vocabulary, texts[:3])
+    _, x, keys, y = next(blocks.windows(1000))
+    gradients = model.gradients(x, keys, y)
+    score = lambda: float(np.where(y != attention.PAD, np.log(model.attend(x, keys, np.where(y == attention.PAD, 0, y))["chance"].astype(float)), 0).sum())
+    for name in attention.SHAPES:
+        at = np.unravel_index(np.argmax(np.abs(gradients[name])), gradients[name].shape)
+        old = model.parameters[name][at]
+        sides = []
+        for step in (0.02, -0.02):
+            model.parameters[name][at] = old + step
+            model.prepare()
+            sides.append(score())
+        model.parameters[name][at] = old
+        model.prepare()
+        assert (sides[0] - sides[1]) / 0.04 == pytest.approx(gradients[name][at], rel=0.05, abs=0.02)

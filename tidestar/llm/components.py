@@ -20,7 +20,8 @@ def components(links: DataFrame) -> DataFrame:
     nothing. Ids without a link to another id have no row. Alternates large-star and small-star
     rounds until the links form stars. Each round's table is written to the shared folder, and
     nothing but its size and checksum comes to the driver. A hot id is reduced by partial
-    aggregates; joins on it are split by the adaptive skew join.
+    aggregates, and these are stored too: a join of stored tables is one whose hot partitions the
+    adaptive skew join can split, which it can't beside an aggregate.
     """
     a, b = links.columns[:2]
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v").distinct()
@@ -28,10 +29,10 @@ def components(links: DataFrame) -> DataFrame:
     state = _state(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+        least = stored(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), "least")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = stored(large, "links")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = stored(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).where("u != v").distinct(), "links")
         before, state = state, _state(edges)
@@ -46,5 +47,5 @@ def least_members(members: DataFrame, links: DataFrame) -> DataFrame:
     known = components(links)
     named = members.select("id", "doc_id").join(known, F.col("id") == F.col("node"), "left")
     named = stored(named.select("id", "doc_id", F.coalesce("component", "id").alias("component")), "members")
-    least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    least = stored(named.groupBy("component").agg(F.min("doc_id").alias("component_id")), "least")
     return named.join(least, "component").select("id", "component_id")

@@ -6,8 +6,8 @@ document a posterior over the domains: soft membership. Rates then solve a least
     minimise  (A r - T)' G^-1 (A r - T)   over rates r >= 0,
 
 where ``A r`` are the expected tokens of each domain, ``T`` the target and ``G`` the Gram matrix of the
-memberships weighted by tokens. In that scale a projected gradient step of length one is safe, so every step is
-``r <- max(0, r - p . g)`` with one vector ``g`` for all documents. A step is one aggregation over the
+memberships weighted by tokens. Every projected gradient step is ``r <- max(0, r - p . g)`` with one
+vector ``g`` for all documents. A step is one aggregation over the
 documents; the driver sees as many numbers as there are domains, and the steps taken so far are
 folded over each document again, so nothing is rewritten between them.
 """
@@ -25,10 +25,10 @@ from tidestar.session import stored
 BUCKETS = 8192  #: hashed words told apart by the classifier
 #: Labelled documents that the classifier learns from at most, taken by hash.
 LABELLED = 200_000
-STEPS = 60
-TOLERANCE = 1e-6  #: of all tokens: the residual at which steps end
-#: Words taken as independent evidence: a document's evidence counts as that of so many words at most.
-EVIDENCE = 20.0
+STEPS = 40
+TOLERANCE = 1e-5  #: of all tokens: the misfit of a domain at which steps end
+#: A document's evidence counts as that of so many words at most, since words are not independent.
+EVIDENCE = 60.0
 
 
 def words(text: str = "text") -> Column:
@@ -97,32 +97,43 @@ def rate(steps: list[list[float]], k: int) -> Column:
 
 
 def fit(members: DataFrame, domains: list[int], targets: dict[int, float]) -> list[list[float]]:
-    """The projected gradient steps that bring the expected tokens of each domain to its target share."""
+    """The projected gradient steps that bring the expected tokens of each domain to its target share.
+
+    A step is scaled by the Gram matrix of the documents whose rates are above zero, which the same
+    pass sums up. Should that overshoot, it is taken back for one scaled by the matrix of all
+    documents, which never increases the misfit.
+    """
     k = len(domains)
-    grams = [F.sum(F.col("n_tokens") * F.col("p")[i] * F.col("p")[j]) for i in range(k) for j in range(i + 1)]
-    row = members.agg(F.sum("n_tokens"), *grams).first()
-    total = float(row[0] or 0)
-    if not total or not any(targets.get(d, 0) > 0 for d in domains):
-        return []
-    gram, at = np.zeros((k, k)), 1
-    for i in range(k):
-        for j in range(i + 1):
-            gram[i, j] = gram[j, i] = row[at]
-            at += 1
-    inverse = np.linalg.pinv(gram, rcond=1e-9, hermitian=True)
-    weights = np.array([max(0.0, targets.get(d, 0.0)) for d in domains])
-    wanted = total * weights / weights.sum()
+    entries = [(i, j) for i in range(k) for j in range(i + 1)]
+    tokens = [F.col("n_tokens") * F.col("p")[i] for i in range(k)]
     steps: list[list[float]] = []
+    whole, residual, misfit, plain = None, None, None, True
     for _ in range(STEPS):
         rated = members.withColumn("r", rate(steps, k))
-        sums = rated.agg(*(F.sum(F.col("n_tokens") * F.col("p")[i] * F.col("r")) for i in range(k))).first()
-        residual = np.array([float(s or 0) for s in sums]) - wanted
+        active = [F.sum(F.when(F.col("r") > 0, tokens[i] * F.col("p")[j])) for i, j in entries]
+        row = [float(x or 0) for x in rated.agg(F.sum("n_tokens"), *(F.sum(t * F.col("r")) for t in tokens), *active).first()]
+        total, sums = row[0], np.array(row[1 : k + 1])
+        if not total or not any(targets.get(d, 0) > 0 for d in domains):
+            return []
+        gram = np.zeros((k, k))
+        for (i, j), x in zip(entries, row[k + 1 :], strict=True):
+            gram[i, j] = gram[j, i] = x
+        if whole is None:  # at first all rates are 1
+            whole = np.linalg.pinv(gram, rcond=1e-9, hermitian=True)
+            weights = np.array([max(0.0, targets.get(d, 0.0)) for d in domains])
+            wanted = total * weights / weights.sum()
+        now = float((sums - wanted) @ whole @ (sums - wanted))
+        if misfit is not None and now > misfit and not plain:
+            steps[-1], plain = (whole @ residual).tolist(), True
+            continue
+        residual, misfit = sums - wanted, now
         if np.abs(residual).max() <= TOLERANCE * total:
             break
-        step = (inverse @ residual).tolist()
+        step = np.linalg.pinv(gram, rcond=1e-9, hermitian=True) @ residual
         if not np.abs(step).max() > 1e-12:
             break
-        steps.append(step)
+        steps.append(step.tolist())
+        plain = False
     return steps
 
 

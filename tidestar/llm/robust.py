@@ -41,6 +41,7 @@ QUANTILE = 0.99999  #: of the chi-square distribution beyond which a document is
 MIN_GROUP = 50  #: a source with fewer documents of a language joins that language's other small sources
 STEPS = 10  #: concentration steps at most; they end earlier when no determinant falls any more
 BINS_PER_OCTAVE = 32
+SALTS = 32  #: parts that a group's documents are dealt into when they meet its estimate
 GRAIN = 256  #: medians are taken over values rounded to 1/GRAIN, so their counts stay few
 
 
@@ -229,17 +230,24 @@ def distance_bin() -> Column:
     return F.floor(F.log2(F.greatest(squared_distance(), F.lit(2.0**-20))) * BINS_PER_OCTAVE).cast("int").alias("bin")
 
 
+def given(points: DataFrame, table: DataFrame) -> DataFrame:
+    """The points with the row of ``table`` for their group; a hot group meets it in ``SALTS`` parts."""
+    salted = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return points.join(salted, ["grp", "salt"])
+
+
 def estimates(points: DataFrame) -> DataFrame:
     """The estimate of every group of ``points`` (``grp``, ``x0`` .. ``x5``): ``grp``, ``center``, ``whiten``, ``logdet``."""
+    points = points.withColumn("salt", F.pmod(F.hash(*X), F.lit(SALTS)))
     rounded = [F.median(F.round(F.col(x) * GRAIN)) / GRAIN for x in X]
     med = points.groupBy("grp").agg(F.array(*rounded).alias("med"))
     away = [F.median(F.round(F.abs(F.col(x) - F.col("med")[i]) * GRAIN)) / GRAIN for i, x in enumerate(X)]
     floored = [F.greatest(1.4826 * d, F.lit(f)) for d, f in zip(away, FLOORS, strict=True)]
-    spread = stored(points.join(med, "grp").groupBy("grp").agg(F.first("med").alias("med"), F.array(*floored).alias("mad")), "spread")
+    spread = stored(given(points, med).groupBy("grp").agg(F.first("med").alias("med"), F.array(*floored).alias("mad")), "spread")
     z = {f"z{i}": (F.col(x) - F.col("med")[i]) / F.col("mad")[i] for i, x in enumerate(X)}
     norm = F.greatest(sum((F.col(f"z{i}") * F.col(f"z{i}") for i in range(1, 6)), F.col("z0") * F.col("z0")), F.lit(1e-12))
     sums = (
-        points.join(spread, "grp")
+        given(points, spread)
         .select("grp", "med", "mad", *(c.alias(k) for k, c in z.items()))
         .groupBy("grp", "med", "mad")
         .agg(
@@ -249,7 +257,7 @@ def estimates(points: DataFrame) -> DataFrame:
         )
     )
     now = stored(sums.groupBy("grp").applyInPandas(first_estimates, ESTIMATE), "estimates")
-    binned = lambda e: points.join(e, "grp").groupBy("grp", "start", distance_bin()).agg(*moments())
+    binned = lambda e: given(points, e).groupBy("grp", "start", distance_bin()).agg(*moments())
     falling = None
     for _ in range(STEPS):
         now = stored(binned(now).groupBy("grp", "start").applyInPandas(concentrate, ESTIMATE), "estimates")
