@@ -20,19 +20,27 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 #: Bytes of a batch that a function gets at a time; Python objects take several times as much.
-SLICE_BYTES = 8_000_000
+SLICE_BYTES = 4_000_000
+#: Bytes of a batch on its way to and from Python; a session that has larger ones is set to this.
+BATCH_BYTES = 8_000_000
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def map_slices(df: DataFrame, schema: str, run: Callable[[Iterator[dict[str, list]]], Iterator[dict[str, Any]]]) -> DataFrame:
+def map_slices(
+    df: DataFrame, schema: str, run: Callable[[Iterator[dict[str, list]]], Iterator[dict[str, Any]]], slice_bytes: int = SLICE_BYTES
+) -> DataFrame:
     """Apply a generator to the slices of each partition, given and returned as columns.
 
-    Batches are bounded by Spark's own settings, and large ones are handed on in slices.
+    Batches are bounded in bytes, and large ones are handed on in slices.
     """
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(BATCH_CONF).rstrip("b")) <= BATCH_BYTES:
+        conf.set(BATCH_CONF, f"{BATCH_BYTES}b")
     wanted = to_arrow_schema(T._parse_datatype_string(schema))
 
     def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
         for batch in batches:
-            step = max(1, batch.num_rows * SLICE_BYTES // max(batch.nbytes, SLICE_BYTES))
+            step = max(1, batch.num_rows * slice_bytes // max(batch.nbytes, slice_bytes))
             for at in range(0, batch.num_rows, step):
                 part = batch.slice(at, step)
                 yield {name: part.column(i).to_pylist() for i, name in enumerate(part.schema.names)}

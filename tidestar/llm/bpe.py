@@ -24,7 +24,7 @@ from tidestar.llm.batches import map_rows
 #: How byte-level BPE splits a text into words before merging.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words a task remembers before it starts anew.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 SCHEMA = "doc_id bigint, n_tokens bigint, ids binary, ids_sha256 string, decoded_sha256 string"
 
 

@@ -35,7 +35,7 @@ BEST, BEST_SURE = 4, 2
 RANDOM = np.random.default_rng(20240229)
 FACTORS = RANDOM.integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 OFFSETS = RANDOM.integers(0, 2**63, HASHES, dtype=np.uint64)
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 CHUNK = 2048
 
 

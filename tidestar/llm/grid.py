@@ -26,7 +26,7 @@ from tidestar.llm.components import least_members
 from tidestar.session import stored
 
 DIRECTIONS = 8  #: principal directions that make the grid
-BLOCK_ROWS = 2048
+BLOCK_BYTES = 512 * 1024  #: of the vectors of a block, so that a pair of blocks stays small
 LEAF_ROWS = 128
 SLACK = 1e-9  #: added to distances that prune, against rounding
 
@@ -37,11 +37,17 @@ def usable() -> Column:
     return F.coalesce(~odd & F.exists("embedding", lambda x: x != 0), F.lit(False))
 
 
-def units(rows: list, width: int) -> np.ndarray:
-    """Vectors in double precision, of length one; shorter ones are padded with zeros."""
+def padded(rows: list, width: int) -> np.ndarray:
+    """Vectors as rows of a matrix; shorter ones are padded with zeros."""
     out = np.zeros((len(rows), width))
     for i, row in enumerate(rows):
         out[i, : len(row)] = row
+    return out
+
+
+def units(rows: list | np.ndarray, width: int) -> np.ndarray:
+    """Vectors in double precision, of length one."""
+    out = rows.astype(float) if isinstance(rows, np.ndarray) else padded(rows, width)
     out /= np.abs(out).max(axis=1, keepdims=True, initial=1e-300)
     return out / np.sqrt((out * out).sum(axis=1, keepdims=True))
 
@@ -79,12 +85,17 @@ def projected(classes: DataFrame, basis: np.ndarray, cell: float) -> DataFrame:
     return map_rows(classes.select("id", "n", "embedding"), f"id bigint, n bigint, embedding {kind}, cells array<int>", make)
 
 
+def block_rows(width: int, kind: str) -> int:
+    return max(1, BLOCK_BYTES // (width * np.dtype(kind).itemsize))
+
+
 BLOCKS = "block bigint, low array<double>, high array<double>, ids array<bigint>, counts array<bigint>, vectors binary"
 
 
-def blocks(ordered: DataFrame, basis: np.ndarray) -> DataFrame:
+def blocks(ordered: DataFrame, basis: np.ndarray, kind: str) -> DataFrame:
     """Consecutive vectors of each sorted partition, with the box around their projections."""
     width = len(basis)
+    size = block_rows(width, kind)
     schema = pa.schema([("block", pa.int64()), ("low", pa.list_(pa.float64())), ("high", pa.list_(pa.float64())), ("ids", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64())), ("vectors", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,18 +104,18 @@ def blocks(ordered: DataFrame, basis: np.ndarray) -> DataFrame:
 
         def block(rows: pa.Table) -> pa.RecordBatch:
             nonlocal number
-            unit = units(rows.column("embedding").to_pylist(), width)
-            at = unit @ basis
-            row = [[part * 2**32 + number], [at.min(axis=0)], [at.max(axis=0)], [rows.column("id").to_pylist()], [rows.column("n").to_pylist()], [unit.tobytes()]]
+            raw = padded(rows.column("embedding").to_pylist(), width).astype(kind)
+            at = units(raw, width) @ basis
+            row = [[part * 2**32 + number], [at.min(axis=0)], [at.max(axis=0)], [rows.column("id").to_pylist()], [rows.column("n").to_pylist()], [raw.tobytes()]]
             number += 1
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, schema.types, strict=True)], schema=schema)
 
         for batch in batches:
             held.append(batch)
             rows = pa.Table.from_batches(held)
-            while rows.num_rows >= BLOCK_ROWS:
-                yield block(rows.slice(0, BLOCK_ROWS))
-                rows = rows.slice(BLOCK_ROWS)
+            while rows.num_rows >= size:
+                yield block(rows.slice(0, size))
+                rows = rows.slice(size)
             held = rows.to_batches()
         rows = pa.Table.from_batches(held) if held else None
         if rows is not None and rows.num_rows:
@@ -182,7 +193,10 @@ def similar(classes: DataFrame, threshold: float) -> DataFrame:
     ordered = placed.withColumns({f"c{i}": k for i, k in enumerate(keys)})
     by = [f"c{i}" for i in range(basis.shape[1])] + ["id"]
     ordered = ordered.repartitionByRange(*by).sortWithinPartitions(*by).select("id", "n", "embedding")
-    table = stored(blocks(ordered, basis), "blocks")
+    kind = "<f4" if "float" in classes.schema["embedding"].dataType.simpleString() else "<f8"
+    # Fewer vectors than the partitions could hold would make small blocks, and many pairs of them.
+    ordered = ordered.coalesce(-(-placed.count() // block_rows(width, kind)) or 1)
+    table = stored(blocks(ordered, basis, kind), "blocks")
     pairs = block_pairs(table.select("block", "low", "high"), reach)
     side = lambda c: table.select(F.col("block").alias(c), *(F.col(x).alias(f"{c}_{x}") for x in ("ids", "counts", "vectors")))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
@@ -192,7 +206,7 @@ def similar(classes: DataFrame, threshold: float) -> DataFrame:
             out: dict[str, list] = {"id": [], "n": [], "near": []}
             for at in range(len(rows["a"])):
                 same = rows["a"][at] == rows["b"][at]
-                one, two = (np.frombuffer(rows[f"{c}_vectors"][at]).reshape(-1, width) for c in "ab")
+                one, two = (units(np.frombuffer(rows[f"{c}_vectors"][at], kind).reshape(-1, width), width) for c in "ab")
                 left, right = join_intervals(one, two, basis, threshold, reach, same)
                 ids = np.array(rows["a_ids"][at] + ([] if same else rows["b_ids"][at]), np.int64)
                 counts = np.array(rows["a_counts"][at] + ([] if same else rows["b_counts"][at]), np.int64)

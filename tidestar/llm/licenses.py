@@ -107,7 +107,7 @@ def patience(a: list[str], b: list[str]) -> list[tuple[int, int]]:
         where = {w: j for j, w in enumerate(b[b0:b1], b0) if w in theirs}
         anchors = [(i, where[w]) for i, w in enumerate(a[a0:a1], a0) if ours[w] == 1 and w in where]
         if not anchors:
-            if a0 == b0 == 0:  # before the first anchor, words near to it go first
+            if a0 == b0 == 0 and (a1, b1) != (len(a), len(b)):  # before the first anchor, words near to it go first
                 pairs += [(a1 - 1 - i, b1 - 1 - j) for i, j in common(a[:a1][::-1], b[:b1][::-1])]
             else:
                 pairs += [(a0 + i, b0 + j) for i, j in common(a[a0:a1], b[b0:b1])]

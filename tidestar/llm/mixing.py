@@ -25,7 +25,7 @@ from tidestar.session import stored
 BUCKETS = 8192  #: hashed words told apart by the classifier
 #: Labelled documents that the classifier learns from at most, taken by hash.
 LABELLED = 200_000
-STEPS = 40
+STEPS = 60
 TOLERANCE = 1e-5  #: of all tokens: the misfit of a domain at which steps end
 #: A document's evidence counts as that of so many words at most, since words are not independent.
 EVIDENCE = 60.0
@@ -99,42 +99,44 @@ def rate(steps: list[list[float]], k: int) -> Column:
 def fit(members: DataFrame, domains: list[int], targets: dict[int, float]) -> list[list[float]]:
     """The projected gradient steps that bring the expected tokens of each domain to its target share.
 
-    A step is scaled by the Gram matrix of the documents whose rates are above zero, which the same
-    pass sums up. Should that overshoot, it is taken back for one scaled by the matrix of all
-    documents, which never increases the misfit.
+    Steps are scaled by the Gram matrix of the documents whose rates are above zero, which the same
+    pass sums up. A step that doesn't lessen the misfit is taken back and tried a quarter as long;
+    when it has become short, a step scaled by the matrix of all documents, which always
+    lessens it, takes its place.
     """
     k = len(domains)
     entries = [(i, j) for i in range(k) for j in range(i + 1)]
     tokens = [F.col("n_tokens") * F.col("p")[i] for i in range(k)]
+    inverse = lambda m: np.linalg.pinv(m, rcond=1e-9, hermitian=True)
     steps: list[list[float]] = []
-    whole, residual, misfit, plain = None, None, None, True
+    misfit, length = None, 1.0
     for _ in range(STEPS):
         rated = members.withColumn("r", rate(steps, k))
         active = [F.sum(F.when(F.col("r") > 0, tokens[i] * F.col("p")[j])) for i, j in entries]
         row = [float(x or 0) for x in rated.agg(F.sum("n_tokens"), *(F.sum(t * F.col("r")) for t in tokens), *active).first()]
-        total, sums = row[0], np.array(row[1 : k + 1])
-        if not total or not any(targets.get(d, 0) > 0 for d in domains):
-            return []
-        gram = np.zeros((k, k))
+        total, sums, gram = row[0], np.array(row[1 : k + 1]), np.zeros((k, k))
         for (i, j), x in zip(entries, row[k + 1 :], strict=True):
             gram[i, j] = gram[j, i] = x
-        if whole is None:  # at first all rates are 1
-            whole = np.linalg.pinv(gram, rcond=1e-9, hermitian=True)
+        if misfit is None:  # all rates are 1
             weights = np.array([max(0.0, targets.get(d, 0.0)) for d in domains])
-            wanted = total * weights / weights.sum()
+            if not total or not weights.any():
+                return []
+            whole, wanted = inverse(gram), total * weights / weights.sum()
         now = float((sums - wanted) @ whole @ (sums - wanted))
-        if misfit is not None and now > misfit and not plain:
-            steps[-1], plain = (whole @ residual).tolist(), True
-            continue
-        residual, misfit = sums - wanted, now
-        if np.abs(residual).max() <= TOLERANCE * total:
-            break
-        step = np.linalg.pinv(gram, rcond=1e-9, hermitian=True) @ residual
-        if not np.abs(step).max() > 1e-12:
-            break
+        if misfit is None or now < misfit:
+            length = min(1.0, 2 * length)
+            residual, scale, misfit = sums - wanted, inverse(gram), now
+            if np.abs(residual).max() <= TOLERANCE * total:
+                return steps
+        else:
+            steps.pop()
+            length /= 4
+        if length < 1 / 64:
+            step, length = whole @ residual, 0.5
+        else:
+            step = length * scale @ residual
         steps.append(step.tolist())
-        plain = False
-    return steps
+    return steps[:-1]
 
 
 #: Target shares of the expected tokens by domain (``quality * 2 + toxic``).

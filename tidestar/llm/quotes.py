@@ -98,17 +98,34 @@ def parents(lines: DataFrame) -> DataFrame:
 
 
 def reply_depths(nodes: DataFrame) -> DataFrame:
-    """``root`` and ``depth`` of every message, from ``conv_id``, ``turn``, ``parent``, by pointer doubling."""
+    """``root`` and ``depth`` of every message, from ``conv_id``, ``turn``, ``parent``, by pointer doubling.
+
+    A message whose pointer has come to a start is done and takes no further part, so a round costs
+    what is still on its way, and their number grows with the logarithm of the depth.
+    """
     up = F.coalesce("parent", "turn")
-    now = stored(nodes.select("conv_id", "turn", up.alias("root"), (up != F.col("turn")).cast("bigint").alias("depth")), "replies")
-    while True:
-        above = now.where("depth > 0").select("conv_id", F.col("turn").alias("root"), F.col("root").alias("next"), F.col("depth").alias("more"))
-        joined = now.join(above, ["conv_id", "root"], "left")
-        step = joined.select("conv_id", "turn", F.coalesce("next", "root").alias("root"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.col("next").isNotNull().alias("moved"))
-        step = stored(step, "replies")
-        if not step.where("moved").limit(1).count():
-            return step.drop("moved")
-        now = step.drop("moved")
+    all_of = stored(nodes.select("conv_id", "turn", up.alias("root"), (up != F.col("turn")).cast("bigint").alias("depth")), "replies")
+    starts = all_of.where("depth = 0").select("conv_id", F.col("turn").alias("root"))
+    done, going = all_of.where("depth = 0"), all_of.where("depth > 0")
+    finished = going.join(starts, ["conv_id", "root"], "left_semi").select("conv_id", "turn", "root", "depth")
+    done, going = [done, stored(finished, "replies")], stored(going.join(starts, ["conv_id", "root"], "left_anti").select("conv_id", "turn", "root", "depth"), "replies")
+    while going.limit(1).count():
+        known = going
+        for part in done:
+            known = known.unionByName(part)
+        above = known.select("conv_id", F.col("turn").alias("root"), F.col("root").alias("next"), F.col("depth").alias("more"), F.lit(True).alias("x"))
+        ends = done[0]
+        for part in done[1:]:
+            ends = ends.unionByName(part)
+        ended = ends.select("conv_id", F.col("turn").alias("root"), F.lit(True).alias("ended"))
+        step = going.join(above.drop("x"), ["conv_id", "root"]).join(ended, ["conv_id", "root"], "left")
+        step = stored(step.select("conv_id", "turn", F.col("next").alias("root"), (F.col("depth") + F.col("more")).alias("depth"), "ended"), "replies")
+        done.append(step.where("ended").drop("ended"))
+        going = step.where("ended is null").drop("ended")
+    out = done[0]
+    for part in done[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 def conversations(messages: DataFrame) -> DataFrame:
