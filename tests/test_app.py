@@ -33,6 +33,13 @@ def test_append_star_keeps_trips_without_times(spark, topic, folder):
     assert fact.count() == spark.table("app_plain.dim_payment_type").count() > 0
 
 
+def test_append_star_refuses_the_merged_tables(spark, topic, folder):
+    main(["create-star", "--database", "app_merged"], spark)
+    with pytest.raises(ValueError, match="other columns"):
+        main(["append-star", "--files", topic, "--database", "app_merged", "--checkpoint", f"{folder}/c"], spark)
+    assert spark.table("app_merged.fact_trips").count() == 0
+
+
 def test_replica_and_star_of_wrapped_envelopes(spark, folder):
     wrap = F.concat(F.lit('{"schema":{},"payload":'), F.col("value").cast("string"), F.lit("}")).cast("binary")
     key = F.concat(F.lit('{"schema":{},"payload":'), F.col("key").cast("string"), F.lit("}")).cast("binary")

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from itertools import permutations
+
 import pytest
 from conftest import SMALL, rows
 from pyspark.sql import functions as F
@@ -10,12 +12,12 @@ from tidestar.operators import (
     delete_where_in,
     diff_changes,
     latest_per_key,
+    live_rows,
     merge_insert,
     merge_into,
     pick_keys,
     rows_to_insert,
     sample_n,
-    sampling,
     update_where_in,
     where_in,
 )
@@ -141,23 +143,40 @@ def test_picks_are_exact_and_repeatable(spark):
     assert sample_n(orders, 10**6, seed=3).count() == orders.count()
 
 
-def test_large_picks_are_narrowed_first_and_stay_exact(spark, monkeypatch):
+def test_picks_of_any_size_are_the_first_by_digest(spark):
     orders = spark.read.parquet(f"{SMALL}/orders.parquet")
-    want = {n: rows(pick_keys(orders, "o_orderkey", n, seed=1)) for n in (5, 50, 400)}
-    monkeypatch.setattr(sampling, "SMALL_TABLE", 10)
-    for top in (10, 1000):
-        monkeypatch.setattr(sampling, "TOP_N_ROWS", top)
-        for n, keys in want.items():
-            assert rows(pick_keys(orders, "o_orderkey", n, seed=1)) == keys
-            assert sample_n(orders, n, seed=1).distinct().count() == n
-        for n in (1499, 1500, 5000):
-            assert pick_keys(orders, "o_orderkey", n, seed=1).distinct().count() == min(n, 1500)
-            assert sample_n(orders, n, seed=1).distinct().count() == min(n, 1500)
-
-
-def test_picks_with_equal_order_values_stay_exact(spark, monkeypatch):
-    monkeypatch.setattr(sampling, "SMALL_TABLE", 10)
-    monkeypatch.setattr(sampling, "TOP_N_ROWS", 10)
+    digest = F.sha2(F.concat_ws("|", F.col("o_orderkey").cast("string"), F.lit("1")), 256)
+    want = [r.o_orderkey for r in orders.select("o_orderkey", digest.alias("d")).orderBy("d").collect()]
+    for n in (0, 1, 5, 400, 1499, 1500, 5000):
+        assert [r.o_orderkey for r in pick_keys(orders, "o_orderkey", n, seed=1).collect()] == want[:n]
+        assert sample_n(orders, n, seed=1).distinct().count() == min(n, 1500)
+
+
+def test_picks_with_equal_order_values_stay_exact(spark):
+    twins = spark.range(3000).select((F.col("id") % 30).alias("k"))
+    for n in (1, 99, 250, 2999):
+        picked = pick_keys(twins, "k", n, seed=1)
+        assert picked.count() == n and picked.distinct().count() == -(-n // 100)
+
+
+def test_no_task_holds_a_large_pick(spark):
     twins = spark.range(3000).select((F.col("id") % 30).alias("k"))
-    assert pick_keys(twins, "k", 250, seed=1).count() == 250
-    assert pick_keys(twins, "k", 250, seed=1).distinct().count() == 3
+    for n in (10, 1500, 2990):
+        text = pick_keys(twins, "k", n, seed=1)._jdf.queryExecution().executedPlan().toString()
+        assert "TakeOrdered" not in text and "GlobalLimit" not in text and "SinglePartition" not in text
+
+
+@pytest.mark.parametrize("batches", list(permutations(range(3))))
+def test_marked_states_do_not_depend_on_the_order_of_batches(spark, batches):
+    rows_ = [(k, o, f"v{o}", d) for k, o, d in [(1, 1, "false"), (1, 5, "false"), (1, 10, "true"), (2, 2, "true"), (2, 3, "false"), (None, 4, "false"), (None, 7, "true"), (3, 6, "true"), (None, 8, "false")]]
+    changes = spark.createDataFrame(rows_, "k int, __o int, v string, __deleted string")
+    state = None
+    for part in batches:
+        state = apply_changes(state, changes.where(F.col("__o") % 3 == part), ["k"], ["__o"], "mark")
+    assert rows(live_rows(state)) == rows(spark.createDataFrame([(2, "v3"), (None, "v8")], "k int, v string"))
+
+
+def test_versions_of_different_columns_are_refused(spark):
+    one, two = spark.createDataFrame([(1, 2)], "k int, a int"), spark.createDataFrame([(1, 2, 3)], "k int, a int, b int")
+    with pytest.raises(ValueError, match="different columns"):
+        diff_changes(one, two, ["k"])

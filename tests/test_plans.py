@@ -22,7 +22,6 @@ from tidestar.operators import (
     latest_per_key,
     orphans,
     rows_to_insert,
-    sizes,
     star_join,
     update_where_in,
 )
@@ -77,18 +76,28 @@ def test_code_lists_are_broadcast_from_their_known_size(spark, small_trips):
     assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
 
 
-def test_growing_times_are_never_broadcast_and_few_codes_always(spark, small_trips):
+def test_sides_are_broadcast_by_their_bytes_only(spark, small_trips):
     tables = star_tables(clean_trips(small_trips))
-    fact = tables["fact_trips"]
-    text = plan(star_join(fact, {"dim_datetime": tables["dim_datetime"]}))
-    assert "SortMergeJoin" in text and "Broadcast" not in text
+    codes = stored(tables["dim_ratecode"], "codes")
+    assert "BroadcastHashJoin" in plan(star_join(tables["fact_trips"], {"dim_ratecode": codes}))
     with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
-        text = plan(star_join(fact, {"dim_ratecode": stored(tables["dim_ratecode"], "codes")}))
-    assert "BroadcastHashJoin" in text
+        text = plan(star_join(tables["fact_trips"], {"dim_ratecode": codes, "dim_datetime": tables["dim_datetime"]}))
+    assert "SortMergeJoin" in text and "Broadcast" not in text
+
+
+def test_nothing_runs_while_a_join_is_built(spark, small_trips):
+    tables = star_tables(clean_trips(small_trips))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "no job")
+    try:
+        star_join(tables["fact_trips"], {k: v for k, v in tables.items() if k != "fact_trips"})
+        update_where_in(small_trips, small_trips.select("DOLocationID"), "DOLocationID", {"fare_amount": 0.0})
+        assert list(tracker.getJobIdsForGroup("building")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
-def test_many_codes_or_keys_are_shuffled(spark, small_trips, monkeypatch):
-    monkeypatch.setattr(sizes, "BROADCAST_ROWS", 2)
+def test_many_codes_or_keys_are_shuffled(spark, small_trips):
     codes = build_dim(small_trips, "payment_type", payment_types(spark))
     places = small_trips.select("DOLocationID")
     with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):

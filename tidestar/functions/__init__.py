@@ -16,6 +16,9 @@ from tidestar.functions.derive import (
     flag_when,
     insert_select,
     pg_element,
+    interval_text,
+    pg_char_cast,
+    pg_numeric_cast,
     pg_int_cast,
     series,
     shift_time,
@@ -36,6 +39,9 @@ __all__ = [
     "micros_to_ts",
     "parse_json",
     "pg_element",
+    "interval_text",
+    "pg_char_cast",
+    "pg_numeric_cast",
     "pg_int_cast",
     "record_key",
     "rename",

@@ -46,11 +46,12 @@ def with_datetime_hash(df: DataFrame, columns: Sequence[str] = tuple(schemas.EVE
 
 
 def component_total(components: Iterable[str], null_as_zero: bool = True) -> Column:
-    """Sum of money components, rounded to cents, in decimals throughout.
+    """Sum of money components, rounded to cents once, in decimals throughout.
 
-    Doubles would make the result depend on the order of addition.
+    Doubles would make the result depend on the order of addition; rounding each part would
+    lose fractions of a cent that add up.
     """
-    money = T.DecimalType(12, 2)
+    money = T.DecimalType(18, 6)
     total = F.lit(0).cast(money)
     for name in components:
         part = F.col(name).cast(money)
@@ -80,6 +81,24 @@ def pg_element(values: Sequence, index: Column) -> Column:
     return F.get(F.array(*[F.lit(v) for v in values]), index - 1)
 
 
+def interval_text(column: Column, unit: str) -> Column:
+    """``(count || ' unit')::interval``: text joined by ``||``, then read as an interval; null for a null count."""
+    return F.concat(column.cast("string"), F.lit(f" {unit}")).cast("interval")
+
+
+def pg_char_cast(column: Column, length: int) -> Column:
+    """``CAST(text AS char(n))``: cut to ``n`` characters and padded with blanks."""
+    return F.rpad(F.substring(column, 1, length), length, " ")
+
+
+def pg_numeric_cast(column: Column, precision: int, scale: int) -> Column:
+    """``CAST(x AS numeric(p, s))`` of a number's shortest text: rounds half away from zero, fails on overflow."""
+    exact = column.cast("string").cast("decimal(38,18)")
+    rounded = F.round(exact, scale)
+    fits = F.abs(rounded) < F.lit(10 ** (precision - scale))
+    return F.when(fits | rounded.isNull(), rounded.cast(f"decimal({precision},{scale})")).otherwise(F.raise_error(F.lit("numeric field overflow")))
+
+
 def pg_int_cast(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Cast to int by Postgres rules: decimals round half away from zero, doubles half to even."""
 
@@ -91,13 +110,29 @@ def pg_int_cast(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df.withColumns({c: rounded(c).cast("int") for c in columns})
 
 
+SERIES_CHUNK = 10_000
+
+
 def series(df: DataFrame, stop: Column, name: str = "i", start: int = 1) -> DataFrame:
-    """One row per integer from ``start`` to ``stop`` for each input row; none where ``stop`` is lower."""
-    last = stop.cast("int")
-    numbers = F.when(last >= start, F.sequence(F.lit(start), last)).otherwise(F.array().cast("array<int>"))
-    return df.withColumn(name, F.explode(numbers))
+    """One row per integer from ``start`` to ``stop`` for each input row; none where ``stop`` is lower.
+
+    A long series is unfolded in chunks, so no row ever holds more than ``SERIES_CHUNK`` numbers of it.
+    """
+    none = F.array().cast("array<int>")
+    marked = df.withColumn("__last", stop.cast("int"))
+    chunks = F.when(F.col("__last") >= start, F.sequence(F.lit(start), F.col("__last"), F.lit(SERIES_CHUNK))).otherwise(none)
+    chunked = marked.withColumn("__chunk", F.explode(chunks))
+    numbers = F.sequence("__chunk", F.least("__last", F.col("__chunk") + F.lit(SERIES_CHUNK - 1)))
+    return chunked.withColumn(name, F.explode(numbers)).drop("__chunk", "__last")
 
 
 def insert_select(spark: SparkSession, table: str, columns: Sequence[str], query: str, **frames: DataFrame) -> None:
-    """``INSERT INTO table (columns) query``, where the query may use WITH and name the frames as ``{name}``."""
+    """``INSERT INTO table (columns) query``, where the query may use WITH and name the frames as ``{name}``.
+
+    It runs on the session of the frames, which inside a micro-batch is not the caller's.
+    """
+    own = [f.sparkSession for f in frames.values()]
+    if any(not s._jsparkSession.equals(own[0]._jsparkSession) for s in own):
+        raise ValueError("the frames are of different sessions")
+    spark = own[0] if own else spark
     spark.sql(f"INSERT INTO {table} ({', '.join(columns)}) {query}", **frames)

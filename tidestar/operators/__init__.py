@@ -4,6 +4,7 @@ from tidestar.operators.changes import (
     delete_where_in,
     diff_changes,
     latest_per_key,
+    live_rows,
     merge_insert,
     merge_into,
     rows_to_insert,
@@ -38,6 +39,7 @@ __all__ = [
     "enrich",
     "fill",
     "latest_per_key",
+    "live_rows",
     "merge_insert",
     "merge_into",
     "orphans",

@@ -12,8 +12,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidestar.operators.sizes import is_few
-
 
 def _all(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
@@ -31,7 +29,7 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return df.withColumn("__rank", F.row_number().over(newest)).filter("__rank = 1").drop("__rank")
 
 
-def _one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key (the least by its other columns); partial aggregation folds hot keys before the shuffle."""
     rest = [c for c in df.columns if c not in keys]
     if not rest:
@@ -49,7 +47,7 @@ def rows_to_insert(
     matches and is inserted again by every merge. ``unique`` says that the
     source has one row per key already, which spares a shuffle.
     """
-    source = source if unique else _one_per_key(source, keys)
+    source = source if unique else one_per_key(source, keys)
     if not null_safe:
         return source.join(target.select(*keys), on=list(keys), how="left_anti")
     s, t = source.alias("s"), target.select(*keys).alias("t")
@@ -68,7 +66,7 @@ def merge_into(
 
     It runs on the source's own session, which inside a micro-batch is not the caller's.
     """
-    one_each = (source if unique else _one_per_key(source, keys)).alias("s")
+    one_each = (source if unique else one_per_key(source, keys)).alias("s")
     same = Column.eqNullSafe if null_safe else Column.__eq__
     on = _all([same(F.col(f"s.{k}"), F.col(f"{table}.{k}")) for k in keys])
     one_each.mergeInto(table, on).whenNotMatched().insertAll().merge()
@@ -88,27 +86,42 @@ def apply_changes(
     its last image, as a replica without a delete mark does. A delete needs only
     its key columns.
 
+    ``deletes="mark"`` gives a state that changes may reach in any order of batches: it keeps the order
+    columns, and a deleted key stays as a row with ``__deleted``, so that an older change that comes later
+    loses against the delete. It is given as the target of the next call, and read by ``live_rows``.
+
     Target rows that no change names are passed through an anti-join on the
     changed keys: for a small set of changes that is a broadcast, and the table
     is not shuffled. Target rows carrying the order columns are compared with the
-    changes to their key, so a late, older change does not win.
+    changes to their key, so a late, older change does not win. Null keys match each other.
     """
-    if deletes not in ("apply", "keep"):
-        raise ValueError(f"deletes must be 'apply' or 'keep', not {deletes!r}")
+    if deletes not in ("apply", "keep", "mark"):
+        raise ValueError(f"deletes must be 'apply', 'keep' or 'mark', not {deletes!r}")
+    if deletes == "mark" and not order:
+        raise ValueError("delete marks need an explicit order")
     last = latest_per_key(changes, keys, order) if order else changes
+    marks = ["__deleted", *order] if deletes == "mark" else []
     if target is None:
-        live = last if deletes == "keep" else last.filter(F.col("__deleted") != "true")
-        return live.select([c for c in changes.columns if not c.startswith("__")])
-    touched = last.select(*keys)
-    untouched = target.join(touched, on=list(keys), how="left_anti")
+        live = last.filter(F.col("__deleted") != "true") if deletes == "apply" else last
+        return live.select(*[c for c in changes.columns if not c.startswith("__")], *[m for m in marks if m.startswith("__")])
+    if not set(marks) <= set(target.columns):
+        raise ValueError(f"a target without {marks} can't keep delete marks")
+    t, s = target.alias("t"), last.select(*keys).alias("s")
+    same = _all([F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys])
+    untouched = t.join(s, same, "left_anti")
     if order and set(order) <= set(target.columns):
-        rivals = target.join(touched, on=list(keys), how="left_semi")
+        rivals = t.join(s, same, "left_semi")
         last = latest_per_key(last.unionByName(rivals, allowMissingColumns=True), keys, order)
         last = last.fillna({"__deleted": "false"})
-    live = last if deletes == "keep" else last.filter(F.col("__deleted") != "true")
+    live = last.filter(F.col("__deleted") != "true") if deletes == "apply" else last
     return untouched.select(*target.columns).unionByName(live.select(*target.columns))
 
 
+def live_rows(state: DataFrame) -> DataFrame:
+    """The rows of a state with delete marks that are not deleted, without the marks."""
+    return state.filter(F.col("__deleted") != "true").select([c for c in state.columns if not c.startswith("__")])
+
+
 def diff_changes(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The changes that turn one version of a keyed table into another.
 
@@ -116,6 +129,8 @@ def diff_changes(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> Da
     unique and not null in both versions; see ``duplicate_keys``.
     """
     columns = before.columns
+    if set(columns) != set(after.columns):
+        raise ValueError(f"the versions have different columns: {sorted(set(columns) ^ set(after.columns))}")
     rest = [c for c in columns if c not in keys]
     b = before.select(*keys, F.struct(F.lit(1).alias("__in"), *rest).alias("b"))
     a = after.select(*keys, F.struct(F.lit(1).alias("__in"), *rest).alias("a"))
@@ -140,9 +155,9 @@ def where_in(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
 def update_where_in(df: DataFrame, keys: DataFrame, column: str, values: Mapping[str, object]) -> DataFrame:
     """The table with new values where its column is among the keys; other rows unchanged.
 
-    Few keys are broadcast and the table is read once. Many keys take a semi
-    and an anti join instead of one join to their distinct: both split a hot
-    value of the table, which a join to an aggregate would not.
+    A semi and an anti join instead of one join to the distinct keys: both split a hot value of
+    the table, which a join to an aggregate would not, and AQE broadcasts the keys where it
+    has measured them to be few.
     """
 
     def new(name: str, hit: Column) -> Column:
@@ -152,10 +167,6 @@ def update_where_in(df: DataFrame, keys: DataFrame, column: str, values: Mapping
         value = value if isinstance(value, Column) else F.lit(value)
         return F.when(hit, value).otherwise(F.col(name)).alias(name)
 
-    distinct = keys.select(column).distinct().withColumn("__hit", F.lit(True))
-    if is_few(distinct):
-        joined = df.join(F.broadcast(distinct), on=column, how="left_outer")
-        return joined.select([new(c, F.col("__hit")) for c in df.columns])
     hits = where_in(df, keys, column).select([new(c, F.lit(True)) for c in df.columns])
     return delete_where_in(df, keys, column).unionByName(hits)
 

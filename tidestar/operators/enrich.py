@@ -1,9 +1,9 @@
 """Lookups: code lists, star re-joins and their missing keys.
 
 A code list is a local relation, so Catalyst knows its size and broadcasts it.
-Other sides are broadcast only after a count has shown them to be few; beyond
-that the join shuffles, and AQE splits the partitions of a hot key on the fact
-side of a left join.
+Other sides are left to Catalyst and AQE, which broadcast what they have measured
+to be below the threshold; beyond that the join shuffles, and AQE splits the
+partitions of a hot key on the fact side of a left join.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidestar import schemas
-from tidestar.operators.sizes import is_few
 
 
 def enrich(df: DataFrame, codes: DataFrame, key: str) -> DataFrame:
@@ -35,19 +34,15 @@ def unknown_codes(df: DataFrame, codes: DataFrame, key: str) -> DataFrame:
 def star_join(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     """Every fact row with the attributes of its dimensions, joined left so none is lost.
 
-    ``dim_datetime`` grows with the fact and is never broadcast, whatever its
-    estimate: it takes a sort-merge join, which spills and whose hot times AQE
-    splits. A dimension that is only its key has nothing to add and is not joined.
+    No side is broadcast but one whose bytes are known to be below the session's threshold, and
+    nothing runs while the plan is built. A dimension that is only its key has
+    nothing to add and is not joined.
     """
     joined, attributes = fact, []
     for name, dim in dims.items():
         key = schemas.DIM_KEYS[name]
         extra = [c for c in dim.columns if c != key]
         if extra:
-            if name in schemas.GROWING:
-                dim = dim.hint("merge")
-            elif is_few(dim):
-                dim = F.broadcast(dim)
             joined = joined.join(dim, on=key, how="left_outer")
             attributes += extra
     return joined.select(*fact.columns, *attributes)

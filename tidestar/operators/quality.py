@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidestar.operators.changes import one_per_key
+
 
 def require_non_negative(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Keep rows whose columns are all >= 0. Nulls are dropped with them; NaN counts as greater and stays."""
@@ -29,14 +31,14 @@ def dedup(
     event_time: str | None = None,
     delay: str | None = None,
 ) -> DataFrame:
-    """One row per key, or per distinct row without keys.
+    """One row per key, or per distinct row without keys; of a key's rows the least by its other columns stays.
 
     On a stream give ``event_time`` and ``delay``, so that the state kept to
     recognise repeats stays bounded by the watermark.
     """
     subset = list(keys) if keys else None
     if not df.isStreaming:
-        return df.dropDuplicates(subset)
+        return one_per_key(df, subset) if subset else df.dropDuplicates()
     if not (event_time and delay):
         raise ValueError("deduplicating a stream needs event_time and delay to bound its state")
     return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(subset)

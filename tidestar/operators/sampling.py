@@ -1,53 +1,66 @@
-"""Random row and key picks of an exact size."""
+"""Random row and key picks of an exact size, of any size."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from math import sqrt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidestar.session import stored
 
-# A top-n sends n rows of every task to one. That suits small tables; in large ones the rows that
-# can be among the n are first set apart, and a large n is cut off at a value instead of sorted.
-SMALL_TABLE = 1_000_000
-TOP_N_ROWS = 100_000
+#: Order values have 60 bits each; a round of counting tells rows apart by this many of them.
+BITS, DIGIT = 60, 15
 
 
-def _smallest(df: DataFrame, n: int, cut: Callable[[float], object]) -> DataFrame:
-    """The n rows with the smallest ``__o``; ``cut`` gives the value below which a share of all rows is expected.
+def _smallest(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
+    """The n rows that come first by some order columns of ``BITS`` bits, which together tell all rows apart.
 
-    The share asked for is n rows and ten standard deviations more, so it holds
-    the n smallest; were it ever to fall short, the plain top-n answers.
+    The cut is found from counts: a round counts the rows at the cut by their next ``DIGIT`` bits, which is
+    a bounded number of counts whatever the table's size, and ends when they divide at exactly n
+    rows. No task sorts or holds the n rows, so one way serves every n.
     """
-    total = df.count()
-    if total <= n:
-        return df
-    top = df.orderBy("__o").limit(n)
-    share = (n + 10 * sqrt(n) + 100) / total
-    if total <= SMALL_TABLE or share >= 1:
-        return top
-    near = stored(df.filter(F.col("__o") < F.lit(cut(share))), "sample")
-    surplus = near.count() - n
-    if surplus < 0:
-        return top
-    if n <= TOP_N_ROWS or surplus == 0:
-        return near.orderBy("__o").limit(n) if surplus else near
-    first_out = near.select("__o").orderBy(F.desc("__o")).limit(surplus).agg(F.min("__o")).first()[0]
-    below = near.filter(F.col("__o") < first_out)
-    tied = near.filter(F.col("__o") == first_out).limit(n - below.count())
-    return below.unionByName(tied)
+    if n <= 0:
+        return df.limit(0)
+    below, at = F.lit(False), F.lit(True)
+    left = n
+    for column in order:
+        for shift in range(BITS - DIGIT, -1, -DIGIT):
+            digit = F.shiftright(column, shift).bitwiseAND((1 << DIGIT) - 1)
+            counts = df.where(at).groupBy(digit.alias("digit")).agg(F.count(F.lit(1)).alias("n")).collect()
+            taken, cut = 0, None
+            for row in sorted(counts):
+                if taken + row["n"] > left:
+                    cut = row["digit"]
+                    break
+                taken += row["n"]
+            if cut is None:  # all the rows at the cut are wanted
+                return df.where(below | at)
+            below, at, left = below | (at & (digit < cut)), at & (digit == cut), left - taken
+            if left == 0:
+                return df.where(below)
+    return df.where(below)
+
+
+def _numbered(df: DataFrame) -> DataFrame:
+    """The rows, stored, each with a number of its own."""
+    return stored(df.withColumn("__row", F.monotonically_increasing_id()), "sample")
 
 
 def pick_keys(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
-    """n keys in random order of ``sha2(key|seed)``: the same seed gives the same keys on any cluster."""
+    """n keys in random order of ``sha2(key|seed)``: the same seed gives the same keys on any cluster.
+
+    The order is by range over all tasks, as that of any sorted table.
+    """
     digest = F.sha2(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed))), 256)
-    ordered = df.select(key, digest.alias("__o"))
-    return _smallest(ordered, n, lambda share: format(int(share * 16**12), "012x")).select(key)
+    part = lambda at: F.conv(F.substring(digest, at, 15), 16, 10).cast("bigint")
+    rows = _numbered(df.select(key, part(1).alias("__o1"), part(16).alias("__o2")))
+    order = ["__o1", "__o2", "__row"]
+    return _smallest(rows, n, order).orderBy(*order).select(key)
 
 
 def sample_n(df: DataFrame, n: int, seed: int) -> DataFrame:
     """Exactly n rows without replacement, or all when there are fewer."""
-    return _smallest(df.withColumn("__o", F.rand(seed)), n, lambda share: share).drop("__o")
+    draw = F.floor(F.rand(seed) * (1 << 52)).cast("bigint")
+    rows = _numbered(df.withColumn("__o", F.shiftleft(draw, BITS - 52)))
+    return _smallest(rows, n, ["__o", "__row"]).drop("__o", "__row")

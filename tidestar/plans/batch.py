@@ -21,14 +21,15 @@ def trips_of_day(trips: DataFrame, day: date) -> DataFrame:
 def run_batch(spark: SparkSession, trips: DataFrame | str, root: str, day: date | None = None) -> StarStore:
     """Load one day of trips (a frame or a parquet path), or all of them, into the star under ``root``.
 
-    A day that is run again replaces its own fact rows.
+    Both loads keep the fact by pickup day: a day that is run again replaces its own rows, whichever load
+    brought them, and a load of all trips replaces all days.
     """
     if isinstance(trips, str):
         trips = spark.read.parquet(trips)
     store = StarStore(root)
     store.create(spark)
     if day is None:
-        store.load(clean_trips(trips), run="all", batch_id=0)
+        store.load(clean_trips(trips), run="daily", batch_id=None)
     else:
         store.load(clean_trips(trips_of_day(trips, day)), run="daily", batch_id=int(day.strftime("%Y%m%d")))
     return store

@@ -84,9 +84,11 @@ class StarStore:
         for name, df in self.tables(spark).items():
             df.createOrReplaceTempView(name)
 
-    def load(self, trips: DataFrame, run: str, batch_id: int) -> None:
+    def load(self, trips: DataFrame, run: str, batch_id: int | None) -> None:
         """Merge the dimensions of clean trips, then write their fact rows as one batch.
 
+        Without a ``batch_id`` the rows replace all of the run, each pickup day as a batch ``yyyymmdd``.
+
         A batch loaded again with no rows leaves none behind. The trips are read
         three times: for the combinations of code keys (few, kept, and the
         source of four dimensions), for the distinct times, and for the fact.
@@ -129,13 +131,17 @@ class StarStore:
         finally:
             new.unpersist()
 
-    def _write_fact(self, trips: DataFrame, run: str, batch_id: int) -> None:
+    def _write_fact(self, trips: DataFrame, run: str, batch_id: int | None) -> None:
         """Rebalancing by month writes few files, and splits a month too big for one task."""
         pickup = F.col("tpep_pickup_datetime")
         dated = with_datetime_hash(trips).withColumns(
             {"pickup_year": F.year(pickup), "pickup_month": F.month(pickup), "pickup_date": F.to_date(pickup)}
         )
         rows = conform(dated, T.StructType([*schemas.FACT_TRIPS, *PICKUP]))
-        rows = rows.hint("rebalance", *MONTH).sortWithinPartitions(*MONTH, "pickup_date")
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        writer.partitionBy(*MONTH).parquet(f"{self.path('fact_trips')}/run={run}/batch_id={batch_id}")
+        folder, layout = f"{self.path('fact_trips')}/run={run}", MONTH
+        if batch_id is None:
+            rows, layout = rows.withColumn("batch_id", F.date_format("pickup_date", "yyyyMMdd").cast("bigint")), ["batch_id", *MONTH]
+        else:
+            folder = f"{folder}/batch_id={batch_id}"
+        rows = rows.hint("rebalance", *layout).sortWithinPartitions(*layout, "pickup_date")
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*layout).parquet(folder)

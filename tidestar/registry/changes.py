@@ -14,6 +14,7 @@ from tidestar.operators import (
     delete_where_in,
     diff_changes,
     latest_per_key,
+    live_rows,
     merge_insert,
     pick_keys,
     sample_n,
@@ -63,6 +64,25 @@ def sample_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample_n(table(spark, sf_dir, "lineitem"), 1000, seed=42)
 
 
+@query(
+    "sample_n_facts",
+    """SELECT CASE n WHEN 0 THEN 1000 ELSE total - 5 END AS wanted, CASE n WHEN 0 THEN 1000 ELSE total - 5 END AS n_rows,
+              CASE n WHEN 0 THEN 1000 ELSE total - 5 END AS n_distinct, CAST(0 AS BIGINT) AS n_foreign
+    FROM (SELECT count(*) AS total FROM (SELECT DISTINCT event_id FROM events)) CROSS JOIN (VALUES (0), (1)) v(n)""",
+)
+def sample_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What holds of every random sample, for a small one and one near the whole table: size, no repeats, no foreign rows."""
+    events = table(spark, sf_dir, "events").select("event_id")
+    found = []
+    for n in (1000, events.count() - 5):
+        drawn = sample_n(events, n, seed=42)
+        foreign = drawn.join(events.withColumnRenamed("event_id", "known"), F.col("event_id") == F.col("known"), "left_anti")
+        facts = drawn.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("event_id").alias("n_distinct"))
+        facts = facts.withColumn("n_foreign", F.lit(foreign.count()).cast("bigint"))
+        found.append(facts.select(F.lit(n).cast("bigint").alias("wanted"), "n_rows", "n_distinct", "n_foreign"))
+    return found[0].unionByName(found[1])
+
+
 def _waves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     rows = clean_trips(trips(spark, sf_dir))
     return rows.filter("load_wave = 1"), rows.filter("load_wave = 2")
@@ -112,6 +132,23 @@ def cdc_current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _user_state(spark, sf_dir, "apply")
 
 
+@query(
+    "cdc_late_changes",
+    f"""WITH {LAST_EVENT_SQL}
+    SELECT user_id, event_id, epoch_us(ts) AS ts, event_type, value, props FROM last_event
+    WHERE event_type <> 'error'""",
+)
+def cdc_late_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed in four batches, the latest first: marks keep deleted keys deleted when older changes come after."""
+    changes = unwrap_cdc(user_feed(spark, sf_dir), USER_ROW, keep=["offset"]).drop("source")
+    changes = stored(changes.withColumnRenamed("offset", "__offset"), "late_changes")
+    state = None
+    for part in (3, 1, 2, 0):
+        batch = changes.filter(F.pmod(F.floor(F.col("__offset") / 3), F.lit(4)) == part)
+        state = stored(apply_changes(state, batch, ["user_id"], ["__offset"], "mark"), "late_state")
+    return live_rows(state)
+
+
 REPLICA_SQL = f"""WITH {LAST_EVENT_SQL}
     SELECT user_id,
       CASE WHEN event_type <> 'error' THEN event_id END AS event_id,

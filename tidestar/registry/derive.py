@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,8 +13,11 @@ from tidestar.functions import (
     component_total,
     datetime_parts,
     flag_when,
+    interval_text,
+    pg_char_cast,
     pg_element,
     pg_int_cast,
+    pg_numeric_cast,
     series,
     shift_time,
     total_mismatch,
@@ -25,7 +29,13 @@ from tidestar.registry.base import query, table
 from tidestar.registry.fixtures import CLEAN_SQL, PARTS_SQL, TRIPS_SQL, trips
 
 PLACES = ["PULocationID", "DOLocationID"]
-TOTAL_SQL = "CAST(" + " + ".join(f"coalesce(CAST({c} AS DECIMAL(12,2)), 0)" for c in schemas.AMOUNT_PARTS) + " AS DECIMAL(14,2))"
+
+
+def total_sql(parts: Iterable[str]) -> str:
+    return "CAST(round(" + " + ".join(f"coalesce(CAST({c} AS DECIMAL(18,6)), 0)" for c in parts) + ", 2) AS DECIMAL(14,2))"
+
+
+TOTAL_SQL = total_sql(schemas.AMOUNT_PARTS)
 
 
 @query(
@@ -65,6 +75,45 @@ def total_of_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips(spark, sf_dir).select(*PLACES, component_total(schemas.AMOUNT_PARTS).alias("computed_total"))
 
 
+MILLS = {"a": "o_custkey % 10", "b": "o_orderkey % 7", "c": "(o_orderkey + o_custkey) % 9 - 4"}
+
+
+@query(
+    "total_of_mills",
+    f"SELECT o_orderkey, {total_sql(MILLS)} AS total FROM (SELECT o_orderkey, "
+    + ", ".join(f"CAST({e} AS DECIMAL(10,3)) * 0.001 AS {c}" for c, e in MILLS.items())
+    + " FROM orders)",
+)
+def total_of_mills(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of less than a cent, which count only when the sum is rounded once."""
+    parts = {c: F.expr(f"cast({e} as decimal(10,3)) * 0.001BD") for c, e in MILLS.items()}
+    return table(spark, sf_dir, "orders").withColumns(parts).select("o_orderkey", component_total(MILLS).alias("total"))
+
+
+@query(
+    "interval_text",
+    """SELECT o_orderkey, o_orderdate + CAST((o_custkey % 50 || ' minutes') AS INTERVAL) AS later,
+              o_orderdate - CAST((o_custkey % 7 || ' days') AS INTERVAL) AS earlier FROM orders""",
+)
+def interval_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts joined to units as text, then read as intervals."""
+    later = F.col("o_orderdate") + interval_text(F.col("o_custkey") % 50, "minutes")
+    earlier = F.col("o_orderdate") - interval_text(F.col("o_custkey") % 7, "days")
+    return table(spark, sf_dir, "orders").select("o_orderkey", later.alias("later"), earlier.alias("earlier"))
+
+
+@query(
+    "pg_text_casts",
+    """SELECT c_custkey, rpad(substr(c_mktsegment, 1, 1), 1, ' ') AS flag, rpad(substr(c_mktsegment, 1, 12), 12, ' ') AS padded,
+              CAST(round(CAST(CAST(c_acctbal AS VARCHAR) AS DECIMAL(38,18)), 1) AS DECIMAL(10,1)) AS balance FROM customer""",
+)
+def text_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Casts to char(1), char(12) and numeric(10,1)."""
+    segment, balance = F.col("c_mktsegment"), pg_numeric_cast(F.col("c_acctbal"), 10, 1)
+    casts = [pg_char_cast(segment, 1).alias("flag"), pg_char_cast(segment, 12).alias("padded"), balance.alias("balance")]
+    return table(spark, sf_dir, "customer").select("c_custkey", *casts)
+
+
 @query(
     "total_mismatch",
     f"""WITH {TRIPS_SQL}

@@ -160,6 +160,40 @@ def captured_trip_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+LIVE_SQL = f"""{TRIPS_SQL}, live AS (
+  SELECT * REPLACE (CASE WHEN DOLocationID % 3 = 0 THEN fare_amount + 1 ELSE fare_amount END AS fare_amount)
+  FROM trips WHERE NOT coalesce(PULocationID % 5 = 0, false)), clean AS (
+  SELECT *, sha256(concat_ws('||', tpep_pickup_datetime, tpep_dropoff_datetime)) AS datetime_hash
+  FROM live
+  WHERE passenger_count >= 0 AND trip_distance >= 0 AND fare_amount >= 0 AND tip_amount >= 0 AND tolls_amount >= 0
+    AND tpep_pickup_datetime IS NOT NULL AND tpep_dropoff_datetime IS NOT NULL)"""
+
+
+def captured_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A captured feed in which every trip is created, a third get another fare, and a fifth are deleted."""
+    raw_names = {star: raw for raw, star in schemas.TRIP_NAMES.items()}
+    rows = trips(spark, sf_dir).withColumns({c: _micros(c) for c in schemas.EVENT_TIMES})
+    rows = rows.withColumn("trip_id", F.monotonically_increasing_id())
+    op = lambda name, at: F.struct(F.lit(name).alias("op"), F.lit(at).alias("at"))
+    no = F.lit(None).cast("struct<op:string,at:int>")
+    changes = F.array(
+        op("c", 0),
+        F.when(F.col("DOLocationID") % 3 == 0, op("u", 1)).otherwise(no),
+        F.when(F.col("PULocationID") % 5 == 0, op("d", 2)).otherwise(no),
+    )
+    rows = rows.withColumn("change", F.explode(F.array_compact(changes)))
+    dearer = F.col("fare_amount") + F.when(F.col("change.op") == "u", 1).otherwise(0)
+    rows = rows.withColumn("fare_amount", dearer).withColumnsRenamed(raw_names)
+    envelope = F.struct(
+        F.when(F.col("change.op") == "d", F.struct("trip_id")).alias("before"),
+        F.when(F.col("change.op") != "d", F.struct(*schemas.CAPTURED_TRIPS.fieldNames())).alias("after"),
+        F.col("change.op").alias("op"),
+        F.lit(0).alias("ts_ms"),
+        F.struct(F.lit("public").alias("schema"), F.lit("trips").alias("table"), F.col("trip_id").alias("lsn")).alias("source"),
+    )
+    return rows.select(F.to_json(envelope).cast("binary").alias("value"), (F.col("trip_id") * 3 + F.col("change.at")).alias("offset"))
+
+
 # --- Two versions of orders: some rows go, some change status, urgent open ones are ordered again under a new key. ---
 
 ORDERS_AFTER_SQL = """orders_after AS (

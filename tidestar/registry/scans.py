@@ -6,19 +6,15 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidestar import schemas
 from tidestar.functions import insert_select
 from tidestar.registry.base import query, table
 from tidestar.registry.fixtures import TRIPS_SQL, trips
 from tidestar.session import work_dir
 from tidestar.sources import append_load, read_parquet, row_count
 
-ITEM_COLUMNS = schemas.struct((schemas.LONG, "l_orderkey l_partkey"), (schemas.DOUBLE, "l_quantity l_extendedprice"))
-
-
-@query("scan_parquet", "SELECT l_orderkey, l_partkey, l_quantity, l_extendedprice FROM lineitem")
+@query("scan_parquet", "SELECT * FROM lineitem")
 def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_parquet(spark, f"{sf_dir}/lineitem.parquet", ITEM_COLUMNS)
+    return read_parquet(spark, f"{sf_dir}/lineitem.parquet")
 
 
 @query("count_rows", "SELECT count(*) AS n_rows FROM lineitem")

@@ -2,17 +2,29 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidestar import schemas
 from tidestar.operators import build_dim, build_dim_datetime, build_fact, enrich, orphans, star_join
-from tidestar.operators.star import RAW_FACT_COLUMNS
+from tidestar.operators.star import FACT_COLUMNS, RAW_FACT_COLUMNS
 from tidestar.plans import clean_trips, payment_summary, run_batch, star_tables
 from tidestar.registry.base import query, without_zone
-from tidestar.registry.fixtures import CLEAN_SQL, PARTS_SQL, PAYMENTS_SQL, RATES_SQL, TRIPS_SQL, trips
+from tidestar.registry.fixtures import (
+    CLEAN_SQL,
+    LIVE_SQL,
+    PARTS_SQL,
+    PAYMENTS_SQL,
+    RATES_SQL,
+    TRIPS_SQL,
+    captured_changes,
+    trips,
+)
 from tidestar.session import work_dir
 from tidestar.sources import payment_types, rate_codes
+from tidestar.streaming import captured_state
 
 FACT_LIST = ", ".join(schemas.FACT_TRIPS.fieldNames())
 SOME = ["PULocationID", "DOLocationID", "fare_amount"]
@@ -153,6 +165,39 @@ def fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(first_load, "datetime_hash").unionByName(report(rate_codes(spark), "ratecode_id"))
 
 
+@query("cdc_star_state", f"WITH {LIVE_SQL} SELECT {FACT_LIST} FROM clean")
+def cdc_star_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact of the trips that creates, updates and deletes leave."""
+    left = captured_state(captured_changes(spark, sf_dir))
+    return without_zone(build_fact(clean_trips(left)))
+
+
+DAY_SQL = f"""WITH {CLEAN_SQL}, first_day AS (SELECT min(CAST(tpep_pickup_datetime AS DATE)) AS d FROM trips)
+    SELECT {FACT_LIST} FROM clean"""
+
+
+def _first_day(spark: SparkSession, sf_dir: str) -> date:
+    return trips(spark, sf_dir).agg(F.min(F.to_date("tpep_pickup_datetime"))).first()[0]
+
+
+@query("batch_one_day", f"{DAY_SQL} WHERE CAST(tpep_pickup_datetime AS DATE) = (SELECT d FROM first_day)")
+def batch_one_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first day loaded, twice."""
+    root, day = work_dir(spark, "batch_star"), _first_day(spark, sf_dir)
+    run_batch(spark, trips(spark, sf_dir), root, day)
+    store = run_batch(spark, trips(spark, sf_dir), root, day)
+    return without_zone(store.read(spark, "fact_trips").select(*FACT_COLUMNS))
+
+
+@query("batch_day_again", DAY_SQL)
+def batch_day_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All trips loaded, then their first day again, which replaces its own rows."""
+    root = work_dir(spark, "batch_star")
+    run_batch(spark, trips(spark, sf_dir), root)
+    store = run_batch(spark, trips(spark, sf_dir), root, _first_day(spark, sf_dir))
+    return without_zone(store.read(spark, "fact_trips").select(*FACT_COLUMNS))
+
+
 @query(
     "batch_star_day",
     f"""WITH {CLEAN_SQL}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidestar.functions import record_key
+from tidestar.functions import record_key, unwrap_cdc
 from tidestar.operators.star import FACT_COLUMNS
 from tidestar.plans import StarStore, payment_summary, replica_changes
 from tidestar.registry.base import query, table, without_zone
@@ -38,11 +38,17 @@ def lay_topic(spark: SparkSession, feed: DataFrame, label: str) -> DataFrame:
     return file_topic(spark, path, maxFilesPerTrigger=str(min(-(-files // BATCHES), MAX_FILES)))
 
 
-@query("stream_file_source", "SELECT event_id AS feed_offset, concat('{\"user_id\":', user_id, '}') AS json FROM events")
+@query(
+    "stream_file_source",
+    """SELECT event_id AS feed_offset, concat('{"user_id":', user_id, '}') AS json,
+      CASE WHEN event_type <> 'error' THEN props END AS props, event_type = 'error' AS deleted FROM events""",
+)
 def stream_file_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A subscription to the user topic, its keys decoded and appended to a table."""
+    """A subscription to the user topic, its keys and values decoded and appended to a table."""
     topic = lay_topic(spark, user_feed(spark, sf_dir), "user_topic")
-    rows = topic.select(F.col("offset").alias("feed_offset"), F.col("key").cast("string").alias("json"))
+    text = topic.withColumn("json", F.col("key").cast("string"))
+    changes = unwrap_cdc(text, USER_ROW, keep=["offset", "json"])
+    rows = changes.select(F.col("offset").alias("feed_offset"), "json", "props", (F.col("__deleted") == "true").alias("deleted"))
     return _append(spark, rows, "stream_file_source")
 
 
@@ -95,13 +101,18 @@ def stream_replica(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "stream_route",
-    """SELECT event_id AS feed_offset, user_id FROM events WHERE event_type = 'purchase'""",
+    """SELECT CASE event_type WHEN 'purchase' THEN 'purchases' ELSE 'app.public.activity' END AS routed_to,
+      event_id AS feed_offset, user_id, CASE WHEN event_type <> 'error' THEN props END AS props FROM events""",
 )
 def stream_route(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All topics routed to table folders in one pass, then one table read back."""
-    records = lay_topic(spark, user_feed(spark, sf_dir), "user_topic").select("key", "offset", "topic")
+    """All topics routed to table folders in one pass, whole records, then both tables read back."""
+    records = lay_topic(spark, user_feed(spark, sf_dir), "user_topic").select("key", "value", "offset", "topic")
     routed, root = route(records, {"app.public.purchases": "purchases"}), work_dir(spark, "routed")
     writer = routed.writeStream.foreachBatch(routed_sink(root)).trigger(availableNow=True)
     run(writer.option("checkpointLocation", work_dir(spark, "checkpoint")).start())
-    purchases = record_key(read_routed(spark, root, routed.schema, "purchases"), USER_KEY)
-    return purchases.select(F.col("offset").alias("feed_offset"), "user_id")
+    back = []
+    for name in ("purchases", "app.public.activity"):
+        rows = record_key(read_routed(spark, root, routed.schema, name), USER_KEY).withColumnRenamed("user_id", "key_user")
+        images = unwrap_cdc(rows, USER_ROW, keep=["offset", "key_user"])
+        back.append(images.select(F.lit(name).alias("routed_to"), F.col("offset").alias("feed_offset"), F.col("key_user").alias("user_id"), "props"))
+    return back[0].unionByName(back[1])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -47,11 +48,15 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder path on the storage all executors share.
 
-    The cluster names that storage in ``spark.checkpoint.dir``; only where it is
-    unset (local tests) is a machine-local folder used.
+    The cluster names that storage in ``spark.checkpoint.dir``. Where it is unset, a machine-local
+    folder serves a local session; on a cluster every executor would write to a disk of its own,
+    so that is refused.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"set spark.checkpoint.dir to storage that all executors of {master} share")
         base = tempfile.mkdtemp(prefix="run-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 

@@ -1,7 +1,7 @@
 from tidestar.streaming.appends import append, append_star, read_routed, routed_sink, stream_append
 from tidestar.streaming.replica import merge_replica, read_replica, replica_sink
 from tidestar.streaming.run import query_id, run
-from tidestar.streaming.star import decode_captured_trips, decode_trips, star_sink, start_star
+from tidestar.streaming.star import captured_state, decode_captured_trips, decode_trips, star_sink, start_star
 
 __all__ = [
     "append",

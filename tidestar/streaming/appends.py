@@ -39,7 +39,7 @@ def append_star(
 
     Each query reads the source by itself and dimensions keep their repeats;
     ``start_star`` reads it once and merges. Kept for feeds that want plain
-    appends.
+    appends. The layout has no hash keys, so tables of the merged star are refused as targets.
     """
     frames = {
         "dim_datetime": build_dim_datetime(trips, hashed=False),
@@ -49,6 +49,11 @@ def append_star(
         "dim_trip_distance": trips.select("trip_distance"),
         "fact_trips": build_fact(trips, hashed=False),
     }
+    spark = trips.sparkSession
+    for name, df in frames.items():
+        table = f"{database}.{name}"
+        if spark.catalog.tableExists(table) and set(spark.table(table).columns) != set(df.columns):
+            raise ValueError(f"{table} has other columns than these appends; give them a database of their own")
     return {
         name: stream_append(df, f"{database}.{name}", f"{checkpoints}/{name}", every) for name, df in frames.items()
     }

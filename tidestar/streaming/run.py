@@ -27,7 +27,13 @@ def query_id(spark: SparkSession) -> str:
 
 
 def run(queries: StreamingQuery | Iterable[StreamingQuery]) -> None:
-    """Wait for one query, or for all of several; the first failure among them is raised at once."""
+    """Wait for one query, or for all of several; at the first failure the others are stopped, then it is raised."""
     waiting = [queries] if isinstance(queries, StreamingQuery) else list(queries)
-    while waiting:
-        waiting = [q for q in waiting if not q.awaitTermination(0.2)]
+    try:
+        while waiting:
+            waiting = [q for q in waiting if not q.awaitTermination(0.2)]
+    except BaseException:
+        for query in waiting:
+            if query.isActive:
+                query.stop()
+        raise

@@ -12,6 +12,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from tidestar import schemas
 from tidestar.functions.decode import conform, decode_value, micros_to_ts, parse_json, rename, unwrap_cdc
+from tidestar.operators.changes import latest_per_key
 from tidestar.plans.star import clean_trips
 from tidestar.plans.catalog import CatalogStar
 from tidestar.plans.store import StarStore
@@ -33,6 +34,17 @@ def decode_captured_trips(records: DataFrame, wrapped: bool = False) -> DataFram
     return conform(rename(kept, schemas.TRIP_NAMES), schemas.WIRE_TRIPS)
 
 
+def captured_state(records: DataFrame, wrapped: bool = False) -> DataFrame:
+    """The trips that a captured feed, read as a batch, leaves: the last image of each trip, without deleted ones.
+
+    Records need their ``offset``, which orders the changes of a trip.
+    """
+    changes = unwrap_cdc(records, schemas.CAPTURED_TRIPS, keep_tombstones=False, keep=["offset"], wrapped=wrapped)
+    last = latest_per_key(changes.withColumnRenamed("offset", "__offset"), ["trip_id"], ["__offset"])
+    kept = micros_to_ts(last.filter(F.col("__deleted") == "false"), schemas.EVENT_TIMES)
+    return conform(rename(kept, schemas.TRIP_NAMES), schemas.WIRE_TRIPS)
+
+
 def star_sink(store: StarStore | CatalogStar) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that loads clean trips into the store.
 
