@@ -27,7 +27,8 @@ from tidestar.operators import (
 )
 from tidestar.plans import clean_trips, run_batch, star_tables
 from tidestar.plans.batch import trips_of_day
-from tidestar.registry.fixtures import trips
+from tidestar.functions import unwrap_cdc
+from tidestar.registry.fixtures import USER_ROW, trips, user_feed
 from tidestar.session import stored
 from tidestar.sources import payment_types
 
@@ -145,6 +146,29 @@ def test_merge_of_distinct_times_shuffles_them_once_more(spark, small_trips):
     assert "NestedLoop" not in text
 
 
+def test_an_odd_date_adds_one_month_to_a_merge(spark, folder):
+    store = run_batch(spark, trips(spark, SMALL), f"{folder}/star")
+    odd = [12 * 1998 + 3, 12 * 2150 + 1]
+    files = store.of_months(spark, "dim_datetime", odd)
+    assert re.search(r"PartitionFilters: \[[^\]]*pickup_year", plan(files))
+    assert [tuple(r) for r in files.select("pickup_year", "pickup_month").distinct().collect()] == [(1998, 3)]
+
+
+def test_merge_on_times_leaves_the_distinct_rows_where_they_are(spark, small_trips):
+    dim = build_dim_datetime(clean_trips(small_trips))
+    target = spark.createDataFrame([], dim.schema)
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        text = plan(rows_to_insert(target.repartition(3), dim, list(schemas.EVENT_TIMES), null_safe=False, unique=True))
+    assert text.count("Exchange hashpartitioning(tpep") == 2 and "hashpartitioning(datetime_hash" not in text
+
+
+def test_an_envelope_is_parsed_only_as_far_as_wanted(spark):
+    changes = unwrap_cdc(user_feed(spark, SMALL), USER_ROW, keep=["offset"], fields=["user_id"], before=[])
+    text = plan(changes)
+    parsed = text[text.index("from_json") :].split("\n")[0]
+    assert "props" not in parsed and "before" not in parsed and "user_id" in parsed
+
+
 def test_applying_few_changes_does_not_shuffle_the_table(spark):
     orders = spark.read.parquet(f"{SMALL}/orders.parquet")
     one = orders.limit(1).withColumns({"__op": F.lit("u"), "__deleted": F.lit("false")})

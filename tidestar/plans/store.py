@@ -96,27 +96,32 @@ class StarStore:
         spark = trips.sparkSession
         require_utc(spark, "loading a star")
         day = F.to_date("tpep_pickup_datetime")
-        codes = trips.groupBy(*CODE_KEYS).agg(F.min(day).alias("first_day"), F.max(day).alias("last_day"))
+        codes = trips.groupBy(*CODE_KEYS).agg(F.collect_set(F.year(day) * 12 + F.month(day)).alias("months"))
         codes.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            first, last = codes.agg(F.min("first_day"), F.max("last_day")).first()
-            if first is not None:
-                self._merge_datetime(spark, build_dim_datetime(trips), first, last)
+            months = [r[0] for r in codes.select(F.explode("months")).distinct().collect()]  # a number for each calendar month
+            if months:
+                self._merge_datetime(spark, build_dim_datetime(trips), months)
                 for name, rows in code_dimensions(codes).items():
                     self._merge_codes(spark, name, rows)
         finally:
             codes.unpersist()
         self._write_fact(trips, run, batch_id)
 
-    def _merge_datetime(self, spark: SparkSession, rows: DataFrame, first: date, last: date) -> None:
-        """Only rows of the batch's days can hold its keys, so only those are read.
+    def of_months(self, spark: SparkSession, table: str, months: list[int]) -> DataFrame:
+        """A growing table's rows of some calendar months (year * 12 + month); no other folder is read."""
+        return self.stored(spark, table).filter((F.col("pickup_year") * 12 + F.col("pickup_month")).isin(months))
 
-        The key is never null, so a plain equality will do.
+    def _merge_datetime(self, spark: SparkSession, rows: DataFrame, months: list[int]) -> None:
+        """Only rows of the batch's months can hold its keys, so only those are read: one odd date adds its month.
+
+        The hash is a function of the two times, which are never null and by which the rows were made
+        distinct, so the times are joined, and the rows stay where they are.
         """
         name = "dim_datetime"
-        target = self.stored(spark, name, first, last)
+        target = self.of_months(spark, name, months)
         rows = conform(rows, schemas.STAR_TABLES[name])
-        new = rows_to_insert(target, rows, [schemas.DIM_KEYS[name]], null_safe=False, unique=True)
+        new = rows_to_insert(target, rows, list(schemas.EVENT_TIMES), null_safe=False, unique=True)
         new = new.hint("rebalance", *MONTH).sortWithinPartitions(*MONTH, "tpep_pickup_datetime")
         new.write.mode("append").partitionBy(*MONTH).parquet(self.path(name))
 

@@ -68,7 +68,7 @@ def cdc_record_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("cdc_table_filter", "SELECT event_id AS feed_offset, user_id FROM events WHERE event_type = 'purchase'")
 def cdc_table_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    changes = unwrap_cdc(user_feed(spark, sf_dir), USER_ROW, keep=["offset"])
+    changes = unwrap_cdc(user_feed(spark, sf_dir), USER_ROW, keep=["offset"], fields=["user_id"])
     return include_tables(changes, ["public.purchases"]).select(F.col("offset").alias("feed_offset"), "user_id")
 
 

@@ -157,11 +157,12 @@ TOPIC = struct((BINARY, "key value"), (TEXT, "topic"), (INT, "partition"), (LONG
 SOURCE_BLOCK = struct((TEXT, "schema table"), (LONG, "lsn"))
 
 
-def envelope(row: T.StructType) -> T.StructType:
-    """Schema of a change envelope around a row image."""
+def envelope(row: T.StructType, before: T.StructType | None = None) -> T.StructType:
+    """Schema of a change envelope around a row image; ``before`` where less of the old image is wanted."""
+    before = row if before is None else before
     return T.StructType(
         [
-            T.StructField("before", row),
+            *([T.StructField("before", before)] if len(before) else []),
             T.StructField("after", row),
             T.StructField("op", TEXT),
             T.StructField("ts_ms", LONG),

@@ -29,7 +29,7 @@ def decode_captured_trips(records: DataFrame, wrapped: bool = False) -> DataFram
 
     Raw names are mapped, times read as microseconds; deletes have no trip to load.
     """
-    rows = unwrap_cdc(records, schemas.CAPTURED_TRIPS, keep_tombstones=False, wrapped=wrapped)
+    rows = unwrap_cdc(records, schemas.CAPTURED_TRIPS, keep_tombstones=False, wrapped=wrapped, before=[])
     kept = micros_to_ts(rows.filter(F.col("__deleted") == "false"), schemas.EVENT_TIMES)
     return conform(rename(kept, schemas.TRIP_NAMES), schemas.WIRE_TRIPS)
 
@@ -39,7 +39,8 @@ def captured_state(records: DataFrame, wrapped: bool = False) -> DataFrame:
 
     Records need their ``offset``, which orders the changes of a trip.
     """
-    changes = unwrap_cdc(records, schemas.CAPTURED_TRIPS, keep_tombstones=False, keep=["offset"], wrapped=wrapped)
+    row = schemas.CAPTURED_TRIPS
+    changes = unwrap_cdc(records, row, keep_tombstones=False, keep=["offset"], wrapped=wrapped, before=["trip_id"])
     last = latest_per_key(changes.withColumnRenamed("offset", "__offset"), ["trip_id"], ["__offset"])
     kept = micros_to_ts(last.filter(F.col("__deleted") == "false"), schemas.EVENT_TIMES)
     return conform(rename(kept, schemas.TRIP_NAMES), schemas.WIRE_TRIPS)
