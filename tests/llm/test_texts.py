@@ -330,13 +330,21 @@ def test_base_scores_without_frequent_words(spark, scored, monkeypatch):
     assert rounded(attention.score_documents(docs, RANKS, END).collect()) == base_scores(scored[0])
 
 
-def test_held_out_text_is_predicted(scored):
-    held = [r for r in scored[1] if r.held_out]
-    unigrams = sum(r.base_score for r in held)
-    assert sum(r.score for r in held) > unigrams
+def test_held_out_text_is_predicted(spark):
+    docs = spark.read.parquet(SMALL.replace("0.001", "0.1") + "/documents.parquet")
+    held = [r for r in attention.score_documents(docs, RANKS, END).collect() if r.held_out]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held)
     assert all(r.score < 0 for r in held)
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(min_size=1, max_size=8).map(lambda t: "".join(t.split())).filter(bool) | st.sampled_from(["a\xa0", "\xa0", "\x85b", "th", "the,"]), min_size=1, max_size=12))
+def test_words_are_encoded_as_one_by_one(texts):
+    encode = attention.word_encoder(RANKS)
+    texts = [t.encode() for t in texts if t.encode().split() == [t.encode()]]
+    assert (encode(texts) if texts else []) == [x for t in texts for x in encode([t])]
+
+
 def test_scoring_of_awkward_documents(spark):
     docs = documents(spark)
     got = attention.score_documents(docs, RANKS, END).collect()

@@ -88,10 +88,10 @@ def common(a: list[str], b: list[str]) -> list[tuple[int, int]]:
         if a[i] == b[j] and length[i, j] == length[i + 1, j + 1] + 1:
             pairs.append((i, j))
             i, j = i + 1, j + 1
-        elif length[i + 1, j] == length[i, j]:
-            i += 1
-        else:
+        elif length[i, j + 1] == length[i, j]:  # rather leave a word of the template out than go far in the text
             j += 1
+        else:
+            i += 1
     return pairs
 
 
