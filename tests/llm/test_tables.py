@@ -129,7 +129,8 @@ def test_lookup_of_awkward_documents(spark):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_oracles(spark, name):
     con = duckdb.connect()
-    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{SMALL}/documents.parquet'")
+    for name_ in ("documents", "embeddings"):
+        con.sql(f"CREATE VIEW {name_} AS SELECT * FROM '{SMALL}/{name_}.parquet'")
     df = queries.QUERIES[name](spark, SMALL)
     columns = sorted(df.columns)
     want = con.sql(f"SELECT {', '.join(columns)} FROM ({queries.ORACLE[name]})").fetchall()

@@ -64,7 +64,44 @@ def op1_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, "base_failed", "kept", "distance")
 
 
-@query("op8_lsh_forest")
+#: The smallest id that each node reaches over ``links`` (a, b), for the queries below.
+REACH_SQL = """ways AS (SELECT a AS x, b AS y FROM links UNION ALL SELECT b, a FROM links), reach AS (
+    SELECT x, y FROM ways UNION SELECT r.x, w.y FROM reach r JOIN ways w ON w.x = r.y),
+  least AS (SELECT x, min(y) AS y FROM reach GROUP BY x)"""
+
+SHINGLES_SQL = f"""
+WITH RECURSIVE texts AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+  sets AS (
+    SELECT doc_id, CASE WHEN len(w) < 2 THEN w
+      ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM texts),
+  items AS (SELECT doc_id, len(s) AS n, unnest(s) AS item FROM sets),
+  links AS (
+    SELECT p.doc_id AS a, q.doc_id AS b FROM items p JOIN items q ON p.item = q.item AND p.doc_id < q.doc_id
+    GROUP BY p.doc_id, q.doc_id, p.n, q.n HAVING 100 * count(*) >= 80 * (p.n + q.n - count(*))),
+  {REACH_SQL}
+SELECT doc_id, len(s) AS n_shingles, least(doc_id, coalesce(y, doc_id)) AS component_id,
+    doc_id <= coalesce(y, doc_id) AS kept
+FROM sets LEFT JOIN least ON x = doc_id
+"""
+
+COSINE_SQL = f"""
+WITH RECURSIVE vectors AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+  links AS (
+    SELECT p.vec_id AS a, q.vec_id AS b FROM vectors p JOIN vectors q ON p.vec_id < q.vec_id
+    WHERE list_dot_product(p.v, q.v) / sqrt(list_dot_product(p.v, p.v) * list_dot_product(q.v, q.v)) >= 0.95),
+  {REACH_SQL}, counts AS (SELECT x, count(*) AS n FROM ways GROUP BY x)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(y, vec_id)) AS component_id,
+    vec_id <= coalesce(y, vec_id) AS kept
+FROM embeddings LEFT JOIN least ON least.x = vec_id LEFT JOIN counts ON counts.x = vec_id
+"""
+
+
+@query("op8_lsh_forest", SHINGLES_SQL)
 def op8_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents over two-word shingles."""
     return forest.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
@@ -105,7 +142,7 @@ def op5_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), end=50256)
 
 
-@query("op6_grid_order_join")
+@query("op6_grid_order_join", COSINE_SQL)
 def op6_grid_order_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all embeddings."""
     return grid.near_duplicates(table(spark, sf_dir, "embeddings"))
