@@ -9,6 +9,8 @@
    prefix: the depth adapts to the region. Pairs whose whole signatures agree too little are dropped.
 4. Pairs are confirmed on whole sets. First each class's best pairs; then whatever pairs still
    lie between different components, so no confirmed link is lost that could join two of them.
+5. In crowded regions, classes of different components that were too far apart in the orders to meet are compared
+   with each other too, so the number of neighbours caps no region's links.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ TREES, DEPTH, MIN_DEPTH = 14, 5, 3
 HASHES = TREES * DEPTH
 #: Rows that a row is compared with, ahead of it in an order, within its region.
 NEIGHBOURS = 64
+#: Rows of a crowded region that one task compares with each other; a larger region is taken a value deeper.
+REGION_ROWS = 2048
 #: Pairs that a row of a crowded region, or a row with near-certain pairs, sends on from an order.
 BEST, BEST_SURE = 4, 2
 RANDOM = np.random.default_rng(20240229)
@@ -237,6 +241,53 @@ def candidates(classes: DataFrame, percent: int) -> DataFrame:
     return pairs.where("a != b").groupBy("a", "b").agg(F.max("agree").alias("agree"))
 
 
+def rest_pairs(classes: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """Pairs (``a < b``) of crowded regions that lie in different components, however far apart in the orders.
+
+    A region is crowded if it has more rows than a row has neighbours. Its depth is the least at which
+    it has ``REGION_ROWS`` rows or fewer, else all values. Regions of one component have nothing to add.
+    """
+    own = classes.join(known, F.col("id") == F.col("node"), "left").select("id", "n", "sig", F.coalesce("component", "id").alias("own"))
+    rows = own.select(F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "id", "n", "sig", "own")
+    prefix = lambda depth: F.substring("sig", F.col("tree") * (2 * DEPTH) + 1, F.lit(2 * depth))
+    crowds = None
+    for depth in range(MIN_DEPTH, DEPTH + 1):
+        sizes = rows.select("tree", prefix(depth).alias("prefix"), "own").groupBy("tree", "prefix")
+        sizes = sizes.agg(F.count(F.lit(1)).alias("rows"), F.min("own").alias("low"), F.max("own").alias("high"))
+        sizes = sizes.where((F.col("rows") > NEIGHBOURS) & (F.col("low") < F.col("high")))
+        fit = sizes.where(F.col("rows") <= REGION_ROWS) if depth < DEPTH else sizes
+        met = rows.withColumn("prefix", prefix(depth)).join(fit.select("tree", "prefix", "rows"), ["tree", "prefix"])
+        part = F.when(F.col("rows") > REGION_ROWS, F.pmod(F.xxhash64("id"), F.ceil(F.col("rows") / REGION_ROWS))).otherwise(0)
+        met = met.select("tree", "prefix", part.cast("int").alias("part"), "id", "n", "sig", "own")
+        crowds = met if crowds is None else crowds.unionByName(met)
+    least = Neighbours(percent).least
+
+    def across(group: pa.Table) -> pa.Table:
+        group = group.select(["id", "n", "sig", "own"]).sort_by("n").combine_chunks()
+        ids, n, own = (group.column(c).to_numpy() for c in ("id", "n", "own"))
+        sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), ">u2").reshape(len(ids), HASHES)
+        ends = np.searchsorted(n, n * 100 // percent, "right")
+        left, right = [], []
+        for i in range(len(ids) - 1):
+            near = np.arange(i + 1, ends[i])
+            near = near[own[near] != own[i]]
+            near = near[(sig[near] == sig[i]).sum(axis=1) >= least] if len(near) else near
+            left.append(np.full(len(near), ids[i]))
+            right.append(ids[near])
+        a, b = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (left, right))
+        return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
+
+    return crowds.groupBy("tree", "prefix", "part").applyInArrow(across, "a bigint, b bigint").distinct()
+
+
+def sets_of(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
+    """The whole sets of the classes in ``pairs``."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    members = classes.join(wanted, "id", "left_semi").select("doc_id")
+    sets = shingle_sets(docs.select("doc_id", "text").join(members, "doc_id", "left_semi"), width)
+    return stored(sets.where("id is not null").dropDuplicates(["id"]), "sets")
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose whole sets have a Jaccard similarity of ``percent`` % or more."""
     one = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
@@ -262,10 +313,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     classes = worded.groupBy("id").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"))
     classes = stored(classes, "classes")
     pairs = stored(candidates(classes, percent), "pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    members = classes.join(wanted, "id", "left_semi").select("doc_id")
-    sets = shingle_sets(docs.select("doc_id", "text").join(members, "doc_id", "left_semi"), width)
-    sets = stored(sets.where("id is not null").dropDuplicates(["id"]), "sets")
+    sets = sets_of(docs, classes, pairs, width)
     ends = pairs.select("a", "b", "agree", F.explode(F.array("a", "b")).alias("end"))
     place = F.row_number().over(Window.partitionBy("end").orderBy(F.desc("agree"), "a", "b"))
     best = ends.withColumn("place", place).where("place <= 2").select("a", "b").distinct()
@@ -274,7 +322,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     left, right = (known.select(F.col("node").alias(c), F.col("component").alias(f"c{c}")) for c in "ab")
     apart = pairs.join(best, ["a", "b"], "left_anti").join(left, "a", "left").join(right, "b", "left")
     apart = apart.where(~F.coalesce(F.col("ca") == F.col("cb"), F.lit(False))).select("a", "b")
-    named = least_members(classes.select("id", "doc_id"), links.unionByName(confirmed(apart, sets, percent)))
+    links = stored(links.unionByName(confirmed(apart, sets, percent)), "confirmed")
+    rest = rest_pairs(classes, stored(components(links), "components"), percent)
+    rest = stored(rest.join(pairs, ["a", "b"], "left_anti"), "rest")
+    if rest.limit(1).count():
+        links = links.unionByName(confirmed(rest, sets_of(docs, classes, rest, width), percent))
+    named = least_members(classes.select("id", "doc_id"), links)
     out = table.join(named, "id", "left").withColumn("component_id", F.when(F.col("id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
     return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
