@@ -150,6 +150,25 @@ def test_near_duplicates_of_a_table(spark):
     assert bag(forest.near_duplicates(docs, 2), "doc_id", "n_shingles", "component_id") == brute_components(docs.collect(), 2)
 
 
+def star_of(copies, edits):  # noqa: ANN001, ANN201
+    """A text and copies of it that are each edited elsewhere, so they link with it and not with each other."""
+    r, base = np.random.default_rng(copies), [f"w{i}" for i in range(1000)]
+    rows = [row(copies, " ".join(base))]  # the original has the largest id
+    for i in range(copies):
+        edited = list(base)
+        for at in r.choice(1000, edits, replace=False):
+            edited[at] = f"e{i}x{at}"
+        rows.append(row(i, " ".join(edited)))
+    return rows
+
+
+def test_a_crowd_keeps_its_links_to_the_original(spark):
+    docs = spark.createDataFrame(star_of(150, 36), documents(spark).schema)  # 2 shingles an edit: J 0.87 with it, 0.77 with each other
+    want = brute_components(docs.collect(), 2)
+    assert {c for _, _, c in want} == {0}
+    assert bag(forest.near_duplicates(docs, 2), "doc_id", "n_shingles", "component_id") == want
+
+
 # --- BPE
 
 

@@ -1,25 +1,25 @@
-"""MinHash near-duplicates with an LSH forest: sorted signature orders and their prefix neighbours.
+"""MinHash near-duplicates with an LSH forest: signature trees, and the regions of a common prefix in them.
 
 1. Every whole text becomes its set of word shingles, hashed to 64 bits. Texts with equal sets form a
    class, of which one member goes on, so copies cost nothing further.
-2. Each class has a signature of ``TREES * DEPTH`` minimum hashes. In every tree the classes are sorted
-   by that tree's part of the signature; range partitions split any crowd, since the id breaks ties.
-3. A class meets the classes after it that share a prefix of ``MIN_DEPTH`` values or more. Where a region
-   is crowded, the nearest in the order are met first, and they are those with the longest common
-   prefix: the depth adapts to the region. Pairs whose whole signatures agree too little are dropped.
-4. Pairs are confirmed on whole sets. First each class's best pairs; then whatever pairs still
-   lie between different components, so no confirmed link is lost that could join two of them.
+2. Each class has a signature of ``TREES * DEPTH`` minimum hashes. In every tree the classes with a common
+   prefix of ``MIN_DEPTH`` values form a region. All classes of a region meet, whatever its size: a large
+   region is dealt into blocks, and every two blocks meet in a group of their own. Pairs whose whole
+   signatures agree too little are dropped; of the others, a region sends on a spanning forest.
+3. The classes that these links connect form a cluster, which holds all candidate pairs of its members.
+4. Clusters are confirmed on whole sets, large ones again in pairs of blocks. A pair is left out only where
+   confirmed links connect it already, so the components are those of all confirmed pairs.
 """
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidestar.llm.batches import map_rows
@@ -28,10 +28,8 @@ from tidestar.session import stored
 
 TREES, DEPTH, MIN_DEPTH = 14, 5, 3
 HASHES = TREES * DEPTH
-#: Rows that a row is compared with, ahead of it in an order, within its region.
-NEIGHBOURS = 64
-#: Pairs that a row of a crowded region, or a row with near-certain pairs, sends on from an order.
-BEST, BEST_SURE = 4, 2
+#: Rows of a region or cluster in a block, and shingles of a cluster in a block; larger ones have more blocks.
+REGION_ROWS, SET_VALUES = 2048, 1_000_000
 RANDOM = np.random.default_rng(20240229)
 FACTORS = RANDOM.integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 OFFSETS = RANDOM.integers(0, 2**63, HASHES, dtype=np.uint64)
@@ -122,128 +120,172 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
     return map_rows(docs.select("text"), "id bigint, shingles array<bigint>", make)
 
 
-ORDERED = "tree int, key binary, id bigint, n bigint, sig binary"
-FOUND = "part int, edge int, a bigint, b bigint, agree int, " + ORDERED
-
-
-class Neighbours:
-    """Compares rows that come in tree order with the rows that follow them."""
-
-    def __init__(self, percent: int) -> None:
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole groups, and the starts of the groups with the end, from batches sorted by ``keys``."""
+    held: list[pa.RecordBatch] = []  # rows of the last group, which may go on
+
+    def cut(rows: pa.Table) -> np.ndarray:
+        new = np.append(True, np.zeros(rows.num_rows - 1, bool))
+        for k in keys:
+            values = rows.column(k).to_numpy()
+            new[1:] |= values[1:] != values[:-1]
+        return np.append(np.flatnonzero(new), rows.num_rows)
+
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        if held and all(batch.column(k)[batch.num_rows - 1] == held[0].column(k)[0] for k in map(batch.schema.get_field_index, keys)):
+            held.append(batch)
+            continue
+        rows = pa.Table.from_batches([*held, batch])
+        starts = cut(rows)
+        if len(starts) > 2:
+            yield rows.slice(0, starts[-2]), starts[:-1]
+        held = rows.slice(starts[-2]).to_batches()
+    if held:
+        rows = pa.Table.from_batches(held)
+        yield rows, cut(rows)
+
+
+def spanning(count: int, side: np.ndarray | None, linked: Callable[[int, np.ndarray], np.ndarray]) -> list[tuple[int, int]]:
+    """Links that connect rows as all links between them do.
+
+    ``linked(i, others)`` tells which rows link with row ``i``. A row is asked only about rows that no link
+    has reached yet, and with ``side`` only about rows of the other side.
+    """
+    links: list[tuple[int, int]] = []
+    rest = np.arange(count)
+    while len(rest):
+        queue, rest = deque([int(rest[0])]), rest[1:]
+        while queue and len(rest):
+            i = queue.popleft()
+            others = rest if side is None else rest[side[rest] != side[i]]
+            found = others[linked(i, others)] if len(others) else others
+            if len(found):
+                links += [(i, int(j)) for j in found]
+                queue.extend(map(int, found))
+                rest = rest[~np.isin(rest, found, assume_unique=True)]
+    return links
+
+
+class Likeness:
+    """Tells which sets may be near-duplicates, from sizes and signatures."""
+
+    def __init__(self, rows: pa.Table, percent: int) -> None:
         share = percent / 100
         self.percent = percent
         self.least = int(HASHES * share - 4 * (HASHES * share * (1 - share)) ** 0.5)
-        self.sure = int(HASHES * (share + 1) / 2)
-
-    def pairs(self, rows: dict[str, np.ndarray], fresh: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Pairs of row numbers and how many hashes agree; only those that end at row ``fresh`` or later."""
-        count = len(rows["id"])
-        region = np.cumsum(np.append(False, rows["region"][1:] != rows["region"][:-1]))
-        members = np.bincount(region)[region] if count else region
-        left, right, agree = [], [], []
-        for step in range(1, min(NEIGHBOURS, count - 1) + 1):
-            i = np.flatnonzero(region[step:] == region[:-step])
-            if len(i) == 0:
-                break
-            i = i[i + step >= fresh]
-            n, m = rows["n"][i], rows["n"][i + step]
-            i = i[100 * np.minimum(n, m) >= self.percent * np.maximum(n, m)]
-            same = (rows["sig"][i] == rows["sig"][i + step]).sum(axis=1)
-            fit = same >= self.least
-            left.append(i[fit])
-            right.append(i[fit] + step)
-            agree.append(same[fit])
-        if not left:
-            return region[:0], region[:0], region[:0]
-        left, right, agree = map(np.concatenate, (left, right, agree))
-        order = np.lexsort((right, -agree, left))
-        left, right, agree = left[order], right[order], agree[order]
-        place = np.arange(len(left)) - np.searchsorted(left, left)
-        keep = place < np.where(agree >= self.sure, BEST_SURE, np.where(members[left] > NEIGHBOURS, BEST, NEIGHBOURS))
-        return left[keep], right[keep], agree[keep]
-
-
-def _columns(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
-    """Rows of ``ORDERED`` as arrays; ``region`` stands for the tree and the least common prefix."""
-    fixed = lambda name, size: np.frombuffer(b"".join(batch.column(name).to_pylist()), np.uint8).reshape(-1, size)
-    key = fixed("key", 2 * DEPTH)
-    prefix = np.zeros((len(key), 8), np.uint8)
-    prefix[:, : 2 * MIN_DEPTH] = key[:, : 2 * MIN_DEPTH]
-    prefix[:, 2 * MIN_DEPTH] = batch.column("tree").to_numpy()
-    return {
-        "tree": batch.column("tree").to_numpy(),
-        "id": batch.column("id").to_numpy(),
-        "n": batch.column("n").to_numpy(),
-        "key": key,
-        "sig": np.ascontiguousarray(fixed("sig", 2 * HASHES)).view(">u2"),
-        "region": prefix.view(np.uint64)[:, 0],
-    }
+        self.n = rows.column("n").to_numpy()
+        self.sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), ">u2").reshape(-1, HASHES)
+
+    def __call__(self, i: int | np.ndarray, others: np.ndarray) -> np.ndarray:
+        n, m = self.n[i], self.n[others]
+        fit = 100 * np.minimum(n, m) >= self.percent * np.maximum(n, m)
+        at = np.flatnonzero(fit)
+        one = self.sig[i] if np.ndim(i) == 0 else self.sig[i[at]]
+        fit[at] = (self.sig[others[at]] == one).sum(axis=1) >= self.least
+        return fit
+
+
+def in_blocks(rows: DataFrame, group: str, parts: DataFrame) -> DataFrame:
+    """The rows with ``one`` and ``two``: pairs of blocks of their group, and ``block``, the row's own.
+
+    ``parts`` has the number of blocks of each large group. A row comes once for each block of its group, so
+    that any two rows of a group meet in one pair of blocks, whatever the group's size.
+    """
+    rows = rows.join(parts, group, "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    rows = rows.withColumn("beside", F.explode(F.sequence(F.lit(0), (F.col("parts") - 1).cast("int")))).drop("parts")
+    rows = rows.withColumn("one", F.least("block", "beside")).withColumn("two", F.greatest("block", "beside")).drop("beside")
+    return rows.repartition(group, "one", "two").sortWithinPartitions(group, "one", "two", "id")
+
+
+LINKS = "a bigint, b bigint"
+
+
+def link_batch(ids: np.ndarray, left: list | np.ndarray, right: list | np.ndarray) -> pa.RecordBatch:
+    left, right = np.asarray(left, np.int64), np.asarray(right, np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(ids[left], pa.int64()), pa.array(ids[right], pa.int64())], ["a", "b"])
 
 
 def candidates(classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes (``a < b``, ``agree``) that meet in some tree; ``classes``: ``id``, ``n``, ``sig``."""
-    trees = classes.select(F.posexplode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("at", "tree"), "id", "n", "sig")
-    key = F.substring("sig", F.col("tree") * (2 * DEPTH) + 1, F.lit(2 * DEPTH))
-    ordered = trees.select("tree", key.alias("key"), "id", "n", "sig").repartitionByRange("tree", "key", "id")
-    ordered = ordered.sortWithinPartitions("tree", "key", "id")
-    schema = pa.schema([("part", pa.int32()), ("edge", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("agree", pa.int32()), ("tree", pa.int32()), ("key", pa.binary()), ("id", pa.int64()), ("n", pa.int64()), ("sig", pa.binary())])
+    """Links (``a``, ``b``) that connect classes as all pairs do that share a region and are alike by their signatures.
+
+    ``classes`` has ``id``, ``n``, ``sig``. A region is a tree and a prefix of ``MIN_DEPTH`` values.
+    """
+    prefix = F.substring("sig", F.col("tree") * (2 * DEPTH) + 1, F.lit(2 * MIN_DEPTH))
+    trees = classes.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))))
+    rows = trees.select(F.xxhash64("tree", prefix).alias("region"), "id", "n", "sig")
+    parts = rows.groupBy("region").agg(F.ceil(F.count(F.lit(1)) / REGION_ROWS).alias("parts")).where("parts > 1")
+    parts = stored(parts, "regions")
 
     def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Pairs of one partition, and its first and last rows, which may meet those of the partitions beside it."""
-        search, part = Neighbours(percent), TaskContext.get().partitionId()
-        tail, head = None, 0
-
-        def edge(rows: dict[str, np.ndarray], which: int) -> pa.RecordBatch:
-            k = len(rows["id"])
-            none = pa.nulls(k, pa.int64())
-            to_bytes = lambda m: pa.array([r.tobytes() for r in m], pa.binary())
-            columns = [pa.array([part] * k, pa.int32()), pa.array([which] * k, pa.int32()), none, none, pa.nulls(k, pa.int32()), pa.array(rows["tree"], pa.int32()), to_bytes(rows["key"]), pa.array(rows["id"]), pa.array(rows["n"]), to_bytes(rows["sig"])]
-            return pa.RecordBatch.from_arrays(columns, schema=schema)
-
-        for batch in batches:
-            if batch.num_rows == 0:
+        for rows, starts in whole_groups(batches, ["region", "one", "two"]):
+            sizes = np.diff(starts)
+            keep = np.repeat(sizes > 1, sizes)  # most rows are alone in their region
+            if not keep.any():
                 continue
-            rows = _columns(batch)
-            if head < NEIGHBOURS:
-                first = {k: v[: NEIGHBOURS - head] for k, v in rows.items()}
-                head += len(first["id"])
-                yield edge(first, 0)
-            old = 0 if tail is None else len(tail["id"])
-            if tail is not None:
-                rows = {k: np.concatenate([tail[k], v]) for k, v in rows.items()}
-            left, right, agree = search.pairs(rows, old)
-            a, b = rows["id"][left], rows["id"][right]
-            k = len(a)
-            if k:
-                columns = [pa.array([part] * k, pa.int32()), pa.nulls(k, pa.int32()), pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(agree, pa.int32())]
-                yield pa.RecordBatch.from_arrays(columns + [pa.nulls(k, schema.field(i).type) for i in range(5, 10)], schema=schema)
-            tail = {k: v[-NEIGHBOURS:] for k, v in rows.items()}
-        if tail is not None:
-            yield edge(tail, 1)
-
-    found = stored(ordered.mapInArrow(within, FOUND), "neighbours")
-
-    def across(group: pa.Table) -> pa.Table:
-        """Pairs between the last rows of a partition and the first rows of the next."""
-        group = group.sort_by([("edge", "descending"), ("tree", "ascending"), ("key", "ascending"), ("id", "ascending")]).combine_chunks()
-        rows = _columns(group.to_batches()[0])
-        left, right, agree = Neighbours(percent).pairs(rows, int(np.sum(group.column("edge").to_numpy())))
-        a, b = rows["id"][left], rows["id"][right]
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b), "agree": pa.array(agree, pa.int32())})
-
-    edges = found.where("edge is not null").withColumn("joint", F.col("part") - 1 + F.col("edge"))
-    beside = edges.groupBy("joint").applyInArrow(across, "a bigint, b bigint, agree int")
-    pairs = found.where("edge is null").select("a", "b", "agree").unionByName(beside)
-    return pairs.where("a != b").groupBy("a", "b").agg(F.max("agree").alias("agree"))
-
-
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose whole sets have a Jaccard similarity of ``percent`` % or more."""
-    one = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
-    two = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    held = pairs.join(one, "a").join(two, "b").withColumn("both", both)
-    return held.where(100 * F.col("both") >= percent * (F.size("sa") + F.size("sb") - F.col("both"))).select("a", "b")
+            rows = rows.filter(pa.array(keep))
+            sizes = sizes[sizes > 1]
+            starts = np.append(0, np.cumsum(sizes))
+            alike, ids = Likeness(rows, percent), rows.column("id").to_numpy()
+            block = rows.column("block").to_numpy()
+            crossed = (rows.column("one").to_numpy() != rows.column("two").to_numpy())[starts[:-1]]
+            first = np.repeat(starts[:-1], sizes)
+            fit = alike(first, np.arange(len(ids)))  # of most groups all rows are like the first, or none
+            done = ~crossed & ((np.add.reduceat(fit, starts[:-1], dtype=np.int64) == sizes) | (sizes == 2))
+            at = np.flatnonzero(fit & np.repeat(done, sizes))
+            yield link_batch(ids, first[at], at)
+            for g in np.flatnonzero(~done):
+                low = starts[g]
+                side = block[low : starts[g + 1]] if crossed[g] else None
+                links = spanning(int(sizes[g]), side, lambda i, others, low=low: alike(low + i, low + others))
+                if links:
+                    left, right = zip(*links, strict=True)
+                    yield link_batch(ids[low:], left, right)
+
+    return in_blocks(rows, "region", parts).mapInArrow(within, LINKS).where("a != b").distinct()
+
+
+def confirmed(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links that connect the members of each cluster as all pairs do whose whole sets have a Jaccard similarity of ``percent`` % or more.
+
+    ``members`` has ``id``, ``n``, ``sig`` and ``cluster``, ``sets`` has ``id`` and ``shingles``.
+    """
+    parts = members.groupBy("cluster").agg(F.ceil(F.greatest(F.sum("n") / SET_VALUES, F.count(F.lit(1)) / REGION_ROWS)).alias("parts"))
+    parts = stored(parts.where("parts > 1"), "clusters")
+
+    def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, starts in whole_groups(batches, ["cluster", "one", "two"]):
+            for low, high in zip(starts, starts[1:], strict=False):
+                if high - low > 1:
+                    part = rows.slice(low, high - low)
+                    ids = part.column("id").to_numpy()
+                    part = part.filter(pa.array(np.append(True, ids[1:] != ids[:-1])))  # rows that repeat an id repeat its set
+                    yield confirmed_links(part, percent)
+
+    held = members.select("id", "n", "sig", "cluster").join(sets, "id")
+    return in_blocks(held, "cluster", parts).mapInArrow(within, LINKS).distinct()
+
+
+def confirmed_links(rows: pa.Table, percent: int) -> pa.RecordBatch:
+    """Confirmed links of one cluster or two of its blocks."""
+    ids, block = rows.column("id").to_numpy(), rows.column("block").to_numpy()
+    side = block if rows.column("one")[0] != rows.column("two")[0] else None
+    alike = Likeness(rows, percent)
+    sets = [s.values.to_numpy(zero_copy_only=False).view(np.uint64) for chunk in rows.column("shingles").chunks for s in chunk]
+
+    def linked(i: int, others: np.ndarray) -> np.ndarray:
+        fit = alike(i, others)
+        for k in np.flatnonzero(fit):
+            a, b = sorted((sets[i], sets[others[k]]), key=len)
+            both = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
+            fit[k] = 100 * both >= percent * (len(a) + len(b) - both)
+        return fit
+
+    links = spanning(len(ids), side, linked)
+    left, right = zip(*links, strict=True) if links else ((), ())
+    return link_batch(ids, left, right)
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -261,20 +303,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     worded = table.where("id is not null")
     classes = worded.groupBy("id").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"))
     classes = stored(classes, "classes")
-    pairs = stored(candidates(classes, percent), "pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    members = classes.join(wanted, "id", "left_semi").select("doc_id")
-    sets = shingle_sets(docs.select("doc_id", "text").join(members, "doc_id", "left_semi"), width)
-    sets = stored(sets.where("id is not null").dropDuplicates(["id"]), "sets")
-    ends = pairs.select("a", "b", "agree", F.explode(F.array("a", "b")).alias("end"))
-    place = F.row_number().over(Window.partitionBy("end").orderBy(F.desc("agree"), "a", "b"))
-    best = ends.withColumn("place", place).where("place <= 2").select("a", "b").distinct()
-    links = stored(confirmed(best, sets, percent), "confirmed")
-    known = stored(components(links), "components")
-    left, right = (known.select(F.col("node").alias(c), F.col("component").alias(f"c{c}")) for c in "ab")
-    apart = pairs.join(best, ["a", "b"], "left_anti").join(left, "a", "left").join(right, "b", "left")
-    apart = apart.where(~F.coalesce(F.col("ca") == F.col("cb"), F.lit(False))).select("a", "b")
-    named = least_members(classes.select("id", "doc_id"), links.unionByName(confirmed(apart, sets, percent)))
+    clusters = components(candidates(classes, percent)).select(F.col("node").alias("id"), F.col("component").alias("cluster"))
+    members = stored(classes.join(clusters, "id"), "clusters")
+    wanted = members.select(F.col("doc_id").alias("wanted_id"))
+    sets = shingle_sets(docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi"), width)
+    named = least_members(classes.select("id", "doc_id"), confirmed(members, sets.where("id is not null"), percent))
     out = table.join(named, "id", "left").withColumn("component_id", F.when(F.col("id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
     return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
