@@ -169,6 +169,14 @@ def test_a_crowd_keeps_its_links_to_the_original(spark):
     assert bag(forest.near_duplicates(docs, 2), "doc_id", "n_shingles", "component_id") == want
 
 
+def test_blocks_of_a_crowd_all_meet(spark, monkeypatch):
+    monkeypatch.setattr(forest, "REGION_ROWS", 40)
+    monkeypatch.setattr(forest, "SET_VALUES", 20_000)
+    docs = spark.createDataFrame(star_of(200, 36), documents(spark).schema)
+    found = forest.near_duplicates(docs, 2).collect()
+    assert len(found) == 201 and {r.component_id for r in found} == {0}
+
+
 # --- BPE
 
 
