@@ -318,6 +318,18 @@ def test_licenses_in_documents(spark):
     assert licenses.scan(empty(spark)).count() == 0
 
 
+def test_an_insertion_does_not_hide_a_license(spark):
+    texts = {}
+    for k, name in enumerate(n for n in licenses.TEMPLATES if n.endswith("-text")):
+        w = licenses.TEMPLATES[name].split()
+        middle = len(w) // 2
+        texts[k] = (name, " ".join([*w[:middle], *(f"aside{i}" for i in range(30)), *w[middle:]]))
+    docs = spark.createDataFrame([row(k, prose(k, 400) + " " + t + " " + prose(50 + k, 400)) for k, (_, t) in texts.items()], documents(spark).schema)
+    found = {(r.doc_id, r.license): r for r in licenses.scan(docs).where("license like '%-text'").collect()}
+    assert set(found) == {(k, name) for k, (name, _) in texts.items()}
+    assert all(r.coverage == 1.0 for r in found.values())
+
+
 def test_every_planted_notice_is_found(spark):
     docs = spark.read.parquet(SMALL.replace("0.001", "0.01") + "/documents.parquet")
     got = Counter((r.doc_id, r.license) for r in licenses.scan(docs).collect())

@@ -24,8 +24,10 @@ from tidestar.llm.batches import map_rows
 
 WORD = re.compile(r"[^\W_]+")
 COVERAGE = 0.8
-#: Words that may stand between two aligned words of one copy.
+#: Words that may stand between any two aligned words of one copy.
 GAP = 12
+#: Words that longer insertions in one copy may have in all, as a share of the template's words.
+INSERTED = 1.0
 SCHEMA = "doc_id bigint, license string, n_matched bigint, n_template bigint, coverage double, start bigint, stop bigint, notice string"
 
 #: Notices and permission texts of public licenses.
@@ -127,24 +129,54 @@ class Template:
         order = sorted(range(len(self.words)), key=lambda i: (-len(self.words[i]), i))
         self.seeds = {self.words[i] for i in order[: left_out + 1]}
 
+    def aligned(self, words: list[str], low: int, high: int, joint: int = 0) -> tuple[int, int, int]:
+        """Most aligned words of a copy among words ``low`` to ``high``, the first and the last; ``joint`` words may stand between its runs."""
+        runs: list[list[int]] = []  # aligned words, first and last of each
+        for i, _ in patience(words[low:high], self.words):
+            if runs and i - runs[-1][2] <= GAP + 1:
+                runs[-1][0], runs[-1][2] = runs[-1][0] + 1, i
+            else:
+                runs.append([1, i, i])
+        best = (0, low, low)
+        for k, (n, first, last) in enumerate(runs):
+            left = joint
+            best = max(best, (n, low + first, low + last), key=lambda c: c[0])
+            for more, start, stop in runs[k + 1 :]:
+                left -= start - last - 1
+                if left < 0:
+                    break
+                n, last = n + more, stop
+                best = max(best, (n, low + first, low + last), key=lambda c: c[0])
+        return best
+
     def found(self, words: list[str]) -> list[tuple[int, int, int]]:
         """Copies in a text: number of aligned words, first and last word."""
         m, out, after = len(self.words), [], 0
         reach = m + GAP * max(1, m - self.least) + GAP
-        for seed in (i for i, w in enumerate(words) if w in self.seeds):
-            if seed < after:
-                continue
-            low = max(after, seed - reach)
-            window = words[low : seed + reach + 1]
-            run: list[tuple[int, int]] = []
-            best: list[tuple[int, int]] = []
-            for pair in patience(window, self.words):
-                run = [*run, pair] if run and pair[0] - run[-1][0] <= GAP + 1 else [pair]
-                best = run if len(run) > len(best) else best
-            if len(best) >= self.least:
-                out.append((len(best), low + best[0][0], low + best[-1][0]))
-                after = low + best[-1][0] + 1
-        return out
+        seeds = [i for i, w in enumerate(words) if w in self.seeds]
+        for seed in seeds:
+            if seed >= after:
+                copy = self.aligned(words, max(after, seed - reach), seed + reach + 1)
+                if copy[0] >= self.least:
+                    out.append(copy)
+                    after = copy[2] + 1
+        joint = int(INSERTED * m)
+        if joint <= GAP:
+            return out
+        # Copies with longer insertions lie between those found.
+        edges = [0, *(e for _, first, last in out for e in (first, last + 1)), len(words)]
+        for low, high in zip(edges[::2], edges[1::2], strict=True):
+            after = low
+            for seed in seeds[bisect_left(seeds, low) : bisect_left(seeds, high)]:
+                if seed < after:
+                    continue
+                copy = self.aligned(words, max(after, seed - reach - joint), min(high, seed + reach + joint + 1), joint)
+                if copy[0] >= self.least:
+                    # The window may have ended within the copy.
+                    copy = max(copy, self.aligned(words, copy[1], min(high, copy[1] + reach + joint + 1), joint), key=lambda c: c[0])
+                    out.append(copy)
+                    after = copy[2] + 1
+        return sorted(out, key=lambda c: c[1])
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE) -> DataFrame:
