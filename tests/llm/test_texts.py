@@ -69,6 +69,18 @@ def test_junk_is_rejected_and_clean_text_kept(spark):
     assert n.get((0, True), 0) <= 0.01 * n[0, False]
 
 
+def test_repetition_alone_is_rejected(spark):
+    """Repeated lines, or repeated words just within the base rule, where no other document repeats anything."""
+    lines = lambda n, k: "\n".join(" ".join(f"w{k}x{i}x{j}" for j in range(8)) for i in range(n))
+    rows = [row(k, lines(40, k)) for k in range(100)]
+    rows.append(row(200, "\n".join([*lines(20, 200).split("\n"), *["one line"] * 40])))
+    rows.append(row(201, " ".join(f"v{i}" for i in range(160)) + "\n" + " ".join(f"u{i}" for i in range(75)) + "\n" + " ".join(f"u{i}" for i in range(75))))
+    docs = spark.createDataFrame(rows, documents(spark).schema)
+    got = {r.doc_id: r for r in robust.verdicts(docs).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert {k for k, r in got.items() if not r.kept} == {200, 201}
+
+
 def test_estimates_ignore_a_cluster_of_outliers(spark):
     r = np.random.default_rng(3)
     mixing = r.normal(size=(6, 6)) + 2 * np.eye(6)

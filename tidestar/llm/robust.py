@@ -35,7 +35,7 @@ STATISTICS = "doc_id bigint, lang string, source string, " + ", ".join(f"{c} big
 X = [f"x{i}" for i in range(6)]
 LOWER = [(i, j) for i in range(6) for j in range(i + 1)]
 #: Spread added to every dimension's variance: what is always taken as normal variation of the transformed statistics.
-FLOORS = (0.10, 0.35, 0.35, 0.35, 1.0, 1.0)
+FLOORS = (0.10, 0.35, 0.35, 0.35, 0.68, 0.79)
 SHARE = 0.75  #: of a group's documents from which the least determinant is sought
 QUANTILE = 0.99999  #: of the chi-square distribution beyond which a document is rejected
 MIN_GROUP = 50  #: a source with fewer documents of a language joins that language's other small sources
