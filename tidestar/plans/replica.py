@@ -27,7 +27,7 @@ def replica_changes(
     The key comes from the record key, so a delete or a tombstone that carries
     nothing else still names its row. ``__offset`` orders the changes of a key,
     which a feed keyed by primary key keeps in one topic partition. Values that
-    do not parse are no change; ``split_bad`` reports them.
+    do not parse are no change; ``split_bad`` reports them to a caller who asks for it.
     """
     names = {k: f"__key_{k}" for k in keys}
     fields = T.StructType([captured[k] for k in keys])
