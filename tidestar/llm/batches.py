@@ -26,6 +26,14 @@ BATCH_BYTES = 8_000_000
 BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """The frame, in a session whose batches on their way to Python are bounded in bytes."""
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(BATCH_CONF).rstrip("b")) <= BATCH_BYTES:
+        conf.set(BATCH_CONF, f"{BATCH_BYTES}b")
+    return df
+
+
 def map_slices(
     df: DataFrame, schema: str, run: Callable[[Iterator[dict[str, list]]], Iterator[dict[str, Any]]], slice_bytes: int = SLICE_BYTES
 ) -> DataFrame:
@@ -33,9 +41,6 @@ def map_slices(
 
     Batches are bounded in bytes, and large ones are handed on in slices.
     """
-    conf = df.sparkSession.conf
-    if not 0 < int(conf.get(BATCH_CONF).rstrip("b")) <= BATCH_BYTES:
-        conf.set(BATCH_CONF, f"{BATCH_BYTES}b")
     wanted = to_arrow_schema(T._parse_datatype_string(schema))
 
     def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
@@ -49,7 +54,7 @@ def map_slices(
         for out in run(slices(batches)):
             yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in wanted], schema=wanted)
 
-    return df.mapInArrow(mapped, schema)
+    return bounded_batches(df).mapInArrow(mapped, schema)
 
 
 def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[[dict[str, list]], dict[str, Any]]]) -> DataFrame:

@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tidestar.llm import attention, bpe, forest, grid, licenses, lookup, mixing, packing, quotes, robust
+from tidestar.llm import attention, bpe, collocations, forest, grid, licenses, lookup, mixing, multi_index, packing, quotes, robust, whitening
 from tidestar.session import pin_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -148,6 +148,24 @@ def op6_grid_order_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+@query("op11_phrase_collocations", collocations.ORACLE)
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 collocations of each language."""
+    return collocations.collocations(table(spark, sf_dir, "documents")).drop("doc_id")
+
+
+@query("op12_multi_index")
+def op12_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest rows found for every fiftieth embedding."""
+    return multi_index.neighbours(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_polarised_whitening")
+def op13_polarised_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight whitened components of all embeddings."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 @query("op2_attention_scores")
 def op2_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and model scores of all documents."""
