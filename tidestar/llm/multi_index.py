@@ -73,6 +73,7 @@ class Codebook:
 
 def centroids(rows: np.ndarray, count: int) -> np.ndarray:
     """Centroids of the rows by alternating means, from rows far from one another (each the farthest from those before)."""
+    rows = rows if len(rows) else np.zeros((1, rows.shape[1]))
     at, far = [0], np.full(len(rows), np.inf)
     while len(at) < min(count, len(rows)):
         far = np.minimum(far, ((rows - rows[at[-1]]) ** 2).sum(axis=1))
