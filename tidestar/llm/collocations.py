@@ -2,7 +2,7 @@
 
 1. Texts are cut into pieces and words once; the words' 64-bit hashes are stored, with a zero between pieces.
 2. For each phrase length a pass over the stored hashes takes the fingerprint of every n-gram from prefix sums of a
-   polynomial modulo 2**64. Tasks send each fingerprint with its count, and the shuffle adds the counts up.
+   polynomial modulo 2**64. Tasks send 40 bits of each fingerprint with its count, and the shuffle adds the counts up.
 3. A phrase is no more frequent than its parts, so an n-gram is sent only where both its shorter parts may be frequent.
    That is looked up in a bitmap of fixed size: a false hit costs a row, and no frequent phrase is missed.
 4. A pass over the texts finds the occurrences of frequent fingerprints. In a slice each fingerprint points to its first
@@ -32,6 +32,8 @@ LONGEST = 4
 LEAST, SHARE, BEST = 30, 80, 2000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(int(BASE), -1, 2**64))
+#: Bits of a fingerprint that count: they compress better than all 64, and what collides is told apart by the text.
+KEPT = np.uint64(2**40 - 1)
 #: Bits of the bitmap of frequent fingerprints: 8 MB, whatever the data.
 BITS = 1 << 26
 CACHE_WORDS = 300_000
@@ -106,7 +108,7 @@ class Prints:
         there = np.zeros(n + 1, np.int64)
         np.cumsum(hashes != 0, out=there[1:])
         seed = np.uint64(xxhash.xxh3_64_intdigest(lang.encode("utf-8", "surrogatepass"), seed=length))
-        return mixed(polynomial ^ seed), there[length:] - there[:-length] == length
+        return mixed(polynomial ^ seed) & KEPT, there[length:] - there[:-length] == length
 
 
 class Bitmap:
