@@ -36,7 +36,9 @@ INVERSE = np.uint64(pow(int(BASE), -1, 2**64))
 KEPT = np.uint64(2**40 - 1)
 #: Bits of the bitmap of frequent fingerprints: 8 MB, whatever the data.
 BITS = 1 << 26
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
+#: Bytes of text that a task takes at a time; its tokens take some fifteen times as much.
+SLICE = 2_000_000
 #: Fingerprints that a task holds before it sends them.
 HELD = 2_000_000
 
@@ -145,7 +147,7 @@ def hashed(texts: DataFrame) -> DataFrame:
             yield dict(zip(("lang", "n", "hashes"), zip(*parts, strict=True), strict=True)) if parts else {"lang": [], "n": [], "hashes": []}
 
     path = work_dir(texts.sparkSession, "hashed")
-    map_slices(texts.select("lang", "text"), HASHED, run).write.option("compression", "zstd").parquet(path)
+    map_slices(texts.select("lang", "text"), HASHED, run, SLICE).write.option("compression", "zstd").parquet(path)
     return texts.sparkSession.read.schema(HASHED).parquet(path)
 
 
@@ -234,7 +236,7 @@ def verified(texts: DataFrame, likely: list[bytes], least: int) -> DataFrame:
                         "doc_id": [rows["doc_id"][at[d]] for d in doc.tolist()],
                     }
 
-    rows = map_slices(texts.select("doc_id", "lang", "text"), COUNTED, run)
+    rows = map_slices(texts.select("doc_id", "lang", "text"), COUNTED, run, SLICE)
     counts = rows.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"), F.min("doc_id").alias("doc_id")).where(F.col("n") >= least)
     return counts.withColumn("phrase", F.col("phrase").cast("string"))
 
