@@ -31,6 +31,7 @@ from tidestar.session import stored, work_dir
 LONGEST = 4
 LEAST, SHARE, BEST = 30, 80, 2000
 BASE = np.uint64(0x9E3779B97F4A7C15)
+PARTS = 64  #: of a language's phrases, ranked apart first
 INVERSE = np.uint64(pow(int(BASE), -1, 2**64))
 #: Bits of a fingerprint that count: they compress better than all 64, and what collides is told apart by the text.
 KEPT = np.uint64(2**40 - 1)
@@ -290,8 +291,11 @@ def collocations(docs: DataFrame, least: int = LEAST, share: int = SHARE, best:
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
     kept = scored(phrases).join(within(phrases), ["lang", "phrase"], "left")
     kept = kept.where(F.coalesce(wide("held") * 100 < wide("a") * share, F.lit(True)))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= best).join(totals, "lang")
+    order = F.desc("score"), F.desc("a"), F.col("phrase")
+    dealt = kept.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(PARTS)))  # so that no task sorts a whole language
+    near = dealt.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).where(F.col("rank") <= best)
+    ranked = near.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= best)
+    ranked = ranked.join(totals, "lang")
     return ranked.select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score", "doc_id")
 
 
