@@ -19,7 +19,7 @@ def topic(spark, tmp_path_factory):
 
 
 def test_stream_star_loads_a_topic(spark, topic, folder):
-    main(["stream-star", "--files", topic, "--root", f"{folder}/star", "--checkpoint", f"{folder}/c"], spark)
+    main(["stream-star", "--files", topic, "--root", f"{folder}/star", "--checkpoint", f"{folder}/c", "--rejected", f"{folder}/bad"], spark)
     want = clean_trips(trips(spark, SMALL)).count()
     assert StarStore(f"{folder}/star").read(spark, "fact_trips").count() == want
 
@@ -27,7 +27,7 @@ def test_stream_star_loads_a_topic(spark, topic, folder):
 def test_append_star_keeps_trips_without_times(spark, topic, folder):
     main(["create-star", "--database", "app_star"], spark)
     spark.sql("CREATE DATABASE IF NOT EXISTS app_plain")
-    main(["append-star", "--files", topic, "--database", "app_plain", "--checkpoint", f"{folder}/c"], spark)
+    main(["append-star", "--files", topic, "--database", "app_plain", "--checkpoint", f"{folder}/c", "--rejected", f"{folder}/bad"], spark)
     fact = spark.table("app_plain.fact_trips")
     assert fact.filter("tpep_pickup_datetime IS NULL").count() > 0
     assert fact.count() == spark.table("app_plain.dim_payment_type").count() > 0
@@ -36,7 +36,7 @@ def test_append_star_keeps_trips_without_times(spark, topic, folder):
 def test_append_star_refuses_the_merged_tables(spark, topic, folder):
     main(["create-star", "--database", "app_merged"], spark)
     with pytest.raises(ValueError, match="other columns"):
-        main(["append-star", "--files", topic, "--database", "app_merged", "--checkpoint", f"{folder}/c"], spark)
+        main(["append-star", "--files", topic, "--database", "app_merged", "--checkpoint", f"{folder}/c", "--rejected", f"{folder}/bad"], spark)
     assert spark.table("app_merged.fact_trips").count() == 0
 
 
@@ -47,10 +47,10 @@ def test_replica_and_star_of_wrapped_envelopes(spark, folder):
         {"key": key, "value": wrap, "topic": F.lit("t"), "partition": F.lit(0), "offset": F.monotonically_increasing_id()}
     )
     feed.withColumn("timestamp", F.lit(None).cast("timestamp")).write.parquet(f"{folder}/topic")
-    args = ["--files", f"{folder}/topic", "--root", f"{folder}/replica", "--checkpoint", f"{folder}/c", "--merge"]
+    args = ["--files", f"{folder}/topic", "--root", f"{folder}/replica", "--checkpoint", f"{folder}/c", "--rejected", f"{folder}/bad", "--merge"]
     main(["stream-replica", *args], spark)
     star = StarStore(f"{folder}/star")
-    args = ["--files", f"{folder}/topic", "--root", star.root, "--checkpoint", f"{folder}/c2", "--captured"]
+    args = ["--files", f"{folder}/topic", "--root", star.root, "--checkpoint", f"{folder}/c2", "--rejected", f"{folder}/bad2", "--captured"]
     main(["stream-star", *args], spark)
     assert star.read(spark, "fact_trips").count() == clean_trips(trips(spark, SMALL)).count()
     marks = schemas.struct((schemas.TEXT, "__op __deleted"), (schemas.LONG, "__ts_ms __lsn __offset"))
@@ -91,4 +91,4 @@ def test_catalog_star_issues_merges(spark):
 
 def test_a_broker_needs_a_topic(spark, folder):
     with pytest.raises(SystemExit, match="topic"):
-        main(["stream-star", "--servers", "b:9092", "--root", folder, "--checkpoint", f"{folder}/c"], spark)
+        main(["stream-star", "--servers", "b:9092", "--root", folder, "--checkpoint", f"{folder}/c", "--rejected", f"{folder}/bad"], spark)

@@ -9,6 +9,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from tidestar import schemas
+from tidestar.functions import good_rows
 from tidestar.operators import create_star, enrich, fill, require_non_negative
 from tidestar.plans import CatalogStar, StarStore, replica_changes, run_batch
 from tidestar.session import build_session
@@ -21,6 +22,7 @@ from tidestar.streaming import (
     replica_sink,
     run,
     start_star,
+    stream_rejects,
 )
 from tidestar.streaming.run import with_trigger
 
@@ -39,6 +41,7 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--topic", help="topic to subscribe to")
         sub.add_argument("--option", action="append", default=[], metavar="KEY=VALUE", help="source option")
         sub.add_argument("--checkpoint", required=True)
+        sub.add_argument("--rejected", required=True, help="folder for records that can't be loaded, with the reason")
         sub.add_argument("--every", help="micro-batch interval; without it, load what is there and stop")
         return sub
 
@@ -75,10 +78,10 @@ def subscribe(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     return read_topic(spark, args.servers, args.topic, **options)
 
 
-def described_trips(records: DataFrame) -> DataFrame:
-    """Trips for the append tables: described, filtered and filled, times not checked."""
-    spark = records.sparkSession
-    trips = enrich(decode_trips(records), payment_types(spark), "payment_type")
+def described_trips(trips: DataFrame) -> DataFrame:
+    """Decoded trips for the append tables: described, filtered and filled, times not checked."""
+    spark = trips.sparkSession
+    trips = enrich(trips, payment_types(spark), "payment_type")
     trips = enrich(trips, rate_codes(spark), "ratecode_id")
     return fill(require_non_negative(trips, schemas.NON_NEGATIVE), schemas.FILL_ZERO)
 
@@ -89,20 +92,22 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     if args.load == "stream-star":
         star = StarStore(args.root) if args.root else CatalogStar(args.database, args.table_format)
         records = subscribe(spark, args)
-        trips = decode_captured_trips(records, wrapped=True) if args.captured else decode_trips(records)
-        run(start_star(trips, star, args.checkpoint, args.every))
+        trips = decode_captured_trips(records, wrapped=True, checked=True) if args.captured else decode_trips(records, checked=True)
+        run(start_star(trips, star, args.checkpoint, args.every, rejected=args.rejected))
     elif args.load == "append-star":
-        trips = described_trips(subscribe(spark, args))
-        run(append_star(trips, args.database, args.checkpoint, args.every).values())
+        trips = decode_trips(subscribe(spark, args), checked=True)
+        queries = append_star(described_trips(good_rows(trips)), args.database, args.checkpoint, args.every)
+        bad = stream_rejects(trips, args.rejected, f"{args.checkpoint}/rejected", args.every)
+        run([*queries.values(), bad])
     elif args.load == "stream-replica":
         records = subscribe(spark, args)
         changes = replica_changes(
-            records, schemas.CAPTURED_TRIPS, schemas.REPLICA, REPLICA_KEY, schemas.EVENT_TIMES, wrapped=True
+            records, schemas.CAPTURED_TRIPS, schemas.REPLICA, REPLICA_KEY, schemas.EVENT_TIMES, wrapped=True, checked=True
         )
-        writer = changes.writeStream.foreachBatch(replica_sink(args.root, REPLICA_KEY, REPLICA_ORDER))
+        writer = changes.writeStream.foreachBatch(replica_sink(args.root, REPLICA_KEY, REPLICA_ORDER, args.rejected))
         run(with_trigger(writer.option("checkpointLocation", args.checkpoint), args.every).start())
         if args.merge:
-            merge_replica(spark, args.root, changes.schema, REPLICA_KEY, REPLICA_ORDER)
+            merge_replica(spark, args.root, good_rows(changes).schema, REPLICA_KEY, REPLICA_ORDER)
     elif args.load == "batch-star":
         run_batch(spark, args.source, args.root, args.day)
     elif args.load == "create-star":

@@ -1,3 +1,4 @@
+from tidestar.functions.checked import conform_checked, good_rows, parse_checked, rejects, unwrap_checked
 from tidestar.functions.decode import (
     conform,
     decimals_as_double,
@@ -30,20 +31,24 @@ from tidestar.functions.derive import (
 __all__ = [
     "component_total",
     "conform",
+    "conform_checked",
     "datetime_hash",
     "datetime_parts",
     "decimals_as_double",
     "decode_value",
     "flag_when",
+    "good_rows",
     "insert_select",
     "micros_to_ts",
     "parse_json",
+    "parse_checked",
     "pg_element",
     "interval_text",
     "pg_char_cast",
     "pg_numeric_cast",
     "pg_int_cast",
     "record_key",
+    "rejects",
     "rename",
     "series",
     "shift_time",
@@ -51,5 +56,6 @@ __all__ = [
     "total_mismatch",
     "trip_dates",
     "unwrap_cdc",
+    "unwrap_checked",
     "with_datetime_hash",
 ]

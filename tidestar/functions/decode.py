@@ -70,6 +70,11 @@ def unwrap_cdc(
     row = some(fields)
     old = some(before)
     envelopes = records.select(*keep, _once(_payload("value", schemas.envelope(row, old), wrapped)))
+    return _images(envelopes, row, old, keep)
+
+
+def _images(envelopes: DataFrame, row: T.StructType, old: T.StructType, keep: Iterable[str]) -> DataFrame:
+    """Parsed envelopes to row images and marks."""
     is_delete = F.col("op") == "d"
     kept = set(old.fieldNames())
     gone = lambda name: F.col(f"before.{name}") if name in kept else F.lit(None)

@@ -5,19 +5,27 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidestar.operators.changes import one_per_key
 
 
+def non_negative(columns: Iterable[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c) >= 0 for c in columns])
+
+
+def not_null(columns: Iterable[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+
+
 def require_non_negative(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Keep rows whose columns are all >= 0. Nulls are dropped with them; NaN counts as greater and stays."""
-    return df.filter(reduce(lambda a, b: a & b, [F.col(c) >= 0 for c in columns]))
+    return df.filter(non_negative(columns))
 
 
 def require_not_null(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    return df.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns]))
+    return df.filter(not_null(columns))
 
 
 def fill(df: DataFrame, values: Mapping[str, object]) -> DataFrame:

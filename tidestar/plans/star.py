@@ -8,14 +8,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidestar import schemas
+from tidestar.functions.checked import REJECT, keeping_rejects
 from tidestar.operators.enrich import star_join
-from tidestar.operators.quality import fill, require_non_negative, require_not_null
+from tidestar.operators.quality import fill, non_negative, not_null, require_non_negative, require_not_null
 from tidestar.operators.star import build_dim, build_dim_datetime, build_fact
 from tidestar.sources.codes import payment_types, rate_codes
 
 
 def clean_trips(trips: DataFrame) -> DataFrame:
-    """Filter, then fill: a null in a checked column drops the row before the fill could save it."""
+    """Filter, then fill: a null in a checked column drops the row before the fill could save it.
+
+    A checked frame keeps its rejects.
+    """
+    if REJECT in trips.columns:
+        kept = keeping_rejects(trips, [non_negative(schemas.NON_NEGATIVE), not_null(schemas.EVENT_TIMES)])
+        return fill(kept, schemas.FILL_ZERO)
     kept = require_not_null(require_non_negative(trips, schemas.NON_NEGATIVE), schemas.EVENT_TIMES)
     return fill(kept, schemas.FILL_ZERO)
 

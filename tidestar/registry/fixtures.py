@@ -142,6 +142,30 @@ def trip_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Some records are no JSON, some have no value, and in some the passenger count is text.
+MESSY_TRIP_SQL = """CASE WHEN l_partkey % 41 = 0 THEN 'oops' WHEN l_partkey % 43 = 0 THEN 'null value'
+  WHEN l_partkey % 47 = 0 AND l_linenumber <> 7 THEN 'text count' END"""
+
+
+def messy_trip_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trip feed with records that can't be loaded; the offset is the part, so that a query can tell them."""
+    rows = table(spark, sf_dir, "lineitem").selectExpr(*_select_list("timestamp_ntz"), f"{MESSY_TRIP_SQL} AS mess", "l_partkey AS part")
+    for name in schemas.EVENT_TIMES:
+        rows = rows.withColumn(name, F.col(name).cast("timestamp"))
+    names = [c for c in schemas.WIRE_TRIPS.fieldNames() if not c.startswith("lpep")]
+    good = F.to_json(F.struct(*names))
+    text = F.regexp_replace(F.to_json(F.struct(*names)), '"passenger_count":[0-9]+', '"passenger_count":"many"')
+    value = F.when(F.col("mess") == "oops", "oops").when(F.col("mess") == "text count", text).when(F.col("mess").isNull(), good)
+    return rows.select(
+        F.lit(None).cast("binary").alias("key"),
+        value.cast("binary").alias("value"),
+        F.lit("trips").alias("topic"),
+        F.expr("cast(pmod(DOLocationID, 4) as int)").alias("partition"),
+        F.col("part").alias("offset"),
+        F.col("tpep_pickup_datetime").alias("timestamp"),
+    )
+
+
 def captured_trip_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Topic records whose values are change envelopes around raw trip rows: raw names, times in microseconds."""
     raw_names = {star: raw for raw, star in schemas.TRIP_NAMES.items()}

@@ -10,13 +10,14 @@ from tidestar.operators.star import FACT_COLUMNS
 from tidestar.plans import StarStore, payment_summary, replica_changes
 from tidestar.registry.base import query, table, without_zone
 from tidestar.registry.changes import REPLICA_SQL
-from tidestar.registry.fixtures import CLEAN_SQL, USER_KEY, USER_ROW, trip_feed, user_feed
+from tidestar.registry.fixtures import CLEAN_SQL, MESSY_TRIP_SQL, USER_KEY, USER_ROW, messy_trip_feed, trip_feed, user_feed
 from tidestar.registry.scans import columns_of, scratch_table
 from tidestar.registry.star import DIM_DATETIME_SQL, FACT_LIST, SUMMARY_SQL
 from tidestar.session import work_dir
 from tidestar.sources import file_topic, route
 from tidestar.streaming import (
     decode_trips,
+    read_rejects,
     read_replica,
     read_routed,
     replica_sink,
@@ -88,6 +89,37 @@ def stream_star_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payment_summary(_stream_star(spark, sf_dir).tables(spark))
 
 
+def _stream_messy(spark: SparkSession, sf_dir: str) -> tuple[StarStore, DataFrame]:
+    """The star of a feed with bad records, and the rejects that its load wrote beside it."""
+    topic = lay_topic(spark, messy_trip_feed(spark, sf_dir), "messy_topic")
+    store = StarStore(work_dir(spark, "messy_star"))
+    bad = work_dir(spark, "rejected")
+    run(start_star(decode_trips(topic, checked=True), store, work_dir(spark, "checkpoint"), rejected=bad))
+    return store, read_rejects(spark, bad)
+
+
+@query(
+    "stream_bad_records",
+    f"""SELECT CASE WHEN mess = 'null value' THEN 'no value' ELSE 'does not parse' END AS reason,
+      CASE WHEN mess = 'oops' THEN mess END AS text, l_partkey AS feed_offset
+    FROM (SELECT l_partkey, {MESSY_TRIP_SQL} AS mess FROM lineitem) WHERE mess IS NOT NULL""",
+)
+def stream_bad_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a load could not take, as its side output tells it."""
+    bad = _stream_messy(spark, sf_dir)[1]
+    text = F.when(F.col("value") == "oops", F.col("value"))
+    return bad.select("reason", text.alias("text"), F.col("offset").alias("feed_offset"))
+
+
+@query(
+    "stream_good_records",
+    f"WITH {CLEAN_SQL.replace('FROM lineitem', f'FROM lineitem WHERE {MESSY_TRIP_SQL} IS NULL')} SELECT {FACT_LIST} FROM clean",
+)
+def stream_good_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact of the same load: the good side, after the quality filters."""
+    return without_zone(_stream_messy(spark, sf_dir)[0].read(spark, "fact_trips").select(*FACT_COLUMNS))
+
+
 @query("stream_replica", REPLICA_SQL)
 def stream_replica(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The user topic replicated: last write per key wins, deleted keys stay visible."""

@@ -1,4 +1,5 @@
 from tidestar.streaming.appends import append, append_star, read_routed, routed_sink, stream_append
+from tidestar.streaming.rejects import read_rejects, rejects_sink, stream_rejects
 from tidestar.streaming.replica import merge_replica, read_replica, replica_sink
 from tidestar.streaming.run import query_id, run
 from tidestar.streaming.star import captured_state, decode_captured_trips, decode_trips, star_sink, start_star
@@ -10,12 +11,15 @@ __all__ = [
     "decode_trips",
     "merge_replica",
     "query_id",
+    "read_rejects",
     "read_replica",
     "read_routed",
+    "rejects_sink",
     "replica_sink",
     "routed_sink",
     "run",
     "star_sink",
     "start_star",
     "stream_append",
+    "stream_rejects",
 ]

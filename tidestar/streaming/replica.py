@@ -5,24 +5,42 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tidestar.functions.checked import REJECT, good_rows, rejects
 from tidestar.operators.changes import apply_changes, latest_per_key
 from tidestar.storage import folders_with, remove_folder
+from tidestar.streaming.rejects import write_rejects
 from tidestar.streaming.run import query_id
 
 
-def replica_sink(root: str, keys: Sequence[str], order: Sequence[str]) -> Callable[[DataFrame, int], None]:
+def replica_sink(
+    root: str, keys: Sequence[str], order: Sequence[str], rejected: str | None = None
+) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that writes each batch's last change per key to the batch's own folder.
 
+    The rejects of checked changes go to the folder ``rejected``.
+
     Nothing stored is rewritten, so the cost of a batch does not grow with the
     replica, and a replayed batch overwrites itself.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        folder = f"{root}/run={query_id(batch.sparkSession)}/batch_id={batch_id}"
-        latest_per_key(batch, keys, order).write.mode("overwrite").parquet(folder)
+        run = query_id(batch.sparkSession)
+        folder, good = f"{root}/run={run}/batch_id={batch_id}", batch
+        checked = REJECT in batch.columns
+        if checked:
+            batch.persist(StorageLevel.MEMORY_AND_DISK)
+            good = good_rows(batch)
+        try:
+            if checked and rejected:
+                write_rejects(rejects(batch), rejected, run, batch_id)
+            latest_per_key(good, keys, order).write.mode("overwrite").parquet(folder)
+        finally:
+            if checked:
+                batch.unpersist()
 
     return write
 
