@@ -132,6 +132,24 @@ def test_a_day_run_again_without_its_trips_is_emptied(spark, folder):
     assert rows(store.stored(spark, "fact_trips").select("pickup_date").distinct()) == [(first,)]
 
 
+def test_days_and_whole_loads_replace_each_other(spark, folder):
+    source = trips(spark, SMALL)
+    rows_of = clean_trips(source).withColumn("day", F.to_date("tpep_pickup_datetime"))
+    days = [r.day for r in rows_of.select("day").distinct().orderBy("day").limit(3).collect()]
+    run_batch(spark, source, f"{folder}/star", days[0])
+    store = run_batch(spark, source, f"{folder}/star")
+    months = rows_of.select(F.date_trunc("month", "day")).distinct().count()
+    assert len(list(Path(folder, "star", "fact_trips").glob("run=*/batch_id=*/*/*"))) == months
+    run_batch(spark, source, f"{folder}/star", days[0])
+    fewer = source.filter(F.to_date("tpep_pickup_datetime") != days[1])
+    run_batch(spark, fewer, f"{folder}/star", days[1])
+    got = store.stored(spark, "fact_trips")
+    assert got.count() == rows_of.filter(F.col("day") != days[1]).count()
+    assert got.filter(F.col("pickup_date") == days[0]).count() == rows_of.filter(F.col("day") == days[0]).count()
+    run_batch(spark, source, f"{folder}/star")
+    assert store.read(spark, "fact_trips").count() == rows_of.count()
+
+
 def test_empty_batch_writes_nothing(spark, folder):
     none = trips(spark, SMALL).filter("false")
     store = run_batch(spark, none, f"{folder}/star")

@@ -21,8 +21,8 @@ def trips_of_day(trips: DataFrame, day: date) -> DataFrame:
 def run_batch(spark: SparkSession, trips: DataFrame | str, root: str, day: date | None = None) -> StarStore:
     """Load one day of trips (a frame or a parquet path), or all of them, into the star under ``root``.
 
-    Both loads keep the fact by pickup day: a day that is run again replaces its own rows, whichever load
-    brought them, and a load of all trips replaces all days.
+    A day that is run again replaces its own rows, whichever load brought them, and a load of all trips replaces all
+    days. A load of all trips makes a folder for each month, not for each day.
     """
     if isinstance(trips, str):
         trips = spark.read.parquet(trips)

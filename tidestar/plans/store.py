@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,13 +17,15 @@ from tidestar.operators.changes import rows_to_insert
 from tidestar.operators.star import build_dim_datetime
 from tidestar.plans.star import code_dimensions
 from tidestar.session import require_utc
-from tidestar.storage import make_folder
+from tidestar.storage import folders_with, make_folder, remove_folder
 
 # The two tables that grow with the data are laid out by pickup month, and sorted by time inside their files,
 # whose statistics then narrow a read to days. Months keep folders large enough when a batch spans years.
 MONTH = ["pickup_year", "pickup_month"]
 BATCH = schemas.struct((schemas.TEXT, "run"), (schemas.LONG, "batch_id"))
 PICKUP = schemas.struct((schemas.INT, "pickup_year pickup_month"), (T.DateType(), "pickup_date"))
+#: The batch of a load of all days; a day that was loaded by itself afterwards stands in front of it.
+ALL_DAYS = -1
 CODE_KEYS = [key for name, key in schemas.DIM_KEYS.items() if name != "dim_datetime"]
 
 
@@ -66,6 +68,10 @@ class StarStore:
     def stored(self, spark: SparkSession, table: str, first: date | None = None, last: date | None = None) -> DataFrame:
         """A table with its layout columns; a growing table may be narrowed to the pickup days first..last."""
         rows = spark.read.schema(self.stored_schema(table)).parquet(self.path(table))
+        if table == "fact_trips":
+            for run, days in self._days_loaded_again(spark).items():
+                hidden = (F.col("run") == run) & (F.col("batch_id") == ALL_DAYS) & F.col("pickup_date").isin(days)
+                rows = rows.filter(~F.coalesce(hidden, F.lit(False)))
         if first is None or last is None:
             return rows
         if table == "fact_trips":
@@ -76,6 +82,19 @@ class StarStore:
             )
         return rows.filter(_months_between(first, last) & days)
 
+    def _batches(self, spark: SparkSession, run: str, batch_id: str) -> list[str]:
+        """Folders of finished batches; the names may hold wildcards."""
+        return folders_with(spark, f"{self.path('fact_trips')}/run={run}/batch_id={batch_id}/_SUCCESS")
+
+    def _days_loaded_again(self, spark: SparkSession) -> dict[str, list[date]]:
+        """For each run with a load of all days: the days that were loaded by themselves after it. One listing, no job."""
+        found: dict[str, list[date]] = {}
+        for whole in self._batches(spark, "*", str(ALL_DAYS)):
+            run = whole.rsplit("/", 2)[1].removeprefix("run=")
+            ids = [f.rsplit("=", 1)[1] for f in self._batches(spark, run, "*") if f != whole]
+            found[run] = [datetime.strptime(i, "%Y%m%d").date() for i in ids]
+        return {run: days for run, days in found.items() if days}
+
     def tables(self, spark: SparkSession) -> dict[str, DataFrame]:
         return {name: self.read(spark, name) for name in schemas.STAR_TABLES}
 
@@ -87,7 +106,8 @@ class StarStore:
     def load(self, trips: DataFrame, run: str, batch_id: int | None) -> None:
         """Merge the dimensions of clean trips, then write their fact rows as one batch.
 
-        Without a ``batch_id`` the rows replace all of the run, each pickup day as a batch ``yyyymmdd``.
+        Without a ``batch_id`` the rows replace all of the run. A batch ``yyyymmdd`` of that run, loaded later, then
+        replaces that day: the whole load's rows of the day are no longer read.
 
         A batch loaded again with no rows leaves none behind. The trips are read
         three times: for the combinations of code keys (few, kept, and the
@@ -143,10 +163,11 @@ class StarStore:
             {"pickup_year": F.year(pickup), "pickup_month": F.month(pickup), "pickup_date": F.to_date(pickup)}
         )
         rows = conform(dated, T.StructType([*schemas.FACT_TRIPS, *PICKUP]))
-        folder, layout = f"{self.path('fact_trips')}/run={run}", MONTH
-        if batch_id is None:
-            rows, layout = rows.withColumn("batch_id", F.date_format("pickup_date", "yyyyMMdd").cast("bigint")), ["batch_id", *MONTH]
-        else:
-            folder = f"{folder}/batch_id={batch_id}"
-        rows = rows.hint("rebalance", *layout).sortWithinPartitions(*layout, "pickup_date")
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*layout).parquet(folder)
+        whole = batch_id is None
+        folder = f"{self.path('fact_trips')}/run={run}/batch_id={ALL_DAYS if whole else batch_id}"
+        rows = rows.hint("rebalance", *MONTH).sortWithinPartitions(*MONTH, "pickup_date")
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*MONTH).parquet(folder)
+        if whole:
+            for old in self._batches(trips.sparkSession, run, "*"):
+                if not old.endswith(f"/batch_id={ALL_DAYS}"):
+                    remove_folder(trips.sparkSession, old)
