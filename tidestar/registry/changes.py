@@ -21,8 +21,8 @@ from tidestar.operators import (
     update_where_in,
     where_in,
 )
-from tidestar.plans import clean_trips, read_versioned, write_version
-from tidestar.registry.base import query, table
+from tidestar.plans import BucketedState, clean_trips, read_versioned, write_version
+from tidestar.registry.base import ORACLE, query, table
 from tidestar.registry.fixtures import (
     CLEAN_SQL,
     ORDERS_AFTER_SQL,
@@ -149,6 +149,20 @@ def cdc_late_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live_rows(state)
 
 
+CURRENT_SQL = ORACLE["cdc_late_changes"]
+
+
+@query("cdc_bucketed_state", CURRENT_SQL)
+def cdc_bucketed_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same batches folded into buckets of the key, each fold rewriting the buckets it touches."""
+    changes = unwrap_cdc(user_feed(spark, sf_dir), USER_ROW, keep=["offset"]).drop("source")
+    changes = stored(changes.withColumnRenamed("offset", "__offset"), "late_changes")
+    state = BucketedState(work_dir(spark, "buckets"), USER_ROW, ["user_id"], ["__offset"], buckets=16)
+    for part in (3, 1, 2, 0):
+        state.fold(changes.filter(F.pmod(F.floor(F.col("__offset") / 3), F.lit(4)) == part))
+    return state.read(spark)
+
+
 REPLICA_SQL = f"""WITH {LAST_EVENT_SQL}
     SELECT user_id,
       CASE WHEN event_type <> 'error' THEN event_id END AS event_id,

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidestar.functions import record_key, unwrap_cdc
+from tidestar.operators.changes import apply_changes
 from tidestar.operators.star import FACT_COLUMNS
 from tidestar.plans import StarStore, payment_summary, replica_changes
 from tidestar.registry.base import query, table, without_zone
-from tidestar.registry.changes import REPLICA_SQL
+from tidestar.registry.changes import CURRENT_SQL, REPLICA_SQL
 from tidestar.registry.fixtures import CLEAN_SQL, MESSY_TRIP_SQL, USER_KEY, USER_ROW, messy_trip_feed, trip_feed, user_feed
 from tidestar.registry.scans import columns_of, scratch_table
 from tidestar.registry.star import DIM_DATETIME_SQL, FACT_LIST, SUMMARY_SQL
@@ -17,14 +18,18 @@ from tidestar.session import work_dir
 from tidestar.sources import file_topic, route
 from tidestar.streaming import (
     decode_trips,
+    read_handover,
     read_rejects,
     read_replica,
     read_routed,
     replica_sink,
     routed_sink,
     run,
+    start_handover,
+    start_latest,
     start_star,
     stream_append,
+    take_snapshot,
 )
 
 # A few micro-batches over a small topic; over a large one as many as its files need, each of bounded size.
@@ -131,6 +136,31 @@ def stream_replica(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_replica(spark, root, changes.schema, keys, order)
 
 
+@query("stream_bootstrap", CURRENT_SQL)
+def stream_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A snapshot read in two chunks at different positions, then the feed, which begins before either."""
+    root, keys = work_dir(spark, "handover"), ["user_id"]
+    last = table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0] or 0
+    early, late = last // 2, last * 5 // 8
+    feed = user_feed(spark, sf_dir)
+    read_at = F.when(F.col("user_id") % 2 == 0, early).otherwise(late)
+    past = unwrap_cdc(feed, USER_ROW, keep=["offset"]).withColumnRenamed("offset", "__offset").drop("source")
+    snapshot = apply_changes(None, past.withColumn("at", read_at).filter("__offset <= at").drop("at"), keys, ["__offset"])
+    changes = replica_changes(lay_topic(spark, feed.filter(F.col("offset") > last // 4), "user_topic"), USER_ROW, USER_ROW, keys)
+    take_snapshot(snapshot.withColumn("__lsn", read_at), early, root, changes.schema)
+    run(start_handover(changes, root, keys, work_dir(spark, "checkpoint")))
+    return read_handover(spark, root, changes.schema, keys)
+
+
+@query("stream_latest_per_key", REPLICA_SQL)
+def stream_latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last change per user as the state of a streaming aggregate that emits the keys each batch touched."""
+    changes = replica_changes(lay_topic(spark, user_feed(spark, sf_dir), "user_topic"), USER_ROW, USER_ROW, ["user_id"])
+    root, keys, order = work_dir(spark, "latest"), ["user_id"], ["__offset"]
+    run(start_latest(changes, keys, order, root, work_dir(spark, "checkpoint")))
+    return read_replica(spark, root, changes.schema, keys, order)
+
+
 @query(
     "stream_route",
     """SELECT CASE event_type WHEN 'purchase' THEN 'purchases' ELSE 'app.public.activity' END AS routed_to,
