@@ -18,10 +18,12 @@ from tidestar.operators import (
     pick_keys,
     rows_to_insert,
     sample_n,
+    sampling,
     update_where_in,
     where_in,
 )
 from tidestar.plans import current_version, read_versioned, write_version
+from tidestar.session import stored
 
 
 def test_latest_needs_an_order_and_takes_nulls_first(spark):
@@ -180,3 +182,24 @@ def test_versions_of_different_columns_are_refused(spark):
     one, two = spark.createDataFrame([(1, 2)], "k int, a int"), spark.createDataFrame([(1, 2, 3)], "k int, a int, b int")
     with pytest.raises(ValueError, match="different columns"):
         diff_changes(one, two, ["k"])
+
+
+def test_a_sample_stores_its_own_rows_and_few_more(spark, monkeypatch):
+    held = []
+
+    def counted(df, label):
+        frame = stored(df, label)
+        held.append(frame.count())
+        return frame
+
+    monkeypatch.setattr(sampling, "stored", counted)
+    one = spark.range(0, 200_000, 1, 7).select((F.col("id") % 3).alias("v"))  # nothing but copies
+    for n in (1, 100, 5000, 199_999):
+        held.clear()
+        assert sampling.sample_n(one, n, seed=5).count() == n
+        assert len(held) == 1 and n <= held[0] <= n + 14 * n**0.5 + 60
+    shares = [r["count"] / 5000 for r in sampling.sample_n(one, 5000, seed=6).groupBy("v").count().collect()]
+    assert all(abs(s - 1 / 3) < 0.04 for s in shares)
+    monkeypatch.setattr(sampling, "SPARE", -6 * 10 + -90)  # a cut that holds too few is doubled
+    held.clear()
+    assert sampling.sample_n(one, 100, seed=7).count() == 100 and len(held) > 1

@@ -7,7 +7,7 @@ from contextlib import contextmanager
 from datetime import date
 
 import pytest
-from conftest import SMALL, final_plan, plan
+from conftest import SMALL, final_plan, plan, rows
 from pyspark.sql import functions as F
 
 from tidestar import schemas
@@ -25,7 +25,7 @@ from tidestar.operators import (
     star_join,
     update_where_in,
 )
-from tidestar.plans import clean_trips, run_batch, star_tables
+from tidestar.plans import BucketedStar, clean_trips, run_batch, star_tables
 from tidestar.plans.batch import trips_of_day
 from tidestar.functions import unwrap_cdc
 from tidestar.registry.fixtures import USER_ROW, trips, user_feed
@@ -225,3 +225,21 @@ def test_a_hot_month_of_facts_is_split_on_write(spark, folder):
     with settings(spark, spark__sql__adaptive__advisoryPartitionSizeInBytes="16KB"):
         store = run_batch(spark, skewed_trips(spark, 1.0), f"{folder}/star")
     assert len(store.stored(spark, "fact_trips").inputFiles()) > 1
+
+
+def test_a_bucketed_star_is_joined_without_a_shuffle(spark, folder):
+    clean = clean_trips(skewed_trips(spark, 0.4))
+    star = BucketedStar("default", "hot_", buckets=8)
+    star.write(clean, folder)
+    with settings(spark, **SPLIT):
+        joined = star.joined(spark)
+        assert "Exchange" not in final_plan(joined) and "SortMergeJoin" in plan(joined)
+    want = star_tables(clean)
+    assert rows(joined) == rows(star_join(want["fact_trips"], {"dim_datetime": want["dim_datetime"]}))
+    assert rows(star.fact(spark)) == rows(want["fact_trips"])
+    assert rows(star.dim_datetime(spark)) == rows(want["dim_datetime"])
+    sizes = [r["n"] for r in spark.table("default.hot_fact_trips").groupBy(F.input_file_name()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert max(sizes) < 0.3 * sum(sizes)  # the hot time, 40 % of the trips, lies in several buckets
+    assert rows(star.hot_times(clean).select("parts")) == [(4,)]
+    star.write(clean.limit(0), f"{folder}/none")
+    assert star.joined(spark).isEmpty()

@@ -59,8 +59,27 @@ def pick_keys(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     return _smallest(rows, n, order).orderBy(*order).select(key)
 
 
+#: A cut is set so that it holds the rows wanted, but for one time in a billion: this many deviations above their number.
+DEVIATIONS, SPARE = 6, 20
+
+
 def sample_n(df: DataFrame, n: int, seed: int) -> DataFrame:
-    """Exactly n rows without replacement, or all when there are fewer."""
+    """Exactly n rows without replacement, or all when there are fewer.
+
+    Every row draws a number. From the count of the rows a cut is set below which n of them lie almost surely; only
+    the rows below it are stored, some n in all, and divided at exactly n. Where they are too few the cut is doubled, and the
+    rows draw the same numbers again. Each copy of a row draws by itself.
+    """
+    if n <= 0:
+        return df.limit(0)
+    total = df.count()
+    if n >= total:
+        return df
     draw = F.floor(F.rand(seed) * (1 << 52)).cast("bigint")
-    rows = _numbered(df.withColumn("__o", F.shiftleft(draw, BITS - 52)))
-    return _smallest(rows, n, ["__o", "__row"]).drop("__o", "__row")
+    cut = (n + DEVIATIONS * n**0.5 + SPARE) / total
+    while True:
+        drawn = df.withColumn("__o", F.shiftleft(draw, BITS - 52))
+        rows = _numbered(drawn if cut >= 1 else drawn.where(F.col("__o") < int(cut * (1 << BITS))))
+        if cut >= 1 or rows.count() >= n:
+            return _smallest(rows, n, ["__o", "__row"]).drop("__o", "__row")
+        cut *= 2

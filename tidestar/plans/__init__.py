@@ -1,4 +1,5 @@
 from tidestar.plans.batch import run_batch
+from tidestar.plans.bucketed import BucketedStar
 from tidestar.plans.buckets import BucketedState
 from tidestar.plans.catalog import CatalogStar
 from tidestar.plans.replica import current_version, read_versioned, replica_changes, write_version
@@ -6,6 +7,7 @@ from tidestar.plans.star import clean_trips, payment_summary, star_tables
 from tidestar.plans.store import StarStore
 
 __all__ = [
+    "BucketedStar",
     "BucketedState",
     "CatalogStar",
     "StarStore",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +11,9 @@ from pyspark.sql import functions as F
 from tidestar import schemas
 from tidestar.operators import build_dim, build_dim_datetime, build_fact, enrich, orphans, star_join
 from tidestar.operators.star import FACT_COLUMNS, RAW_FACT_COLUMNS
-from tidestar.plans import clean_trips, payment_summary, run_batch, star_tables
-from tidestar.registry.base import query, without_zone
+from tidestar.plans import BucketedStar, clean_trips, payment_summary, run_batch, star_tables
+from tidestar.plans.star import code_dimensions
+from tidestar.registry.base import ORACLE, query, without_zone
 from tidestar.registry.fixtures import (
     CLEAN_SQL,
     LIVE_SQL,
@@ -125,6 +127,15 @@ def star_join_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star_join(tables.pop("fact_trips"), tables)
 
 
+@query("star_join_bucketed", ORACLE["star_join"])
+def star_join_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same join over tables laid out for it: written once in buckets, joined without a shuffle."""
+    clean = _clean(spark, sf_dir)
+    star = BucketedStar("default", f"star_{uuid.uuid4().hex}_", buckets=16)
+    star.write(clean, work_dir(spark, "bucketed_star"))
+    return without_zone(star_join(star.joined(spark), code_dimensions(clean)))
+
+
 SUMMARY_SQL = f"""WITH {CLEAN_SQL}, {PAYMENTS_SQL}
     SELECT payment_type_description, count(*) AS n_trips,
            CAST(sum(CAST(fare_amount AS DECIMAL(12,2))) AS DECIMAL(22,2)) AS fares,
