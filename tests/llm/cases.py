@@ -7,9 +7,11 @@ import re
 import zlib
 
 CLASHES = "id bigint, n bigint, kept boolean, component_id bigint, row bigint, p double, rate double, slot bigint, shard string, word string, c bigint, grp string, center string"
+CLASHES += ", gone_id bigint, _gone_id bigint, rejected_id bigint, mixed_id bigint, mixed_copies bigint, mixed_copy bigint"
+CLASHES += ", base_failed boolean, distance double, g_lang string, cluster bigint, parts bigint, block int, sig string, tree int, membership string, copies bigint"
 SCHEMA = f"doc_id bigint, text string, lang string, source string, n_chars bigint, {CLASHES}"
 WORDS = "river stone cloud ember field hollow lantern meadow north orchard pebble quiet ridge silver thicket under valley willow".split()
-FILL = (7, 7, False, 7, 7, 0.5, 0.5, 7, "x", "x", 7, "x", "x")
+FILL = (7, 7, False, 7, 7, 0.5, 0.5, 7, "x", "x", 7, "x", "x", *[7] * 6, True, 0.5, "x", 7, 7, 7, "x", 7, "x", 7)
 
 
 def prose(seed: int, n: int) -> str:

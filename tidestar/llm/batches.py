@@ -7,6 +7,7 @@ from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -26,6 +27,20 @@ BATCH_BYTES = 8_000_000
 BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with as many underscores before it as it takes for no column of the frame to have it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def without_ids(df: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose ``doc_id`` is not in ``gone``; null ids match, and any other columns may be there."""
+    name = free_name(df, "gone_id")
+    return df.join(gone.select(F.col("doc_id").alias(name)).distinct(), F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")
+
+
 def bounded_batches(df: DataFrame) -> DataFrame:
     """The frame, in a session whose batches on their way to Python are bounded in bytes."""
     conf = df.sparkSession.conf

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidestar.llm.batches import map_rows
+from tidestar.llm.batches import map_rows, without_ids
 from tidestar.llm.components import components, least_members
 from tidestar.session import stored
 
@@ -313,6 +313,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
 
 def kept_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` with one document of each near-duplicate group, with all their columns."""
-    gone = near_duplicates(docs, width, percent).where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")), "left_anti")
+    """The rows of ``docs`` with one document of each near-duplicate group, with all their columns.
+
+    The document of the smallest id stays, and with it all rows that have its id. Null, empty and wordless texts link with
+    nothing and stay, long ones are compared whole. Rows without an id share one fate: they go if one of them goes. An empty
+    table gives no rows, and other columns may have any names.
+    """
+    return without_ids(docs, near_duplicates(docs, width, percent).where(~F.col("kept")))

@@ -20,6 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidestar.llm.batches import free_name
 from tidestar.session import stored
 
 BUCKETS = 8192  #: hashed words told apart by the classifier
@@ -164,8 +165,13 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[int, float] = TARGETS)
 
 
 def mixed_documents(docs: DataFrame, labels: DataFrame, targets: dict[int, float] = TARGETS) -> DataFrame:
-    """The rows of ``docs``, each as often as its copies say, with all their columns."""
-    times = mix(docs, labels, targets).groupBy(F.col("doc_id").alias("mixed_id")).agg(F.max("copies").alias("mixed_copies"))
-    rows = docs.join(times, F.col("doc_id").eqNullSafe(F.col("mixed_id"))).where("mixed_copies > 0")
-    again = rows.withColumn("mixed_copy", F.explode(F.sequence(F.lit(1), F.col("mixed_copies"))))
-    return again.drop("mixed_id", "mixed_copies", "mixed_copy")
+    """The rows of ``docs``, each as often as its copies say, with all their columns.
+
+    Rows of one ``doc_id``, those without an id too, come as often as the one of them with most copies. Null and empty texts are
+    rated by the prior, repeated rows alike, long texts by all their words. An empty table gives no rows, and other
+    columns may have any names.
+    """
+    known, copies, copy = (free_name(docs, c) for c in ("mixed_id", "mixed_copies", "mixed_copy"))
+    times = mix(docs, labels, targets).groupBy(F.col("doc_id").alias(known)).agg(F.max("copies").alias(copies))
+    rows = docs.join(times, F.col("doc_id").eqNullSafe(F.col(known))).where(F.col(copies) > 0)
+    return rows.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*(f"`{c}`" for c in docs.columns))

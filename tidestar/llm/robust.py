@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidestar.llm.batches import SPACES, map_rows
+from tidestar.llm.batches import SPACES, map_rows, without_ids
 from tidestar.session import stored
 
 #: Symbols that count as such, as the contract of the base rules names them.
@@ -305,7 +305,8 @@ def verdicts(docs: DataFrame) -> DataFrame:
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns.
 
-    Rows of one ``doc_id`` stay together: they go if any of them is rejected.
+    Rows of one ``doc_id`` stay together, those without an id too: they go if any of them is rejected. So
+    repeated rows go or stay alike. Null, empty and wordless texts fail the base rules and go; long ones are judged
+    whole. An empty table gives no rows, and other columns may have any names.
     """
-    bad = verdicts(docs).where(~F.col("kept")).select(F.col("doc_id").alias("rejected_id")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("rejected_id")), "left_anti")
+    return without_ids(docs, verdicts(docs).where(~F.col("kept")))
