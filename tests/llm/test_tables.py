@@ -266,6 +266,21 @@ def test_quoted_tables_come_back(spark):
     assert Counter((r.conv_id, r.turn, r.body) for r in got.collect()) == bodies
 
 
+def test_every_message_is_quoted_once(spark):
+    rows = [(1, 0, "u", "zero"), (1, 0, "u", "other zero"), (1, 2, "u", "two"), (1, 5, "u", "five"), (1, 1, "u", "one"), (1, 1, "u", "one")]
+    rows += [(None, 0, "u", "x"), (None, 1, "u", "y"), (2, None, "u", "z"), (3, 1, "u", None), (4, 0, "u", None), (4, 1, "u", "after null")]
+    threads = quotes.with_quotes(chat(spark, rows))
+    got = Counter((r.conv_id, r.turn) for r in threads.collect())
+    assert got == Counter((c, t) for c, t, _, _ in rows)
+    told = {(r.conv_id, r.turn): (r.answers, r.text) for r in threads.collect()}
+    assert told[1, 5] == (None, "five") and told[3, 1] == (None, None) and told[None, 1] == (None, "y")
+    assert told[1, 1] == (0, "On Monday somebody wrote:\n> other zero\none")
+    assert told[4, 1][0] == 0 and told[4, 1][1].endswith("after null")
+    out = quotes.conversations(threads)
+    assert Counter((r.conv_id, r.turn) for r in out.collect()) == got
+    assert quotes.with_quotes(chat(spark, [])).count() == 0
+
+
 # --- pipeline
 
 

@@ -151,15 +151,19 @@ def conversations(messages: DataFrame) -> DataFrame:
 def with_quotes(turns: DataFrame) -> DataFrame:
     """Conversations as mail-like threads: each turn quotes the one it answers, and in it what that one quotes.
 
-    A turn answers the one before it, or for a quarter of them the one before that.
+    A turn answers the one before it, or for a quarter of them the one before that. One row per input row. Of messages
+    that repeat a turn the one of the least text is quoted. A message whose answered turn is missing, and one without a
+    thread or turn, quotes nothing and starts a thread of its own. A null text that quotes nothing stays null; otherwise
+    it counts as empty, as it does where it is quoted. An empty table gives no rows; other columns are ignored.
     """
-    answers = F.col("turn") - F.when(F.pmod(F.xxhash64("conv_id", "turn"), F.lit(4)) == 0, 2).otherwise(1)
-    base = turns.select("conv_id", "turn", "role", "text", F.greatest(answers, F.lit(0)).alias("to"))
-    marked = lambda c, mark: F.concat(F.lit(mark), F.regexp_replace(c, "\n", f"\n{mark}"), F.lit("\n"))
-    other = base.select("conv_id", F.col("turn").alias("to"), F.col("text").alias("quoted"), F.when(F.col("turn") > 0, F.col("to")).alias("to2"))
-    oldest = turns.select("conv_id", F.col("turn").alias("to2"), F.col("text").alias("quoted2"))
-    once = base.where("turn > 0").join(other, ["conv_id", "to"]).join(oldest, ["conv_id", "to2"], "left")
-    quote = F.concat(F.lit("On Monday somebody wrote:\n"), F.coalesce(marked(F.col("quoted2"), ">> "), F.lit("")), F.coalesce(marked(F.col("quoted"), "> "), F.lit("")))
-    replies = once.select("conv_id", "turn", "role", F.concat(quote, F.coalesce("text", F.lit(""))).alias("text"), F.col("to").alias("answers"))
-    starts = base.where("turn <= 0 or turn is null").select("conv_id", "turn", "role", "text", F.lit(None).cast("bigint").alias("answers"))
-    return starts.unionByName(replies)
+    before = F.col("turn") - F.when(F.pmod(F.xxhash64("conv_id", "turn"), F.lit(4)) == 0, 2).otherwise(1)
+    answered = F.when(F.col("turn") > 0, F.greatest(before, F.lit(0)))
+    base = turns.select("conv_id", "turn", "role", "text", answered.alias("to"))
+    single = stored(base.groupBy("conv_id", "turn", "to").agg(F.min("text").alias("text")), "turns")
+    other = single.select("conv_id", F.col("turn").alias("to"), F.col("text").alias("quoted"), F.col("to").alias("to2"), F.lit(True).alias("known"))
+    oldest = single.select("conv_id", F.col("turn").alias("to2"), F.col("text").alias("quoted2"))
+    once = base.join(other, ["conv_id", "to"], "left").join(oldest, ["conv_id", "to2"], "left")
+    marked = lambda c, mark: F.coalesce(F.concat(F.lit(mark), F.regexp_replace(c, "\n", f"\n{mark}"), F.lit("\n")), F.lit(""))
+    quote = F.concat(F.lit("On Monday somebody wrote:\n"), marked(F.col("quoted2"), ">> "), marked(F.col("quoted"), "> "))
+    text = F.when(F.col("known"), F.concat(quote, F.coalesce("text", F.lit("")))).otherwise(F.col("text"))
+    return once.select("conv_id", "turn", "role", text.alias("text"), F.when(F.col("known"), F.col("to")).alias("answers"))
