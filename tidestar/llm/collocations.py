@@ -2,7 +2,7 @@
 
 1. Texts are cut into pieces and words once; the words' 64-bit hashes are stored, with a zero between pieces.
 2. For each phrase length a pass over the stored hashes takes the fingerprint of every n-gram from prefix sums of a
-   polynomial modulo 2**64. Tasks send 40 bits of each fingerprint with its count, and the shuffle adds the counts up.
+   polynomial modulo 2**64. Tasks send 32 bits of each fingerprint with its count, and the shuffle adds the counts up.
 3. A phrase is no more frequent than its parts, so an n-gram is sent only where both its shorter parts may be frequent.
    That is looked up in a bitmap of fixed size: a false hit costs a row, and no frequent phrase is missed.
 4. A pass over the texts finds the occurrences of frequent fingerprints. In a slice each fingerprint points to its first
@@ -34,7 +34,7 @@ BASE = np.uint64(0x9E3779B97F4A7C15)
 PARTS = 64  #: of a language's phrases, ranked apart first
 INVERSE = np.uint64(pow(int(BASE), -1, 2**64))
 #: Bits of a fingerprint that count: they compress better than all 64, and what collides is told apart by the text.
-KEPT = np.uint64(2**40 - 1)
+KEPT = np.uint64(2**32 - 1)
 #: Bits of the bitmap of frequent fingerprints: 8 MB, whatever the data.
 BITS = 1 << 26
 CACHE_WORDS = 150_000
@@ -127,7 +127,7 @@ class Bitmap:
 
 def bitmap(frequent: DataFrame) -> bytes:
     """A bit for each cell with a frequent fingerprint; ``BITS / 8`` bytes come to the driver, however many there are."""
-    cell = F.col("fp").bitwiseAND(F.lit(BITS - 1)) + 1
+    cell = F.col("fp").cast("bigint").bitwiseAND(F.lit(BITS - 1)) + 1
     cells = frequent.select(F.bitmap_bucket_number(cell).alias("bucket"), F.bitmap_bit_position(cell).alias("bit"))
     out = np.zeros(BITS // 8, np.uint8)
     for bucket, bits in cells.groupBy("bucket").agg(F.bitmap_construct_agg("bit")).toLocalIterator():
@@ -155,7 +155,7 @@ def hashed(texts: DataFrame) -> DataFrame:
 def frequent_prints(words: DataFrame, length: int, shorter: bytes | None, least: int) -> bytes:
     """The bitmap of the fingerprints of ``length`` words that occur ``least`` times, by that of those a word shorter."""
     sent = words.sparkSession.sparkContext.broadcast(shorter)
-    schema = pa.schema([("fp", pa.int64()), ("n", pa.int64())])
+    schema = pa.schema([("fp", pa.int32()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prints = Prints()
@@ -165,7 +165,7 @@ def frequent_prints(words: DataFrame, length: int, shorter: bytes | None, least:
         def send() -> pa.RecordBatch:
             found, n = np.unique(np.concatenate(held), return_counts=True)
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], schema=schema)
+            return pa.RecordBatch.from_arrays([pa.array(found.astype(np.uint32).view(np.int32)), pa.array(n.astype(np.int64))], schema=schema)
 
         for batch in batches:
             for lang, raw in zip(batch.column("lang").to_pylist(), batch.column("hashes"), strict=True):
@@ -180,7 +180,7 @@ def frequent_prints(words: DataFrame, length: int, shorter: bytes | None, least:
         if held:
             yield send()
 
-    rows = bounded_batches(words.select("lang", "hashes")).mapInArrow(run, "fp bigint, n bigint")
+    rows = bounded_batches(words.select("lang", "hashes")).mapInArrow(run, "fp int, n bigint")
     counts = rows.groupBy("fp").agg(F.sum("n").alias("n"))
     out = bitmap(counts.where(F.col("n") >= least))
     sent.unpersist()
