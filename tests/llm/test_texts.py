@@ -189,6 +189,57 @@ def test_blocks_of_a_crowd_all_meet(spark, monkeypatch):
     assert len(found) == 201 and {r.component_id for r in found} == {0}
 
 
+def test_rounds_lose_no_link(spark, monkeypatch):
+    """Regions and clusters of many blocks, whose members form several components."""
+    monkeypatch.setattr(forest, "REGION_ROWS", 15)
+    monkeypatch.setattr(forest, "SET_VALUES", 3_000)
+    rows, base = star_of(60, 36), prose(903, 100).split()
+    for i in range(60):  # each close to the next only
+        base[i] = f"link{i}"
+        rows.append(row(2000 - i, " ".join(base)))
+    for i in range(60):  # alike, but not enough to be linked with all
+        text = prose(904, 100).split()
+        text[i : i + 9] = [f"own{i}x{k}" for k in range(9)]
+        rows.append(row(3000 + i, " ".join(text)))
+    docs = spark.createDataFrame(rows, documents(spark).schema)
+    assert bag(forest.near_duplicates(docs, 2), "doc_id", "n_shingles", "component_id") == brute_components(docs.collect(), 2)
+
+
+@given(st.lists(st.lists(st.integers(0, 1), min_size=5, max_size=5), min_size=1, max_size=30))
+def test_intervals_of_sorted_rows(values):
+    values = sorted(values)
+    got = list(forest.intervals(np.array(values, ">u2")))
+    want = set()
+    for depth in (5, 4, 3):
+        for v in {tuple(v[:depth]) for v in values}:
+            at = [i for i, w in enumerate(values) if tuple(w[:depth]) == v]
+            want |= {(at[0], at[-1] + 1)} if len(at) > 1 else set()
+    assert len(got) == len(set(got)) and set(got) == want
+    depths = [next(d for d in (5, 4, 3) if values[a][:d] == values[b - 1][:d]) for a, b in got]
+    assert depths == sorted(depths, reverse=True)  # deepest first
+
+
+@given(st.integers(1, 25), st.randoms(use_true_random=False), st.booleans())
+def test_spanning_links_connect_as_all_do(count, random, sided):
+    pairs = {(i, j) for i in range(count) for j in range(i) if random.random() < 0.1}
+    side = np.array([random.randrange(2) for _ in range(count)]) if sided else None
+    known = np.array([random.randrange(count) for _ in range(count)])
+    same = [(i, j) for i in range(count) for j in range(i) if known[i] == known[j]]
+    asked = forest.spanning(count, side, lambda i, others: np.array([(max(i, j), min(i, j)) in pairs for j in others.tolist()], bool), known.copy())
+    allowed = [(i, j) for i, j in pairs if side is None or side[i] != side[j]]
+    assert all((max(p), min(p)) in allowed for p in asked)
+    assert smallest_reachable(range(count), asked + same) == smallest_reachable(range(count), allowed + same)
+
+
+def test_the_bitmap_keeps_every_wanted_document(spark):
+    docs = spark.range(3000).selectExpr("IF(id = 7, NULL, id) AS doc_id", "CAST(id AS STRING) AS text", "0 AS bucket", "1 AS bits")
+    wanted = docs.where("text LIKE '%7'").select("doc_id")
+    got = {r.text for r in forest.only_wanted(docs, wanted).collect()}
+    want = {str(i) for i in range(3000) if i % 10 == 7}
+    assert want <= got and len(got) < len(want) + 10
+    assert forest.only_wanted(docs, wanted.limit(0)).count() == 0
+
+
 # --- BPE
 
 

@@ -1,14 +1,19 @@
-"""MinHash near-duplicates with an LSH forest: signature trees, and the regions of a common prefix in them.
+"""MinHash near-duplicates with an LSH forest: sorted signature orders, and neighbours by longest common prefix in them.
 
 1. Every whole text becomes its set of word shingles, hashed to 64 bits. Texts with equal sets form a
    class, of which one member goes on, so copies cost nothing further.
-2. Each class has a signature of ``TREES * DEPTH`` minimum hashes. In every tree the classes with a common
-   prefix of ``MIN_DEPTH`` values form a region. All classes of a region meet, whatever its size: a large
-   region is dealt into blocks, and every two blocks meet in a group of their own. Pairs whose whole
-   signatures agree too little are dropped; of the others, a region sends on a spanning forest.
+2. Each class has a signature of ``TREES * DEPTH`` minimum hashes. A tree's classes with a common prefix of
+   ``MIN_DEPTH`` values form a region; classes alone in theirs are dropped before any signature moves. A region
+   is sorted by its tree's values, and its rows meet by longest common prefix: first each row its
+   neighbours in the order, then the intervals with ``DEPTH`` values in common, then shorter prefixes, as far
+   up as rows are not connected yet. So a region's depth adapts to how much its deeper prefixes connect.
+   Pairs whose whole signatures agree too little are dropped.
 3. The classes that these links connect form a cluster, which holds all candidate pairs of its members.
-4. Clusters are confirmed on whole sets, large ones again in pairs of blocks. A pair is left out only where
-   confirmed links connect it already, so the components are those of all confirmed pairs.
+4. Clusters are confirmed on whole sets. A pair is left out only where confirmed links connect it already, so
+   the components are those of all confirmed pairs.
+
+A region or cluster too large for a task is met in rounds (``met``): within blocks, then the rows outside of its largest
+component with that component, then what is still outside with the rest.
 """
 
 from __future__ import annotations
@@ -28,7 +33,7 @@ from tidestar.session import stored
 
 TREES, DEPTH, MIN_DEPTH = 14, 5, 3
 HASHES = TREES * DEPTH
-#: Rows of a region or cluster in a block, and shingles of a cluster in a block; larger ones have more blocks.
+#: Rows of a region or cluster in a block, and shingles of a cluster in a block; larger ones have more blocks and rounds.
 REGION_ROWS, SET_VALUES = 2048, 1_000_000
 RANDOM = np.random.default_rng(20240229)
 FACTORS = RANDOM.integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -106,18 +111,18 @@ def digest_class(shingles: np.ndarray) -> int | None:
 
 
 def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
-    """The whole sets: ``id`` (class), ``shingles`` (hashes as signed 64-bit integers)."""
+    """The whole sets: ``doc_id``, ``id`` (class), ``shingles`` (hashes as signed 64-bit integers)."""
 
     def make() -> Callable[[dict[str, list]], dict[str, list]]:
         shingler = Shingler(width)
 
         def sets(rows: dict[str, list]) -> dict[str, list]:
             found = [shingler(t) for t in rows["text"]]
-            return {"id": [digest_class(s) for s in found], "shingles": [s.view(np.int64) for s in found]}
+            return {"doc_id": rows["doc_id"], "id": [digest_class(s) for s in found], "shingles": [s.view(np.int64) for s in found]}
 
         return sets
 
-    return map_rows(docs.select("text"), "id bigint, shingles array<bigint>", make)
+    return map_rows(docs.select("doc_id", "text"), "doc_id bigint, id bigint, shingles array<bigint>", make)
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
@@ -147,27 +152,47 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator
         yield rows, cut(rows)
 
 
-def spanning(count: int, side: np.ndarray | None, linked: Callable[[int, np.ndarray], np.ndarray]) -> list[tuple[int, int]]:
+def spanning(
+    count: int, side: np.ndarray | None, linked: Callable[[int, np.ndarray], np.ndarray], known: np.ndarray | None = None
+) -> list[tuple[int, int]]:
     """Links that connect rows as all links between them do.
 
     ``linked(i, others)`` tells which rows link with row ``i``. A row is asked only about rows that no link
-    has reached yet, and with ``side`` only about rows of the other side.
+    has reached yet, and with ``side`` only about rows of the other side. Rows of one ``known`` label are
+    connected from the start; labels are changed in place as rows are linked.
     """
     links: list[tuple[int, int]] = []
+    known = np.arange(count) if known is None else known
     rest = np.arange(count)
     while len(rest):
-        queue, rest = deque([int(rest[0])]), rest[1:]
+        label = known[rest[0]]
+        mine = known[rest] == label
+        queue, rest = deque(map(int, rest[mine])), rest[~mine]
         while queue and len(rest):
             i = queue.popleft()
             others = rest if side is None else rest[side[rest] != side[i]]
             found = others[linked(i, others)] if len(others) else others
             if len(found):
                 links += [(i, int(j)) for j in found]
-                queue.extend(map(int, found))
-                rest = rest[~np.isin(rest, found, assume_unique=True)]
+                reached = np.isin(known[rest], known[found])
+                queue.extend(map(int, rest[reached]))
+                known[rest[reached]] = label
+                rest = rest[~reached]
     return links
 
 
+def intervals(values: np.ndarray) -> Iterator[tuple[int, int]]:
+    """The intervals of sorted rows with a common prefix of ``DEPTH`` values, then of fewer, down to ``MIN_DEPTH``."""
+    common = np.cumprod(values[1:] == values[:-1], axis=1).sum(axis=1)  # longest common prefixes of neighbours
+    seen: set[tuple[int, int]] = set()
+    for depth in range(DEPTH, MIN_DEPTH - 1, -1):
+        bounds = [0, *(np.flatnonzero(common < depth) + 1).tolist(), len(values)]
+        for at in zip(bounds, bounds[1:], strict=False):
+            if at[1] - at[0] > 1 and at not in seen:
+                seen.add(at)
+                yield at
+
+
 class Likeness:
     """Tells which sets may be near-duplicates, from sizes and signatures."""
 
@@ -187,17 +212,44 @@ class Likeness:
         return fit
 
 
-def in_blocks(rows: DataFrame, group: str, parts: DataFrame) -> DataFrame:
-    """The rows with ``one`` and ``two``: pairs of blocks of their group, and ``block``, the row's own.
+def met(
+    rows: DataFrame, payload: Callable[[DataFrame], DataFrame], links_of: Callable[[DataFrame, bool], DataFrame], label: str
+) -> DataFrame:
+    """Links that connect the rows of each group as all links between them do.
 
-    ``parts`` has the number of blocks of each large group. A row comes once for each block of its group, so
-    that any two rows of a group meet in one pair of blocks, whatever the group's size.
+    ``rows`` is a stored table of ``family`` (the group), ``id`` and ``parts`` (blocks of the group). ``payload`` adds what a
+    comparison needs, ``links_of`` finds the links within each (``family``, ``one``, ``two``), with its
+    second argument only those between two sides. A group of one block meets at once. Of a larger one each
+    block meets first. Then the rows outside the largest component met so far meet that component,
+    and what stays outside meets all rows that were outside. Two rows never meet only where links connect them, so nothing is
+    lost, and a row is sent once for each block of rows outside and not once for each block of the group.
     """
-    rows = rows.join(parts, group, "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    rows = rows.withColumn("beside", F.explode(F.sequence(F.lit(0), (F.col("parts") - 1).cast("int")))).drop("parts")
-    rows = rows.withColumn("one", F.least("block", "beside")).withColumn("two", F.greatest("block", "beside")).drop("beside")
-    return rows.repartition(group, "one", "two").sortWithinPartitions(group, "one", "two", "id")
+    home = rows.withColumn("one", F.pmod(F.xxhash64("id"), F.col("parts"))).withColumn("two", F.lit(0).cast("bigint"))
+    links = stored(links_of(payload(home.withColumn("side", F.lit(0)).withColumn("label", F.col("id"))), False).distinct(), label)
+    big = rows.where("parts > 1").withColumn("outside", F.lit(True))
+    if big.isEmpty():
+        return links
+    for inner in ("not outside", "was_outside"):
+        near = links.join(big.select(F.col("id").alias("a")).distinct(), "a", "left_semi")
+        labels = components(near).withColumnRenamed("node", "id")
+        held = stored(big.join(labels, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component"), label)
+        counts = held.groupBy("family", "label").count()
+        largest = stored(counts.groupBy("family").agg(F.max_by("label", F.struct("count", "label")).alias("largest")), label)
+        held = held.withColumnRenamed("outside", "was_outside").join(largest, "family")
+        held = stored(held.withColumn("outside", F.col("label") != F.col("largest")).drop("largest"), label)
+        share = F.first("parts") / F.count(F.lit(1))
+        sizes = held.groupBy("family").agg(
+            F.ceil(F.count_if("outside") * share).alias("ones"), F.ceil(F.count_if(F.expr(inner)) * share).alias("twos")
+        )
+        dealt = held.join(stored(sizes.where("ones > 0 and twos > 0"), label), "family")
+        block, every = lambda of: F.pmod(F.xxhash64("id"), F.col(of)), lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
+        outer = dealt.where("outside").withColumn("side", F.lit(0)).withColumn("one", block("ones")).withColumn("two", every("twos"))
+        other = dealt.where(inner).withColumn("side", F.lit(1)).withColumn("two", block("twos")).withColumn("one", every("ones"))
+        sides = outer.unionByName(other).drop("ones", "twos", "outside", "was_outside")
+        sides = sides.withColumn("one", F.col("one").cast("bigint")).withColumn("two", F.col("two").cast("bigint"))
+        links = stored(links.unionByName(links_of(payload(sides), True)).distinct(), label)
+        big = held.drop("label", "was_outside")
+    return links
 
 
 LINKS = "a bigint, b bigint"
@@ -213,65 +265,115 @@ def candidates(classes: DataFrame, percent: int) -> DataFrame:
 
     ``classes`` has ``id``, ``n``, ``sig``. A region is a tree and a prefix of ``MIN_DEPTH`` values.
     """
-    prefix = F.substring("sig", F.col("tree") * (2 * DEPTH) + 1, F.lit(2 * MIN_DEPTH))
+    start = F.col("tree") * (2 * DEPTH) + 1
     trees = classes.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))))
-    rows = trees.select(F.xxhash64("tree", prefix).alias("region"), "id", "n", "sig")
-    parts = rows.groupBy("region").agg(F.ceil(F.count(F.lit(1)) / REGION_ROWS).alias("parts")).where("parts > 1")
-    parts = stored(parts, "regions")
-
-    def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, starts in whole_groups(batches, ["region", "one", "two"]):
-            sizes = np.diff(starts)
-            keep = np.repeat(sizes > 1, sizes)  # most rows are alone in their region
-            if not keep.any():
-                continue
-            rows = rows.filter(pa.array(keep))
-            sizes = sizes[sizes > 1]
-            starts = np.append(0, np.cumsum(sizes))
-            alike, ids = Likeness(rows, percent), rows.column("id").to_numpy()
-            block = rows.column("block").to_numpy()
-            crossed = (rows.column("one").to_numpy() != rows.column("two").to_numpy())[starts[:-1]]
-            first = np.repeat(starts[:-1], sizes)
-            fit = alike(first, np.arange(len(ids)))  # of most groups all rows are like the first, or none
-            done = ~crossed & ((np.add.reduceat(fit, starts[:-1], dtype=np.int64) == sizes) | (sizes == 2))
-            at = np.flatnonzero(fit & np.repeat(done, sizes))
-            yield link_batch(ids, first[at], at)
-            for g in np.flatnonzero(~done):
-                low = starts[g]
-                side = block[low : starts[g + 1]] if crossed[g] else None
-                links = spanning(int(sizes[g]), side, lambda i, others, low=low: alike(low + i, low + others))
-                if links:
-                    left, right = zip(*links, strict=True)
-                    yield link_batch(ids[low:], left, right)
-
-    return in_blocks(rows, "region", parts).mapInArrow(within, LINKS).where("a != b").distinct()
-
-
-def confirmed(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    rows = trees.select(F.xxhash64("tree", F.substring("sig", start, F.lit(2 * MIN_DEPTH))).alias("family"), "tree", "id")
+    sizes = rows.groupBy("family").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")  # most rows are alone in their region
+    sizes = stored(sizes.select("family", F.ceil(F.col("rows") / REGION_ROWS).alias("parts")), "regions")
+    rows = stored(rows.join(sizes, "family"), "regions")
+
+    def links_of(held: DataFrame, crossed: bool) -> DataFrame:
+        held = held.repartition("family", "one", "two").sortWithinPartitions("family", "one", "two", F.substring("sig", start, F.lit(2 * DEPTH)), "id")
+
+        def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for rows, starts in whole_groups(batches, ["family", "one", "two"]):
+                yield from (crossed_links if crossed else tree_links)(rows, starts, percent)
+
+        return held.mapInArrow(within, LINKS).where("a != b")
+
+    return met(rows, lambda held: held.join(classes.select("id", "n", "sig"), "id"), links_of, "candidates")
+
+
+def tree_links(rows: pa.Table, starts: np.ndarray, percent: int) -> Iterator[pa.RecordBatch]:
+    """Links of whole regions, or blocks of them, whose rows come in the order of their tree."""
+    alike, ids, tree = Likeness(rows, percent), rows.column("id").to_numpy(), rows.column("tree").to_numpy()
+    near = np.ones(len(ids), bool)  # the row before is a neighbour in the region, and like this one
+    near[starts[:-1]] = False
+    at = np.flatnonzero(near)
+    near[at] = alike(at - 1, at)
+    at = np.flatnonzero(near)
+    yield link_batch(ids, at - 1, at)
+    label = np.cumsum(~near)
+    for low, high in zip(starts, starts[1:], strict=False):
+        if high - low < 3 or label[low] == label[high - 1]:
+            continue  # neighbours are all there is, or connect all
+        values = alike.sig[low:high, tree[low] * DEPTH : (tree[low] + 1) * DEPTH]
+        for first, last in intervals(values):
+            at = low + first
+            links = spanning(last - first, None, lambda i, others, at=at: alike(at + i, at + others), label[at : low + last])
+            if links:
+                left, right = zip(*links, strict=True)
+                yield link_batch(ids[at:], left, right)
+
+
+def crossed_links(rows: pa.Table, starts: np.ndarray, percent: int) -> Iterator[pa.RecordBatch]:
+    """Links between the two sides of each group; rows of one label are connected already."""
+    alike, ids, side = Likeness(rows, percent), rows.column("id").to_numpy(), rows.column("side").to_numpy()
+    label = np.unique(rows.column("label").to_numpy(), return_inverse=True)[1]
+    for low, high in zip(starts, starts[1:], strict=False):
+        links = spanning(high - low, side[low:high], lambda i, others, at=low: alike(at + i, at + others), label[low:high])
+        if links:
+            left, right = zip(*links, strict=True)
+            yield link_batch(ids[low:], left, right)
+
+
+#: Cells of the bitmap of wanted documents: 8 MB, whatever the data.
+CELLS = 2**26
+
+
+def only_wanted(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose ``doc_id`` is in ``wanted``, and a few others of the same cell of a bitmap of fixed size.
+
+    The bitmap is broadcast, so texts that are not wanted are neither shuffled nor given to Python. Beyond some ten million wanted
+    documents it fills, and more others come along.
+    """
+    cell = F.pmod(F.xxhash64("doc_id"), F.lit(CELLS)) + 1
+    cells = wanted.select(F.bitmap_bucket_number(cell).alias("bucket"), F.bitmap_bit_position(cell).alias("bit")).repartition("bucket")
+    bits = stored(cells.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")), "wanted")
+    place = F.bitmap_bit_position(cell)
+    byte = F.conv(F.hex(F.substring("bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.pmod(F.floor(byte / F.pow(F.lit(2), place % 8)), F.lit(2)) == 1
+    held = docs.select("doc_id", "text").withColumn("bucket", F.bitmap_bucket_number(cell))
+    return held.join(F.broadcast(bits), "bucket").where(hit).select("doc_id", "text")
+
+
+def confirmed(members: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Links that connect the members of each cluster as all pairs do whose whole sets have a Jaccard similarity of ``percent`` % or more.
 
-    ``members`` has ``id``, ``n``, ``sig`` and ``cluster``, ``sets`` has ``id`` and ``shingles``.
+    ``members`` has ``id``, ``doc_id``, ``n``, ``sig`` and ``cluster``; ``docs`` has the texts.
     """
-    parts = members.groupBy("cluster").agg(F.ceil(F.greatest(F.sum("n") / SET_VALUES, F.count(F.lit(1)) / REGION_ROWS)).alias("parts"))
-    parts = stored(parts.where("parts > 1"), "clusters")
-
-    def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, starts in whole_groups(batches, ["cluster", "one", "two"]):
-            for low, high in zip(starts, starts[1:], strict=False):
-                if high - low > 1:
-                    part = rows.slice(low, high - low)
-                    ids = part.column("id").to_numpy()
-                    part = part.filter(pa.array(np.append(True, ids[1:] != ids[:-1])))  # rows that repeat an id repeat its set
-                    yield confirmed_links(part, percent)
-
-    held = members.select("id", "n", "sig", "cluster").join(sets, "id")
-    return in_blocks(held, "cluster", parts).mapInArrow(within, LINKS).distinct()
-
-
-def confirmed_links(rows: pa.Table, percent: int) -> pa.RecordBatch:
-    """Confirmed links of one cluster or two of its blocks."""
-    ids, block = rows.column("id").to_numpy(), rows.column("block").to_numpy()
-    side = block if rows.column("one")[0] != rows.column("two")[0] else None
+    sizes = members.groupBy("cluster").agg(F.ceil(F.greatest(F.sum("n") / SET_VALUES, F.count(F.lit(1)) / REGION_ROWS)).alias("parts"))
+    rows = stored(members.join(sizes, "cluster").select(F.col("cluster").alias("family"), "id", "parts"), "clusters")
+
+    def payload(held: DataFrame) -> DataFrame:
+        some = members.join(held.select("id").distinct(), "id", "left_semi")
+        sets = shingle_sets(only_wanted(docs, some), width).where("id is not null")
+        sets = sets.withColumnRenamed("id", "set_id").withColumnRenamed("doc_id", "set_doc")
+        whole = (F.col("set_id") == F.col("id")) & F.col("set_doc").eqNullSafe(F.col("doc_id"))
+        some = some.join(sets, whole).select("id", "n", "sig", "shingles")
+        return held.join(some, "id")
+
+    def links_of(held: DataFrame, crossed: bool) -> DataFrame:
+        def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for rows, starts in whole_groups(batches, ["family", "one", "two"]):
+                for low, high in zip(starts, starts[1:], strict=False):
+                    if high - low > 1:
+                        part = rows.slice(low, high - low)
+                        ids, side = part.column("id").to_numpy(), part.column("side").to_numpy()
+                        new = (ids[1:] != ids[:-1]) | (side[1:] != side[:-1])
+                        part = part.filter(pa.array(np.append(True, new)))  # rows that repeat an id repeat its set
+                        yield confirmed_links(part, percent, crossed)
+
+        held = held.repartition("family", "one", "two").sortWithinPartitions("family", "one", "two", "id", "side")
+        return held.mapInArrow(within, LINKS).where("a != b")
+
+    return met(rows, payload, links_of, "confirmed")
+
+
+def confirmed_links(rows: pa.Table, percent: int, crossed: bool) -> pa.RecordBatch:
+    """Confirmed links of one cluster or block of it, or between the two sides of a pair of blocks."""
+    ids = rows.column("id").to_numpy()
+    label = np.unique(rows.column("label").to_numpy(), return_inverse=True)[1]
     alike = Likeness(rows, percent)
     sets = [s.values.to_numpy(zero_copy_only=False).view(np.uint64) for chunk in rows.column("shingles").chunks for s in chunk]
 
@@ -283,7 +385,7 @@ def confirmed_links(rows: pa.Table, percent: int) -> pa.RecordBatch:
             fit[k] = 100 * both >= percent * (len(a) + len(b) - both)
         return fit
 
-    links = spanning(len(ids), side, linked)
+    links = spanning(len(ids), rows.column("side").to_numpy() if crossed else None, linked, label)
     left, right = zip(*links, strict=True) if links else ((), ())
     return link_batch(ids, left, right)
 
@@ -305,9 +407,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     classes = stored(classes, "classes")
     clusters = components(candidates(classes, percent)).select(F.col("node").alias("id"), F.col("component").alias("cluster"))
     members = stored(classes.join(clusters, "id"), "clusters")
-    wanted = members.select(F.col("doc_id").alias("wanted_id"))
-    sets = shingle_sets(docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi"), width)
-    named = least_members(classes.select("id", "doc_id"), confirmed(members, sets.where("id is not null"), percent))
+    named = least_members(classes.select("id", "doc_id"), confirmed(members, docs, width, percent))
     out = table.join(named, "id", "left").withColumn("component_id", F.when(F.col("id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
     return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
