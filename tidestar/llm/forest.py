@@ -212,52 +212,79 @@ class Likeness:
         return fit
 
 
+LINKS = "family bigint, a bigint, b bigint"
+
+
 def met(
     rows: DataFrame, payload: Callable[[DataFrame], DataFrame], links_of: Callable[[DataFrame, bool], DataFrame], label: str
 ) -> DataFrame:
-    """Links that connect the rows of each group as all links between them do.
+    """Links (``a``, ``b``) that connect the rows of each group as all links between them do.
 
     ``rows`` is a stored table of ``family`` (the group), ``id`` and ``parts`` (blocks of the group). ``payload`` adds what a
-    comparison needs, ``links_of`` finds the links within each (``family``, ``one``, ``two``), with its
-    second argument only those between two sides. A group of one block meets at once. Of a larger one each
-    block meets first. Then the rows outside the largest component met so far meet that component,
-    and what stays outside meets all rows that were outside. Two rows never meet only where links connect them, so nothing is
-    lost, and a row is sent once for each block of rows outside and not once for each block of the group.
+    comparison needs, and ``links_of`` compares within each (``family``, ``one``, ``two``): it links all rows to the smallest id of
+    their component there, or, with its second argument, finds links between two sides. A group of one block meets
+    at once. Of a larger one each block meets first. Then the rows outside the largest component met so far (its ``core``) meet
+    that component, and what stays outside meets all rows outside the core. Two rows never meet only where links connect
+    them, so nothing is lost, and a row is sent once for each block of rows outside, not once for each block of the group.
     """
-    home = rows.withColumn("one", F.pmod(F.xxhash64("id"), F.col("parts"))).withColumn("two", F.lit(0).cast("bigint"))
-    links = stored(links_of(payload(home.withColumn("side", F.lit(0)).withColumn("label", F.col("id"))), False).distinct(), label)
-    big = rows.where("parts > 1").withColumn("outside", F.lit(True))
+    home = rows.withColumn("one", F.pmod(F.xxhash64("id"), "parts")).withColumn("two", F.lit(0).cast("bigint"))
+    home = home.withColumn("side", F.lit(0)).withColumn("label", F.col("id"))
+    links = stored(links_of(payload(home), False), label)
+    big = rows.where("parts > 1")
     if big.isEmpty():
-        return links
-    for inner in ("not outside", "was_outside"):
-        near = links.join(big.select(F.col("id").alias("a")).distinct(), "a", "left_semi")
-        labels = components(near).withColumnRenamed("node", "id")
-        held = stored(big.join(labels, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component"), label)
-        counts = held.groupBy("family", "label").count()
-        largest = stored(counts.groupBy("family").agg(F.max_by("label", F.struct("count", "label")).alias("largest")), label)
-        held = held.withColumnRenamed("outside", "was_outside").join(largest, "family")
-        held = stored(held.withColumn("outside", F.col("label") != F.col("largest")).drop("largest"), label)
-        share = F.first("parts") / F.count(F.lit(1))
-        sizes = held.groupBy("family").agg(
-            F.ceil(F.count_if("outside") * share).alias("ones"), F.ceil(F.count_if(F.expr(inner)) * share).alias("twos")
-        )
-        dealt = held.join(stored(sizes.where("ones > 0 and twos > 0"), label), "family")
-        block, every = lambda of: F.pmod(F.xxhash64("id"), F.col(of)), lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
-        outer = dealt.where("outside").withColumn("side", F.lit(0)).withColumn("one", block("ones")).withColumn("two", every("twos"))
-        other = dealt.where(inner).withColumn("side", F.lit(1)).withColumn("two", block("twos")).withColumn("one", every("ones"))
-        sides = outer.unionByName(other).drop("ones", "twos", "outside", "was_outside")
-        sides = sides.withColumn("one", F.col("one").cast("bigint")).withColumn("two", F.col("two").cast("bigint"))
-        links = stored(links.unionByName(links_of(payload(sides), True)).distinct(), label)
-        big = held.drop("label", "was_outside")
-    return links
+        return links.select("a", "b")
+    held = big.join(links.select("family", F.col("b").alias("id"), F.col("a").alias("label")), ["family", "id"], "left")
+    held = stored(held.withColumn("label", F.coalesce("label", "id")), label)
+    counts = held.groupBy("family", "label").count()
+    held = held.join(counts.groupBy("family").agg(F.max_by("label", F.struct("count", "label")).alias("core")), "family")
+    held = stored(held.withColumn("outside", F.col("label") != F.col("core")), label)
+    first = between(held, "not outside", payload, links_of, label)
+    hits = held.join(first.select("family", F.col("a").alias("id")).distinct(), ["family", "id"], "left_semi")
+    held = held.join(hits.select("family", "label").distinct().withColumn("hit", F.lit(True)), ["family", "label"], "left")
+    held = held.where("outside").withColumn("outside", F.col("hit").isNull())
+    held = stored(held.withColumn("label", F.when(F.col("hit"), F.col("core")).otherwise(F.col("label"))).drop("hit"), label)
+    rest = between(held, "true", payload, links_of, label)
+    return links.unionByName(first).unionByName(rest).select("a", "b")
+
+
+def between(
+    held: DataFrame, inner: str, payload: Callable[[DataFrame], DataFrame], links_of: Callable[[DataFrame, bool], DataFrame], label: str
+) -> DataFrame:
+    """Links of the rows ``outside`` (``a``) with those of the condition ``inner`` (``b``), in pairs of blocks of both."""
+    share = F.first("parts") / F.count(F.lit(1))
+    ones, twos = (F.ceil(F.count_if(F.expr(c)) * share) for c in ("outside", inner))
+    sizes = stored(held.groupBy("family").agg(ones.alias("ones"), twos.alias("twos")).where("ones > 0 and twos > 0"), label)
+    if sizes.isEmpty():
+        return held.sparkSession.createDataFrame([], LINKS)
+    dealt = held.join(sizes, "family")
+
+    def side(rows: DataFrame, number: int, own: str, other: str) -> DataFrame:
+        rows = rows.withColumn("side", F.lit(number)).withColumn(own, F.pmod(F.xxhash64("id"), own + "s"))
+        return rows.withColumn(other, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(other + "s") - 1)))
 
+    sides = side(dealt.where("outside"), 0, "one", "two").unionByName(side(dealt.where(inner), 1, "two", "one"))
+    return stored(links_of(payload(sides.drop("ones", "twos", "outside", "core")), True), label)
 
-LINKS = "a bigint, b bigint"
 
+def stars(rows: pa.Table, label: np.ndarray) -> pa.RecordBatch:
+    """Links of all rows to the smallest id of their label."""
+    ids, family = rows.column("id").to_numpy(), rows.column("family").to_numpy()
+    order = np.lexsort((ids, label))
+    new = np.append(True, label[order][1:] != label[order][:-1])
+    least = ids[order[new]][np.cumsum(new) - 1]
+    return link_batch(family[order[~new]], least[~new], ids[order[~new]])
 
-def link_batch(ids: np.ndarray, left: list | np.ndarray, right: list | np.ndarray) -> pa.RecordBatch:
-    left, right = np.asarray(left, np.int64), np.asarray(right, np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(ids[left], pa.int64()), pa.array(ids[right], pa.int64())], ["a", "b"])
+
+def sided(rows: pa.Table, links: list[tuple[int, int]]) -> pa.RecordBatch:
+    """The links, each from the row of side 0."""
+    ids, family, side = (rows.column(c).to_numpy() for c in ("id", "family", "side"))
+    pairs = np.array(links, np.int64).reshape(-1, 2)
+    pairs = np.where(side[pairs[:, :1]] == 0, pairs, pairs[:, ::-1])
+    return link_batch(family[pairs[:, 0]], ids[pairs[:, 0]], ids[pairs[:, 1]])
+
+
+def link_batch(family: np.ndarray, left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (family, left, right)], ["family", "a", "b"])
 
 
 def candidates(classes: DataFrame, percent: int) -> DataFrame:
@@ -285,14 +312,12 @@ def candidates(classes: DataFrame, percent: int) -> DataFrame:
 
 
 def tree_links(rows: pa.Table, starts: np.ndarray, percent: int) -> Iterator[pa.RecordBatch]:
-    """Links of whole regions, or blocks of them, whose rows come in the order of their tree."""
-    alike, ids, tree = Likeness(rows, percent), rows.column("id").to_numpy(), rows.column("tree").to_numpy()
-    near = np.ones(len(ids), bool)  # the row before is a neighbour in the region, and like this one
+    """Components of whole regions, or blocks of them, whose rows come in the order of their tree."""
+    alike, tree = Likeness(rows, percent), rows.column("tree").to_numpy()
+    near = np.ones(rows.num_rows, bool)  # the row before is a neighbour in the region, and like this one
     near[starts[:-1]] = False
     at = np.flatnonzero(near)
     near[at] = alike(at - 1, at)
-    at = np.flatnonzero(near)
-    yield link_batch(ids, at - 1, at)
     label = np.cumsum(~near)
     for low, high in zip(starts, starts[1:], strict=False):
         if high - low < 3 or label[low] == label[high - 1]:
@@ -300,21 +325,17 @@ def tree_links(rows: pa.Table, starts: np.ndarray, percent: int) -> Iterator[pa.
         values = alike.sig[low:high, tree[low] * DEPTH : (tree[low] + 1) * DEPTH]
         for first, last in intervals(values):
             at = low + first
-            links = spanning(last - first, None, lambda i, others, at=at: alike(at + i, at + others), label[at : low + last])
-            if links:
-                left, right = zip(*links, strict=True)
-                yield link_batch(ids[at:], left, right)
+            spanning(last - first, None, lambda i, others, at=at: alike(at + i, at + others), label[at : low + last])
+    yield stars(rows, label)
 
 
 def crossed_links(rows: pa.Table, starts: np.ndarray, percent: int) -> Iterator[pa.RecordBatch]:
     """Links between the two sides of each group; rows of one label are connected already."""
-    alike, ids, side = Likeness(rows, percent), rows.column("id").to_numpy(), rows.column("side").to_numpy()
+    alike, side = Likeness(rows, percent), rows.column("side").to_numpy()
     label = np.unique(rows.column("label").to_numpy(), return_inverse=True)[1]
     for low, high in zip(starts, starts[1:], strict=False):
         links = spanning(high - low, side[low:high], lambda i, others, at=low: alike(at + i, at + others), label[low:high])
-        if links:
-            left, right = zip(*links, strict=True)
-            yield link_batch(ids[low:], left, right)
+        yield sided(rows.slice(low, high - low), links)
 
 
 #: Cells of the bitmap of wanted documents: 8 MB, whatever the data.
@@ -371,8 +392,7 @@ def confirmed(members: DataFrame, docs: DataFrame, width: int, percent: int) ->
 
 
 def confirmed_links(rows: pa.Table, percent: int, crossed: bool) -> pa.RecordBatch:
-    """Confirmed links of one cluster or block of it, or between the two sides of a pair of blocks."""
-    ids = rows.column("id").to_numpy()
+    """Confirmed components of one cluster or block of it, or links between the two sides of a pair of blocks."""
     label = np.unique(rows.column("label").to_numpy(), return_inverse=True)[1]
     alike = Likeness(rows, percent)
     sets = [s.values.to_numpy(zero_copy_only=False).view(np.uint64) for chunk in rows.column("shingles").chunks for s in chunk]
@@ -385,9 +405,10 @@ def confirmed_links(rows: pa.Table, percent: int, crossed: bool) -> pa.RecordBat
             fit[k] = 100 * both >= percent * (len(a) + len(b) - both)
         return fit
 
-    links = spanning(len(ids), rows.column("side").to_numpy() if crossed else None, linked, label)
-    left, right = zip(*links, strict=True) if links else ((), ())
-    return link_batch(ids, left, right)
+    if crossed:
+        return sided(rows, spanning(rows.num_rows, rows.column("side").to_numpy(), linked, label))
+    spanning(rows.num_rows, None, linked, label)
+    return stars(rows, label)
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
