@@ -367,12 +367,11 @@ def confirmed(members: DataFrame, docs: DataFrame, width: int, percent: int) ->
     rows = stored(members.join(sizes, "cluster").select(F.col("cluster").alias("family"), "id", "parts"), "clusters")
 
     def payload(held: DataFrame) -> DataFrame:
-        some = members.join(held.select("id").distinct(), "id", "left_semi")
-        sets = shingle_sets(only_wanted(docs, some), width).where("id is not null")
-        sets = sets.withColumnRenamed("id", "set_id").withColumnRenamed("doc_id", "set_doc")
-        whole = (F.col("set_id") == F.col("id")) & F.col("set_doc").eqNullSafe(F.col("doc_id"))
-        some = some.join(sets, whole).select("id", "n", "sig", "shingles")
-        return held.join(some, "id")
+        sets = shingle_sets(only_wanted(docs, members.join(held.select("id").distinct(), "id", "left_semi")), width)
+        sets = sets.select(F.col("id").alias("set_id"), F.col("doc_id").alias("set_doc"), "shingles").where("set_id is not null")
+        held = held.join(members.select("id", "doc_id", "n", "sig"), "id")
+        own = (F.col("set_id") == F.col("id")) & F.col("set_doc").eqNullSafe(F.col("doc_id"))
+        return held.join(sets, own).drop("set_id", "set_doc", "doc_id")
 
     def links_of(held: DataFrame, crossed: bool) -> DataFrame:
         def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
