@@ -11,7 +11,9 @@ from tidestar.operators.changes import (
     update_where_in,
     where_in,
 )
+from tidestar.operators.digests import bucket_digests, diff_by_digest, differing_buckets
 from tidestar.operators.enrich import enrich, orphans, star_join, unknown_codes
+from tidestar.operators.gates import Gate, RulesViolated
 from tidestar.operators.quality import (
     check_rules,
     dedup,
@@ -24,8 +26,11 @@ from tidestar.operators.sampling import pick_keys, sample_n
 from tidestar.operators.star import build_dim, build_dim_datetime, build_fact, create_star, distinct_dim
 
 __all__ = [
+    "Gate",
+    "RulesViolated",
     "affected",
     "apply_changes",
+    "bucket_digests",
     "build_dim",
     "build_dim_datetime",
     "build_fact",
@@ -33,7 +38,9 @@ __all__ = [
     "create_star",
     "dedup",
     "delete_where_in",
+    "diff_by_digest",
     "diff_changes",
+    "differing_buckets",
     "distinct_dim",
     "duplicate_keys",
     "enrich",

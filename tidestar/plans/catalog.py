@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -35,11 +36,17 @@ class CatalogStar:
     def tables(self, spark: SparkSession) -> dict[str, DataFrame]:
         return {name: spark.table(f"{self.database}.{name}") for name in schemas.STAR_TABLES}
 
-    def load(self, trips: DataFrame, run: str, batch_id: int) -> None:
-        """Merge the dimensions of clean trips, then append their fact rows."""
+    def load(
+        self, trips: DataFrame, run: str, batch_id: int, gated: tuple[DataFrame, Callable[[], object]] | None = None
+    ) -> None:
+        """Merge the dimensions of clean trips, then append their fact rows. ``gated`` is as in ``StarStore.load``."""
         require_utc(trips.sparkSession, "loading a star")
-        codes = trips.select(*CODE_KEYS).distinct().persist(StorageLevel.MEMORY_AND_DISK)
+        first, check = gated or (trips, None)
+        codes = first.select(*CODE_KEYS).distinct().persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            if check:
+                codes.count()
+                check()
             dims = {"dim_datetime": build_dim_datetime(trips)} | code_dimensions(codes)
             for name, rows in dims.items():
                 rows = conform(rows, schemas.STAR_TABLES[name])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidestar import schemas
 from tidestar.functions.checked import REJECT, keeping_rejects
 from tidestar.operators.enrich import star_join
+from tidestar.operators.gates import Gate
 from tidestar.operators.quality import fill, non_negative, not_null, require_non_negative, require_not_null
 from tidestar.operators.star import build_dim, build_dim_datetime, build_fact
 from tidestar.sources.codes import payment_types, rate_codes
@@ -27,6 +28,23 @@ def clean_trips(trips: DataFrame) -> DataFrame:
     return fill(kept, schemas.FILL_ZERO)
 
 
+def gated_trips(
+    trips: DataFrame, gate: Gate, report: Callable[[dict[str, int]], None] | None = None
+) -> tuple[DataFrame, Callable[[], None]]:
+    """Clean trips whose first pass counts the violations of all trips, and the check to make after that pass.
+
+    The check raises where a rule is violated too often, and else gives the counts to ``report``.
+    """
+    rows, watched = gate.watch(trips)
+
+    def check() -> None:
+        counts = gate.check(watched)
+        if report:
+            report(counts)
+
+    return clean_trips(rows), check
+
+
 def code_dimensions(trips: DataFrame) -> dict[str, DataFrame]:
     """The four dimensions keyed by a value of the trip; descriptions are looked up per distinct code."""
     spark = trips.sparkSession

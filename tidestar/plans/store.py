@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
@@ -103,7 +104,9 @@ class StarStore:
         for name, df in self.tables(spark).items():
             df.createOrReplaceTempView(name)
 
-    def load(self, trips: DataFrame, run: str, batch_id: int | None) -> None:
+    def load(
+        self, trips: DataFrame, run: str, batch_id: int | None, gated: tuple[DataFrame, Callable[[], object]] | None = None
+    ) -> None:
         """Merge the dimensions of clean trips, then write their fact rows as one batch.
 
         Without a ``batch_id`` the rows replace all of the run. A batch ``yyyymmdd`` of that run, loaded later, then
@@ -112,14 +115,19 @@ class StarStore:
         A batch loaded again with no rows leaves none behind. The trips are read
         three times: for the combinations of code keys (few, kept, and the
         source of four dimensions), for the distinct times, and for the fact.
+        ``gated`` (see ``gated_trips``) has the same rows for the first of these, and a check after it that may raise
+        before anything is written.
         """
         spark = trips.sparkSession
         require_utc(spark, "loading a star")
         day = F.to_date("tpep_pickup_datetime")
-        codes = trips.groupBy(*CODE_KEYS).agg(F.collect_set(F.year(day) * 12 + F.month(day)).alias("months"))
+        first, check = gated or (trips, None)
+        codes = first.groupBy(*CODE_KEYS).agg(F.collect_set(F.year(day) * 12 + F.month(day)).alias("months"))
         codes.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             months = [r[0] for r in codes.select(F.explode("months")).distinct().collect()]  # a number for each calendar month
+            if check:
+                check()
             if months:
                 self._merge_datetime(spark, build_dim_datetime(trips), months)
                 for name, rows in code_dimensions(codes).items():

@@ -21,7 +21,7 @@ from tidestar.operators import (
     update_where_in,
     where_in,
 )
-from tidestar.plans import BucketedState, clean_trips, read_versioned, write_version
+from tidestar.plans import BucketedState, DigestedVersions, clean_trips, read_versioned, write_version
 from tidestar.registry.base import ORACLE, query, table
 from tidestar.registry.fixtures import (
     CLEAN_SQL,
@@ -195,6 +195,15 @@ def diff_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes.withColumnRenamed("__op", "op").drop("__deleted")
 
 
+@query("diff_by_digest", ORACLE["diff_changes"])
+def diff_orders_by_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from two stored versions, of which only the buckets with other digests are read."""
+    before, after = table(spark, sf_dir, "orders"), orders_after(spark, sf_dir)
+    store = DigestedVersions(work_dir(spark, "digested"), before.schema, ["o_orderkey"], buckets=64)
+    changes = store.diff(spark, store.write(before), store.write(after))
+    return changes.withColumnRenamed("__op", "op").drop("__deleted")
+
+
 @query("apply_diff", f"WITH {ORDERS_AFTER_SQL} SELECT * FROM orders_after")
 def apply_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The changes between two versions, applied to the first, give the second."""

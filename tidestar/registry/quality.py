@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidestar import schemas
 from tidestar.operators import (
+    Gate,
     check_rules,
     dedup,
     distinct_dim,
@@ -16,8 +17,10 @@ from tidestar.operators import (
     require_not_null,
     unknown_codes,
 )
-from tidestar.registry.base import query, table
+from tidestar.plans import run_batch
+from tidestar.registry.base import ORACLE, query, table
 from tidestar.registry.fixtures import PAYMENTS_SQL, RATES_SQL, TRIPS_SQL, trips
+from tidestar.session import work_dir
 from tidestar.sources import payment_types, rate_codes
 
 CHECKED = ", ".join(schemas.NON_NEGATIVE)
@@ -95,6 +98,14 @@ def check_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check_rules(trips(spark, sf_dir), schemas.TRIP_RULES)
 
 
+@query("observed_constraints", ORACLE["check_constraints"])
+def observed_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same counts out of a load of the star, which takes them while it reads."""
+    found: dict[str, int] = {}
+    run_batch(spark, trips(spark, sf_dir), work_dir(spark, "gated_star"), gate=Gate(schemas.TRIP_RULES), report=found.update)
+    return spark.createDataFrame(list(found.items()), "rule string, violations bigint")
+
+
 @query(
     "pk_duplicates",
     """SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem

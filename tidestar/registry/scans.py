@@ -10,7 +10,8 @@ from tidestar.functions import insert_select
 from tidestar.registry.base import query, table
 from tidestar.registry.fixtures import TRIPS_SQL, trips
 from tidestar.session import work_dir
-from tidestar.sources import append_load, read_parquet, row_count
+from tidestar.sources import LedgerTable, append_load, read_parquet, row_count
+
 
 @query("scan_parquet", "SELECT * FROM lineitem")
 def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,3 +68,15 @@ def insert_select_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = spark.read.schema(spark.table(name).schema).parquet(location)
     spark.sql(f"DROP TABLE {name}")
     return result
+
+
+@query("ledger_load", "SELECT * FROM orders")
+def ledger_load_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder loaded twice, then once more with new files in it: every row is there once."""
+    orders, folder = table(spark, sf_dir, "orders"), work_dir(spark, "ledger_source")
+    target = LedgerTable(work_dir(spark, "ledger"), orders.schema)
+    for part in ("o_orderkey % 2 = 0", "o_orderkey % 2 <> 0"):
+        orders.filter(part).write.mode("append").parquet(folder)
+        for _ in range(2):
+            target.load(spark, folder)
+    return target.read(spark)

@@ -14,7 +14,8 @@ from tidestar import schemas
 from tidestar.functions.checked import REJECT, conform_checked, good_rows, parse_checked, rejects, unwrap_checked
 from tidestar.functions.decode import conform, decode_value, micros_to_ts, parse_json, rename, unwrap_cdc
 from tidestar.operators.changes import latest_per_key
-from tidestar.plans.star import clean_trips
+from tidestar.operators.gates import Gate
+from tidestar.plans.star import clean_trips, gated_trips
 from tidestar.plans.catalog import CatalogStar
 from tidestar.plans.store import StarStore
 from tidestar.streaming.rejects import write_rejects
@@ -54,9 +55,14 @@ def captured_state(records: DataFrame, wrapped: bool = False) -> DataFrame:
     return conform(rename(kept, schemas.TRIP_NAMES), schemas.WIRE_TRIPS)
 
 
-def star_sink(store: StarStore | CatalogStar, rejected: str | None = None) -> Callable[[DataFrame, int], None]:
+def star_sink(
+    store: StarStore | CatalogStar, rejected: str | None = None, gate: Gate | None = None
+) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that loads clean trips into the store, and the rejects of checked ones into a folder.
 
+    With a ``gate`` the trips come as decoded: the sink counts the gate's rules over the good ones, ends the query where one
+    is violated too often, before the batch writes anything but its rejects, and cleans the trips itself.
+
     Six table writes cannot commit together; a failure between them is repaired
     by the replay of the batch, which finds the dimension rows already there
     and, in a ``StarStore``, overwrites its own part of the fact.
@@ -71,7 +77,10 @@ def star_sink(store: StarStore | CatalogStar, rejected: str | None = None) -> Ca
                 good = good_rows(batch)
                 if rejected:
                     write_rejects(rejects(batch), rejected, run, batch_id)
-            store.load(good, run, batch_id)
+            if gate:
+                store.load(clean_trips(good), run, batch_id, gated_trips(good, gate))
+            else:
+                store.load(good, run, batch_id)
         finally:
             batch.unpersist()
 
@@ -85,11 +94,12 @@ def start_star(
     every: str | None = None,
     mode: str = "update",
     rejected: str | None = None,
+    gate: Gate | None = None,
 ) -> StreamingQuery:
     """Start the load of decoded trips; only the columns the star needs are kept per micro-batch.
 
     Of checked trips the good ones are loaded. The others go to the folder ``rejected``, which ``read_rejects``
-    reads; good rows that the quality filters drop are no rejects.
+    reads; good rows that the quality filters drop are no rejects. A ``gate`` stops the query at a batch that violates its rules too often.
     """
     store.create(trips.sparkSession)
     checked = REJECT in trips.columns
@@ -99,5 +109,6 @@ def start_star(
     if checked and not plain:
         raise ValueError("checked trips must have the wire columns")
     needed = trips if plain else conform(trips, schemas.WIRE_TRIPS)
-    writer = clean_trips(needed).writeStream.foreachBatch(star_sink(store, rejected)).outputMode(mode)
+    rows = needed if gate else clean_trips(needed)
+    writer = rows.writeStream.foreachBatch(star_sink(store, rejected, gate)).outputMode(mode)
     return with_trigger(writer.option("checkpointLocation", checkpoint), every).start()
