@@ -3,6 +3,7 @@ from tidestar.plans.bucketed import BucketedStar
 from tidestar.plans.buckets import BucketedState
 from tidestar.plans.catalog import CatalogStar
 from tidestar.plans.digested import DigestedVersions
+from tidestar.plans.feed import FeedTable
 from tidestar.plans.replica import current_version, read_versioned, replica_changes, write_version
 from tidestar.plans.star import clean_trips, gated_trips, payment_summary, star_tables
 from tidestar.plans.store import StarStore
@@ -12,6 +13,7 @@ __all__ = [
     "BucketedState",
     "CatalogStar",
     "DigestedVersions",
+    "FeedTable",
     "StarStore",
     "clean_trips",
     "current_version",

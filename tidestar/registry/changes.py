@@ -21,13 +21,14 @@ from tidestar.operators import (
     update_where_in,
     where_in,
 )
-from tidestar.plans import BucketedState, DigestedVersions, clean_trips, read_versioned, write_version
+from tidestar.plans import BucketedState, DigestedVersions, FeedTable, clean_trips, read_versioned, write_version
 from tidestar.registry.base import ORACLE, query, table
 from tidestar.registry.fixtures import (
     CLEAN_SQL,
     ORDERS_AFTER_SQL,
     RATES_SQL,
     USER_ROW,
+    order_feed,
     orders_after,
     trips,
     user_feed,
@@ -204,6 +205,21 @@ def diff_orders_by_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes.withColumnRenamed("__op", "op").drop("__deleted")
 
 
+@query(
+    "feed_schema",
+    """SELECT o_orderkey, CAST(o_custkey AS BIGINT) AS o_custkey, o_orderstatus,
+         CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS o_orderpriority,
+         CASE WHEN o_orderkey % 2 = 1 THEN o_totalprice END AS o_totalprice
+    FROM orders WHERE o_orderkey % 2 = 1 OR o_orderstatus <> 'F'""",
+)
+def feed_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed that tells its own types, and whose second batch widens a column, adds one, and leaves one out."""
+    replica = FeedTable(work_dir(spark, "feed"), ["o_orderkey"])
+    for batch_id, later in enumerate((False, True)):
+        replica.load(order_feed(spark, sf_dir, later), "feed", batch_id)
+    return replica.read(spark)
+
+
 @query("apply_diff", f"WITH {ORDERS_AFTER_SQL} SELECT * FROM orders_after")
 def apply_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The changes between two versions, applied to the first, give the second."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -218,6 +220,37 @@ def captured_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.to_json(envelope).cast("binary").alias("value"), (F.col("trip_id") * 3 + F.col("change.at")).alias("offset"))
 
 
+# --- A feed of orders whose schema block changes halfway: the customer key widens, a price is added, a priority goes. ---
+
+
+def _schema_block(fields: dict[str, str]) -> dict:
+    image = [{"type": kind, "optional": True, "field": name} for name, kind in fields.items()]
+    rows = [{"type": "struct", "fields": image, "optional": True, "field": name} for name in ("before", "after")]
+    return {"type": "struct", "fields": [*rows, {"type": "string", "field": "op"}], "name": "app.public.orders.Envelope"}
+
+
+ORDER_FEED = {"o_orderkey": "int64", "o_custkey": "int32", "o_orderstatus": "string", "o_orderpriority": "string"}
+ORDER_FEED_LATER = {"o_orderkey": "int64", "o_custkey": "int64", "o_orderstatus": "string", "o_totalprice": "double"}
+
+
+def order_feed(spark: SparkSession, sf_dir: str, later: bool) -> DataFrame:
+    """Half of the orders as envelopes with their schema; the later half has fulfilled orders, sent before, deleted."""
+    orders = table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 2 == int(later))
+    fields = ORDER_FEED_LATER if later else ORDER_FEED
+    rows = orders.withColumn("gone", F.lit(False))
+    if later:
+        known = table(spark, sf_dir, "orders").filter((F.col("o_orderkey") % 2 == 0) & (F.col("o_orderstatus") == "F"))
+        rows = rows.unionByName(known.withColumn("gone", F.lit(True)))
+    payload = F.struct(
+        F.when(F.col("gone"), F.struct("o_orderkey")).alias("before"),
+        F.when(~F.col("gone"), F.struct(*fields)).alias("after"),
+        F.when(F.col("gone"), "d").otherwise("c").alias("op"),
+        F.lit(0).alias("ts_ms"),
+    )
+    text = F.concat(F.lit(f'{{"schema":{json.dumps(_schema_block(fields))},"payload":'), F.to_json(payload), F.lit("}"))
+    return rows.select(text.cast("binary").alias("value"), (F.col("o_orderkey") + (10**12 if later else 0)).alias("offset"))
+
+
 # --- Two versions of orders: some rows go, some change status, urgent open ones are ordered again under a new key. ---
 
 ORDERS_AFTER_SQL = """orders_after AS (
