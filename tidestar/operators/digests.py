@@ -43,7 +43,7 @@ def differing_buckets(before: DataFrame, after: DataFrame) -> list[int]:
     """The buckets whose digests differ, or that one side lacks: at most one number for each bucket comes to the driver.
 
     Buckets of equal rows always have equal digests. Buckets of different rows have equal ones with a probability of about
-    2^-64 each, as the number of rows and 96 bits of two hashes must agree.
+    2^-96, as 96 bits of two hashes must agree, besides the number of rows.
     """
     b, a = before.alias("b"), after.alias("a")
     same = [F.col(f"b.{c}").eqNullSafe(F.col(f"a.{c}")) for c in ("n_rows", "xored", "summed")]
