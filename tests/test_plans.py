@@ -15,6 +15,7 @@ from tidestar.operators import (
     apply_changes,
     build_dim,
     build_dim_datetime,
+    build_fact,
     check_rules,
     diff_changes,
     duplicate_keys,
@@ -27,6 +28,7 @@ from tidestar.operators import (
 )
 from tidestar.plans import BucketedStar, clean_trips, run_batch, star_tables
 from tidestar.plans.batch import trips_of_day
+from tidestar.plans.star import code_dimensions
 from tidestar.functions import unwrap_cdc
 from tidestar.registry.fixtures import USER_ROW, trips, user_feed
 from tidestar.session import stored
@@ -243,3 +245,12 @@ def test_a_bucketed_star_is_joined_without_a_shuffle(spark, folder):
     assert rows(star.hot_times(clean).select("parts")) == [(4,)]
     star.write(clean.limit(0), f"{folder}/none")
     assert star.joined(spark).isEmpty()
+
+
+def test_described_codes_are_broadcast_however_many_tasks_find_them(spark):
+    many = clean_trips(trips(spark, SMALL)).repartition(64)
+    codes = code_dimensions(many)
+    dims = {name: codes[name] for name in ("dim_payment_type", "dim_ratecode")}
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="4KB"):
+        text = final_plan(star_join(build_fact(many), dims)).split("Initial Plan")[0]
+    assert "SortMergeJoin" not in text and "BroadcastHashJoin" in text

@@ -22,10 +22,11 @@ def distinct_dim(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def build_dim(df: DataFrame, key: str, codes: DataFrame | None = None) -> DataFrame:
     """Distinct keys of a dimension, described from a code list.
 
-    The lookup runs on the distinct keys, not on every row.
+    The lookup runs on the distinct keys, not on every row. The described rows pass a shuffle of their own, so that
+    a join to them knows their size as measured: by estimate it is a product that grows with the number of tasks.
     """
     keys = distinct_dim(df, [key])
-    return keys if codes is None else enrich(keys, codes, key)
+    return keys if codes is None else enrich(keys, codes, key).hint("rebalance")
 
 
 def build_dim_datetime(df: DataFrame, hashed: bool = True) -> DataFrame:
