@@ -254,3 +254,14 @@ def test_described_codes_are_broadcast_however_many_tasks_find_them(spark):
     with settings(spark, spark__sql__autoBroadcastJoinThreshold="4KB"):
         text = final_plan(star_join(build_fact(many), dims)).split("Initial Plan")[0]
     assert "SortMergeJoin" not in text and "BroadcastHashJoin" in text
+
+
+def test_a_larger_star_gets_more_buckets(spark, folder):
+    clean = clean_trips(trips(spark, SMALL))
+    n = clean.count()
+    star = BucketedStar("default", "more_", buckets=2, bucket_rows=n // 6)
+    star.write(clean, folder)
+    assert star.buckets_for(n) == len(spark.table("default.more_fact_trips").inputFiles()) >= 6
+    joined = star.joined(spark)
+    assert "Exchange" not in plan(joined) and joined.count() == n
+    assert [BucketedStar("default").buckets_for(k) for k in (0, 10**6, 10**8)] == [64, 64, 200]

@@ -21,25 +21,32 @@ class BucketedStar:
 
     The times are 16 bytes and exact, where the hash is 64. A time with more than a bucket's share of the trips is
     dealt over several parts, each with its own copy of the dimension's row, so that no task of the join takes it alone.
+    There are as many buckets as ``buckets`` says, or more where the trips have more than ``bucket_rows`` for each.
     """
 
     database: str
     prefix: str = ""
     buckets: int = 64
+    bucket_rows: int = 500_000
 
     def table(self, name: str) -> str:
         return f"{self.database}.{self.prefix}{name}"
 
-    def hot_times(self, trips: DataFrame) -> DataFrame:
+    def buckets_for(self, n_rows: int) -> int:
+        return max(self.buckets, -(-n_rows // self.bucket_rows))
+
+    def hot_times(self, trips: DataFrame, n_rows: int | None = None) -> DataFrame:
         """Times that hold more than a bucket's share, with their parts: fewer rows than buckets, whatever the data."""
+        n_rows = trips.count() if n_rows is None else n_rows
         counts = trips.groupBy(*schemas.EVENT_TIMES).agg(F.count(F.lit(1)).alias("n"))
-        share = max(trips.count(), 1) / self.buckets
+        share = max(n_rows, 1) / self.buckets_for(n_rows)
         hot = counts.where(F.col("n") > share).select(*schemas.EVENT_TIMES, F.ceil(F.col("n") / share).cast("int").alias("parts"))
         return trips.sparkSession.createDataFrame(hot.collect(), hot.schema)
 
     def write(self, trips: DataFrame, root: str) -> None:
         """Write clean trips, whose times are not null. Each table is shuffled once here, and by no join afterwards."""
-        hot = self.hot_times(trips)
+        n_rows = trips.count()
+        buckets, hot = self.buckets_for(n_rows), self.hot_times(trips, n_rows)
         parts = F.coalesce("parts", F.lit(1))
         number = F.pmod(F.monotonically_increasing_id(), F.lit(1 << 30))  # drawn before the join, which may move rows
         fact = with_datetime_hash(trips.withColumn("__number", number)).join(hot, schemas.EVENT_TIMES, "left")
@@ -48,8 +55,8 @@ class BucketedStar:
         copies = F.explode(F.sequence(F.lit(0), parts - 1)).alias(PART)
         dim = dim.join(hot, schemas.EVENT_TIMES, "left").select(*dim.columns, copies)
         for name, rows in (("fact_trips", fact), ("dim_datetime", dim)):
-            rows = rows.repartition(self.buckets, *LAYOUT)  # one file a bucket
-            writer = rows.write.format("parquet").mode("overwrite").bucketBy(self.buckets, *LAYOUT).sortBy(*LAYOUT)
+            rows = rows.repartition(buckets, *LAYOUT)  # one file a bucket
+            writer = rows.write.format("parquet").mode("overwrite").bucketBy(buckets, *LAYOUT).sortBy(*LAYOUT)
             writer.option("path", f"{root}/{name}").saveAsTable(self.table(name))
 
     def fact(self, spark: SparkSession) -> DataFrame:
