@@ -12,6 +12,7 @@ from tidestar.operators.enrich import enrich
 from tidestar.operators.quality import require_not_null
 
 FACT_COLUMNS = schemas.FACT_TRIPS.fieldNames()
+TIME_PREFIXES = {"pickup": "tpep_pickup_datetime", "dropoff": "tpep_dropoff_datetime"}
 RAW_FACT_COLUMNS = [c for c in schemas.WIRE_TRIPS.fieldNames()]
 
 
@@ -36,12 +37,17 @@ def build_dim_datetime(df: DataFrame, hashed: bool = True) -> DataFrame:
     8-byte values and only its survivors are hashed and split into parts.
     ``hashed=False`` gives the older layout: one row per trip, no key.
     """
-    times = df.select(*schemas.EVENT_TIMES)
-    parts = datetime_parts({"pickup": "tpep_pickup_datetime", "dropoff": "tpep_dropoff_datetime"})
-    if not hashed:
-        return times.select(*schemas.EVENT_TIMES, *parts)
-    pairs = require_not_null(times, schemas.EVENT_TIMES).distinct()
-    return with_datetime_hash(pairs).select("datetime_hash", *schemas.EVENT_TIMES, *parts)
+    return describe_times(distinct_times(df)) if hashed else df.select(*schemas.EVENT_TIMES, *datetime_parts(TIME_PREFIXES))
+
+
+def distinct_times(df: DataFrame) -> DataFrame:
+    """Each pickup and drop-off time once; all that has to be shuffled of ``dim_datetime``."""
+    return require_not_null(df.select(*schemas.EVENT_TIMES), schemas.EVENT_TIMES).distinct()
+
+
+def describe_times(pairs: DataFrame) -> DataFrame:
+    """Distinct times with their hash and parts, row by row."""
+    return with_datetime_hash(pairs).select("datetime_hash", *schemas.EVENT_TIMES, *datetime_parts(TIME_PREFIXES))
 
 
 def build_fact(df: DataFrame, hashed: bool = True) -> DataFrame:

@@ -15,7 +15,7 @@ from tidestar import schemas
 from tidestar.functions.decode import conform
 from tidestar.functions.derive import with_datetime_hash
 from tidestar.operators.changes import rows_to_insert
-from tidestar.operators.star import build_dim_datetime
+from tidestar.operators.star import describe_times, distinct_times
 from tidestar.plans.star import code_dimensions
 from tidestar.session import require_utc
 from tidestar.storage import folders_with, make_folder, remove_folder
@@ -27,6 +27,8 @@ BATCH = schemas.struct((schemas.TEXT, "run"), (schemas.LONG, "batch_id"))
 PICKUP = schemas.struct((schemas.INT, "pickup_year pickup_month"), (T.DateType(), "pickup_date"))
 #: The batch of a load of all days; a day that was loaded by itself afterwards stands in front of it.
 ALL_DAYS = -1
+#: Half of the stored bytes are hex digests, which only an entropy coder makes shorter.
+CODEC = "zstd"
 CODE_KEYS = [key for name, key in schemas.DIM_KEYS.items() if name != "dim_datetime"]
 
 
@@ -36,6 +38,13 @@ def _months_between(first: date, last: date) -> Column:
     return month.between(*[d.year * 12 + d.month for d in (first, last)])
 
 
+def _by_month(rows: DataFrame) -> DataFrame:
+    """Rows rebalanced by pickup month, and sorted by pickup time in it."""
+    pickup = F.col("tpep_pickup_datetime")
+    dated = rows.withColumns({"pickup_year": F.year(pickup), "pickup_month": F.month(pickup)})
+    return dated.hint("rebalance", *MONTH).sortWithinPartitions(*MONTH, "tpep_pickup_datetime")
+
+
 @dataclass(frozen=True)
 class StarStore:
     """The star under one folder.
@@ -113,23 +122,24 @@ class StarStore:
         replaces that day: the whole load's rows of the day are no longer read.
 
         A batch loaded again with no rows leaves none behind. The trips are read
-        three times: for the combinations of code keys (few, kept, and the
-        source of four dimensions), for the distinct times, and for the fact.
+        four times: for the combinations of code keys (few, kept, and the
+        source of four dimensions), for their months, for the distinct times, and for the fact.
         ``gated`` (see ``gated_trips``) has the same rows for the first of these, and a check after it that may raise
         before anything is written.
         """
         spark = trips.sparkSession
         require_utc(spark, "loading a star")
-        day = F.to_date("tpep_pickup_datetime")
+        pickup = F.col("tpep_pickup_datetime")
         first, check = gated or (trips, None)
-        codes = first.groupBy(*CODE_KEYS).agg(F.collect_set(F.year(day) * 12 + F.month(day)).alias("months"))
-        codes.persist(StorageLevel.MEMORY_AND_DISK)
+        codes = first.select(*CODE_KEYS).distinct().persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            months = [r[0] for r in codes.select(F.explode("months")).distinct().collect()]  # a number for each calendar month
+            found = codes.count()
             if check:
                 check()
-            if months:
-                self._merge_datetime(spark, build_dim_datetime(trips), months)
+            if found:
+                # A number for each calendar month. Apart from the codes: sets gathered by code are objects, and are sorted.
+                months = [r[0] for r in trips.select((F.year(pickup) * 12 + F.month(pickup)).alias("m")).distinct().collect()]
+                self._merge_datetime(trips, months)
                 for name, rows in code_dimensions(codes).items():
                     self._merge_codes(spark, name, rows)
         finally:
@@ -140,18 +150,19 @@ class StarStore:
         """A growing table's rows of some calendar months (year * 12 + month); no other folder is read."""
         return self.stored(spark, table).filter((F.col("pickup_year") * 12 + F.col("pickup_month")).isin(months))
 
-    def _merge_datetime(self, spark: SparkSession, rows: DataFrame, months: list[int]) -> None:
+    def _merge_datetime(self, trips: DataFrame, months: list[int]) -> None:
         """Only rows of the batch's months can hold its keys, so only those are read: one odd date adds its month.
 
         The hash is a function of the two times, which are never null and by which the rows were made
-        distinct, so the times are joined, and the rows stay where they are.
+        distinct, so the times are joined, and nothing but the times is shuffled: the rest is derived as it is written.
         """
         name = "dim_datetime"
-        target = self.of_months(spark, name, months)
-        rows = conform(rows, schemas.STAR_TABLES[name])
-        new = rows_to_insert(target, rows, list(schemas.EVENT_TIMES), null_safe=False, unique=True)
-        new = new.hint("rebalance", *MONTH).sortWithinPartitions(*MONTH, "tpep_pickup_datetime")
-        new.write.mode("append").partitionBy(*MONTH).parquet(self.path(name))
+        stored = schemas.STAR_TABLES[name]
+        target = self.of_months(trips.sparkSession, name, months)
+        pairs = conform(distinct_times(trips), T.StructType([stored[c] for c in schemas.EVENT_TIMES]))
+        new = rows_to_insert(target, pairs, list(schemas.EVENT_TIMES), null_safe=False, unique=True)
+        new = conform(describe_times(_by_month(new)), stored)
+        new.write.mode("append").option("compression", CODEC).partitionBy(*MONTH).parquet(self.path(name))
 
     def _merge_codes(self, spark: SparkSession, name: str, rows: DataFrame) -> None:
         """Most batches bring no new code; skipping their write spares the table a trail of empty files."""
@@ -165,16 +176,15 @@ class StarStore:
             new.unpersist()
 
     def _write_fact(self, trips: DataFrame, run: str, batch_id: int | None) -> None:
-        """Rebalancing by month writes few files, and splits a month too big for one task."""
-        pickup = F.col("tpep_pickup_datetime")
-        dated = with_datetime_hash(trips).withColumns(
-            {"pickup_year": F.year(pickup), "pickup_month": F.month(pickup), "pickup_date": F.to_date(pickup)}
-        )
+        """Rebalancing by month writes few files, and splits a month too big for one task. The hash is taken after it."""
+        kept = [c for c in trips.columns if c in schemas.FACT_TRIPS.names and c != "datetime_hash"]
+        dated = with_datetime_hash(_by_month(trips.select(*kept, *schemas.EVENT_TIMES)))
+        dated = dated.withColumn("pickup_date", F.to_date("tpep_pickup_datetime"))
         rows = conform(dated, T.StructType([*schemas.FACT_TRIPS, *PICKUP]))
         whole = batch_id is None
         folder = f"{self.path('fact_trips')}/run={run}/batch_id={ALL_DAYS if whole else batch_id}"
-        rows = rows.hint("rebalance", *MONTH).sortWithinPartitions(*MONTH, "pickup_date")
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*MONTH).parquet(folder)
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", CODEC)
+        writer.partitionBy(*MONTH).parquet(folder)
         if whole:
             for old in self._batches(trips.sparkSession, run, "*"):
                 if not old.endswith(f"/batch_id={ALL_DAYS}"):
