@@ -12,7 +12,7 @@ from tidestar import schemas
 from tidestar.operators import build_dim, build_dim_datetime, build_fact, enrich, orphans, star_join
 from tidestar.operators.star import FACT_COLUMNS, RAW_FACT_COLUMNS
 from tidestar.plans import BucketedStar, clean_trips, payment_summary, run_batch, star_tables
-from tidestar.plans.star import code_dimensions
+from tidestar.plans.star import code_dimensions, packed_times
 from tidestar.registry.base import ORACLE, query, without_zone
 from tidestar.registry.fixtures import (
     CLEAN_SQL,
@@ -221,7 +221,7 @@ def batch_star_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every day loaded into stored star tables, then read back per day folder and joined to its times."""
     store = run_batch(spark, trips(spark, sf_dir), work_dir(spark, "batch_star"))
     times = store.read(spark, "dim_datetime").select("datetime_hash", "tpep_pickup_datetime")
-    joined = star_join(store.stored(spark, "fact_trips"), {"dim_datetime": times})
+    joined = star_join(packed_times(store.stored(spark, "fact_trips")), {"dim_datetime": packed_times(times)})
     daily = joined.groupBy("pickup_date").agg(
         F.count("tpep_pickup_datetime").alias("n_trips"),
         F.countDistinct("datetime_hash").alias("n_times"),
