@@ -28,7 +28,9 @@ from tidestar.operators import (
 )
 from tidestar.plans import BucketedStar, clean_trips, run_batch, star_tables
 from tidestar.plans.batch import trips_of_day
-from tidestar.plans.star import code_dimensions
+from tidestar.operators.star import describe_times, distinct_times
+from tidestar.plans.star import code_dimensions, packed_times
+from tidestar.plans.store import _by_month
 from tidestar.functions import unwrap_cdc
 from tidestar.registry.fixtures import USER_ROW, trips, user_feed
 from tidestar.session import stored
@@ -265,3 +267,23 @@ def test_a_larger_star_gets_more_buckets(spark, folder):
     joined = star.joined(spark)
     assert "Exchange" not in plan(joined) and joined.count() == n
     assert [BucketedStar("default").buckets_for(k) for k in (0, 10**6, 10**8)] == [64, 64, 200]
+
+
+def test_a_load_shuffles_times_and_hashes_afterwards(spark, folder):
+    clean = clean_trips(trips(spark, SMALL))
+    text = plan(describe_times(_by_month(distinct_times(clean))))
+    assert text.index("sha2(") < text.index("REBALANCE") and text.count("sha2(") == 1
+    store = run_batch(spark, trips(spark, SMALL), f"{folder}/star")
+    for name in ("fact_trips", "dim_datetime"):
+        files = store.stored(spark, name).inputFiles()
+        assert files and all(f.endswith(".zstd.parquet") for f in files)
+    assert rows(store.read(spark, "fact_trips").select("datetime_hash")) == rows(build_fact(clean).select("datetime_hash"))
+
+
+def test_packed_digests_are_equal_only_for_equal_text(spark):
+    digest = "0123456789abcdef" * 4
+    texts = [digest, digest.upper(), f"{digest}\n", digest[:62], "", "a" * 32, bytes.fromhex(digest).decode("latin1"), None]
+    df = spark.createDataFrame([(t,) for t in texts], "datetime_hash string")
+    packed = packed_times(df)
+    assert packed.distinct().count() == len(texts) and packed.filter("datetime_hash IS NULL").count() == 1
+    assert packed.agg(F.min(F.length("datetime_hash"))).first()[0] == 32
