@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import tracemalloc
 from collections import Counter, defaultdict
 from itertools import combinations, pairwise
 from math import log10
@@ -503,6 +504,31 @@ def test_batches_score_as_places_one_by_one(small_model):
     assert np.allclose(model.score(vocabulary, texts[:5]), want, rtol=1e-4)
 
 
+def test_counting_takes_few_bytes_a_place(small_model):
+    vocabulary, _, texts = small_model
+    side = attention.CLASSES + 1
+    want = np.zeros((2 * side, side), np.int32)
+    for text in texts:
+        ids = vocabulary.of[np.append(np.frombuffer(text, "<u2"), END)].tolist()
+        sequence = [vocabulary.of[END], *ids]
+        for i, c in enumerate(sequence[:-1]):
+            want[c, sequence[i + 1]] += 1
+            for d in attention.LATER:
+                want[side + c, sequence[i + 1 + d] if i + 1 + d < len(sequence) else attention.PAD] += 1
+    total = np.zeros(2 * side * side, np.int32)
+    many = texts * 100
+    tracemalloc.start()
+    blocks = attention.Blocks(vocabulary, many)
+    for cells in attention.following_cells(blocks):
+        np.add.at(total, cells, np.int32(1))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 24 * blocks.inputs.size + 1_000_000  # 32 and more for the blocks alone before
+    got = total.reshape(2 * side, side)
+    assert (got[:, : attention.PAD][: attention.PAD] == 100 * want[:, : attention.PAD][: attention.PAD]).all()
+    assert (got[side:-1, : attention.PAD] == 100 * want[side:-1, : attention.PAD]).all()
+
+
 def test_gradients_are_those_of_the_score(small_model):
     vocabulary, model, texts = small_model
     blocks = attention.Blocks(vocabulary, texts[:3])
