@@ -14,7 +14,7 @@ from test_streams import one_by_one
 
 from tidestar import schemas
 from tidestar.operators import Gate, RulesViolated, bucket_digests, check_rules, diff_by_digest, diff_changes, differing_buckets
-from tidestar.plans import DigestedVersions, StarStore, run_batch
+from tidestar.plans import DigestedVersions, StarStore, clean_trips, run_batch
 from tidestar.registry.base import table
 from tidestar.registry.fixtures import messy_trip_feed, orders_after, trips
 from tidestar.sources import LedgerTable
@@ -253,3 +253,20 @@ def test_a_gate_stops_a_stream(spark, folder):
     with pytest.raises(Exception, match="too many violate"):
         run(start_star(topic(), StarStore(f"{folder}/c"), f"{folder}/cc", gate=Gate(schemas.TRIP_RULES, share=0.0)))
     assert list(Path(folder, "c").rglob("*.parquet")) == []
+
+
+def test_kept_codes_have_no_more_partitions_than_run_at_once(spark, folder):
+    tracker, before = spark.sparkContext.statusTracker(), spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "97")
+    spark.sparkContext.setJobGroup("kept codes", "a load")
+    try:
+        store = StarStore(f"{folder}/star")
+        store.create(spark)
+        store.load(clean_trips(trips(spark, SMALL)), "r", 0)
+    finally:
+        spark.sparkContext.setJobGroup("none", "none")
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("kept codes")]
+    tasks = [tracker.getStageInfo(k) for j in jobs for k in j.stageIds]
+    assert jobs and max(t.numTasks for t in tasks if t) < 97
+    assert store.read(spark, "dim_payment_type").count() == clean_trips(trips(spark, SMALL)).select("payment_type").distinct().count()

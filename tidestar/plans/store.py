@@ -45,6 +45,11 @@ def _by_month(rows: DataFrame) -> DataFrame:
     return dated.hint("rebalance", *MONTH).sortWithinPartitions(*MONTH, "tpep_pickup_datetime")
 
 
+def _kept(codes: DataFrame) -> DataFrame:
+    """Few rows, kept for several jobs, each of which runs a task for every partition: not more of these than run at once."""
+    return codes.coalesce(codes.sparkSession.sparkContext.defaultParallelism).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 @dataclass(frozen=True)
 class StarStore:
     """The star under one folder.
@@ -131,7 +136,7 @@ class StarStore:
         require_utc(spark, "loading a star")
         pickup = F.col("tpep_pickup_datetime")
         first, check = gated or (trips, None)
-        codes = first.select(*CODE_KEYS).distinct().persist(StorageLevel.MEMORY_AND_DISK)
+        codes = _kept(first.select(*CODE_KEYS).distinct())
         try:
             found = codes.count()
             if check:
@@ -167,8 +172,7 @@ class StarStore:
     def _merge_codes(self, spark: SparkSession, name: str, rows: DataFrame) -> None:
         """Most batches bring no new code; skipping their write spares the table a trail of empty files."""
         rows = conform(rows, schemas.STAR_TABLES[name])
-        new = rows_to_insert(self.read(spark, name), rows, [schemas.DIM_KEYS[name]], self.null_safe, unique=True)
-        new.persist(StorageLevel.MEMORY_AND_DISK)
+        new = _kept(rows_to_insert(self.read(spark, name), rows, [schemas.DIM_KEYS[name]], self.null_safe, unique=True))
         try:
             if not new.isEmpty():
                 new.hint("rebalance").write.mode("append").parquet(self.path(name))
