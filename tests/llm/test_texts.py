@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import pickle
 import tracemalloc
 from collections import Counter, defaultdict
 from itertools import combinations, pairwise
@@ -529,6 +530,57 @@ def test_counting_takes_few_bytes_a_place(small_model):
     assert (got[side:-1, : attention.PAD] == 100 * want[side:-1, : attention.PAD]).all()
 
 
+def test_the_driver_takes_and_sends_counts_in_few_bytes(spark, monkeypatch):
+    docs = spark.createDataFrame([row(i, prose(i, 400)) for i in range(40)], documents(spark).schema)
+    sent, taken, send = [], [], type(spark.sparkContext).broadcast
+    local = type(docs).toLocalIterator
+
+    def taking(df, *args):  # noqa: ANN001, ANN002, ANN202
+        for r in local(df, *args):
+            taken.append(len(r["sums"]))
+            yield r
+
+    monkeypatch.setattr(type(docs), "toLocalIterator", taking)
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda sc, value: sent.append(len(pickle.dumps(value, 5))) or send(sc, value))
+    tracemalloc.start()
+    got = attention.score_documents(docs, RANKS, END)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.count() == 40
+    assert sum(taken) < 2_000_000  # 75 MB before: all counts in 64 bits, zeros too
+    assert sum(sent) < 3_000_000  # 46 MB before: the values
+    assert peak < 40_000_000
+
+
+def test_values_unfold_to_those_of_all_counts(spark, small_model):
+    vocabulary, _, texts = small_model
+    table = spark.createDataFrame([(t,) for t in texts * 3], "ids binary")
+    tables = attention.learn_values(table, spark.sparkContext.broadcast(vocabulary))
+    side, sequences = attention.CLASSES + 1, []
+    for text in texts * 3:
+        ids = vocabulary.of[np.append(np.frombuffer(text, "<u2"), END)].tolist()
+        sequences.append([int(vocabulary.of[END]), *ids])
+    following, later = np.zeros((side, side)), np.zeros((side, side))
+    for s in sequences:
+        for i in range(len(s) - 1):
+            following[s[i], s[i + 1]] += 1
+            for d in attention.LATER:
+                later[s[i], s[i + 1 + d] if i + 1 + d < len(s) else attention.PAD] += 1
+    cut = lambda t: t[: attention.CLASSES, : attention.CLASSES].astype(np.float32)
+    want = attention.Values(vocabulary.unigram, cut(following), cut(later))
+    number = {p: k for k, p in enumerate(zip(*attention.frequent_pairs(cut(following)).tolist(), strict=True))}
+    counts = np.zeros((len(number), attention.CLASSES), np.float32)
+    for s in sequences:
+        for i in range(len(s) - 2):
+            if (s[i], s[i + 1]) in number:
+                counts[number[s[i], s[i + 1]], s[i + 2]] += 1
+    want.add_pairs([(0, counts)])
+    got = pickle.loads(pickle.dumps(tables)).values()
+    for name in ("unigram", "later", "row"):
+        assert (getattr(got, name) == getattr(want, name)).all()
+    assert np.allclose(got.own, want.own, rtol=1e-6, atol=0)
+
+
 def test_gradients_are_those_of_the_score(small_model):
     vocabulary, model, texts = small_model
     blocks = attention.Blocks(vocabulary, texts[:3])
