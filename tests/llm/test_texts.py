@@ -598,3 +598,119 @@ def test_gradients_are_those_of_the_score(small_model):
         model.parameters[name][at] = old
         model.prepare()
         assert (sides[0] - sides[1]) / 0.04 == pytest.approx(gradients[name][at], rel=0.05, abs=0.02)
+
+@pytest.fixture(scope="module")
+def rare_model(spark):
+    """A model of 3,000 subword ids, two thirds of which share a class, where most ids tell the next one."""
+    random, texts = np.random.default_rng(3), []
+    for _ in range(60):
+        ids = [int(random.integers(3000))]
+        for _ in range(int(random.integers(400))):
+            ids.append((ids[-1] * 7 + 5) % 3000 if random.random() < 0.7 else int(random.integers(3000)))
+        texts.append(np.array(ids, "<u2").tobytes())
+    counts = np.bincount(np.frombuffer(b"".join(texts), "<u2"), minlength=END + 1).astype(float)
+    counts[END] = len(texts)
+    vocabulary = attention.Vocabulary(counts)
+    table = spark.createDataFrame([(t,) for t in texts], "ids binary").repartition(3)
+    values = pickle.loads(pickle.dumps(attention.learn_values(table, spark.sparkContext.broadcast(vocabulary)))).values()
+    return vocabulary, attention.Model(attention.start_parameters(), values), texts
+
+
+def rare_sequences(vocabulary, texts):  # noqa: ANN001, ANN201
+    return [[END, *np.frombuffer(t, "<u2").tolist(), END] for t in texts], vocabulary.of.tolist(), vocabulary.rare.tolist()
+
+
+def kind(vocabulary, group, i):  # noqa: ANN001, ANN201
+    return attention.GROUPS + vocabulary.rare[i] % attention.BANDS if vocabulary.rare[i] >= 0 else group[vocabulary.of[i]]
+
+
+def test_rare_ids_are_counted_by_kind(rare_model):
+    vocabulary, model, texts = rare_model
+    sequences, of, rare = rare_sequences(vocabulary, texts)
+    lifts, shares = model.values.lifts, vocabulary.shares()
+    assert len(shares) == END + 1 - (attention.CLASSES - 1) and shares.sum() == pytest.approx(1, abs=1e-4)
+    counts = np.zeros((4, len(shares), attention.KINDS))
+    for s in sequences:
+        for d in (0, *attention.LATER):
+            for a, b in zip(s, s[1 + d :], strict=False):
+                if rare[a] >= 0:
+                    counts[min(d, 1), rare[a], lifts.group[of[b]]] += 1
+                if rare[b] >= 0:
+                    counts[2 + min(d, 1), rare[b], kind(vocabulary, lifts.group, a)] += 1
+    for got, table, rows in ((lifts.next_own, counts[0], model.values.own), (lifts.next_later, counts[1], model.values.later)):
+        base = np.bincount(lifts.group[: attention.CLASSES], rows.reshape(-1, attention.CLASSES)[attention.OTHER], attention.KINDS)
+        want = (table + attention.SMOOTH * base) / (table.sum(axis=1, keepdims=True) + attention.SMOOTH)
+        assert np.allclose(got[: len(shares)] * base, want, rtol=1e-3)
+    for got, table in ((lifts.after_own, counts[2]), (lifts.after_later, counts[3])):
+        want = (table + attention.RARE_SMOOTH * shares[:, None]) / (table.sum(axis=0) + attention.RARE_SMOOTH)
+        assert np.allclose(got[: len(shares)] * shares[:, None], want, rtol=1e-3)
+
+
+def test_rare_ids_score_as_places_one_by_one(rare_model):
+    vocabulary, model, texts = rare_model
+    v, p, lifts = model.values, model.parameters, model.values.lifts
+    own_rows, later_rows = v.own.reshape(-1, attention.CLASSES), v.later.reshape(-1, attention.CLASSES)
+    want, sums = [], []
+    for text in texts[:4]:
+        ids, total = [END, *np.frombuffer(text, "<u2").tolist(), END], 0.0
+        for i in range(len(ids) - 1):
+            context = ids[max(0, i // attention.BLOCK * attention.BLOCK - attention.BLOCK) : i + 1]
+            classes, own = vocabulary.of[context], vocabulary.of[ids[i]]
+            s = p["key"][classes] @ p["query"][own] + p["offset"][np.arange(len(context))[::-1]]
+            s[-1] += p["near"][own]
+            weight, none = np.exp(s.astype(float)), np.exp(float(p["none"][own]))
+            by_class, by_id = none * v.unigram.astype(float), none * np.ones(len(lifts.after_own))
+            for j, (w, c, a) in enumerate(zip(weight, classes, context, strict=True)):
+                direct, rank = j == len(context) - 1, vocabulary.rare[a]
+                before = classes[-2] if len(context) > 1 else attention.PAD
+                row = later_rows[c] if not direct else own_rows[attention.OTHER] if rank >= 0 else own_rows[v.row[before * (attention.CLASSES + 1) + c]]
+                if rank >= 0:
+                    row = row * (lifts.next_own if direct else lifts.next_later)[rank, lifts.group[: attention.CLASSES]]
+                by_class += w * row
+                by_id += w * (lifts.after_own if direct else lifts.after_later)[:, kind(vocabulary, lifts.group, a)]
+            by_class, by_id = by_class / (weight.sum() + none), by_id / (weight.sum() + none)
+            shares = vocabulary.shares().astype(float)
+            sums.append(by_class[:-1].sum() + by_class[-1] * (shares * by_id[: len(shares)]).sum())
+            c, rank = vocabulary.of[ids[i + 1]], vocabulary.rare[ids[i + 1]]
+            total += log10(by_class[c]) + (log10(shares[rank] * by_id[rank]) if rank >= 0 else 0)
+        want.append(total)
+    assert np.allclose(sums, 1, atol=1e-3)  # over all subword ids
+    assert np.allclose(model.score(vocabulary, texts[:4]), want, rtol=1e-4)
+
+
+def test_context_tells_rare_ids_apart(rare_model):
+    vocabulary, model, _ = rare_model
+    by_rank = np.argsort(vocabulary.rare)[-len(vocabulary.shares()) :]
+    seen = next(i for i in by_rank.tolist() if vocabulary.rare[(i * 7 + 5) % 3000] >= 0 and i < 3000)
+    text = lambda *ids: np.array(ids, "<u2").tobytes()
+    after = (seen * 7 + 5) % 3000
+    score = lambda *ids: float(model.score(vocabulary, [text(*ids)])[0])
+    lift = lambda first: score(first, after) - score(first)
+    others = [lift(i) for i in by_rank[:40].tolist() if i % 3000 != seen and vocabulary.rare[i] % attention.BANDS != vocabulary.rare[seen] % attention.BANDS]
+    assert lift(seen) > max(others)  # all equal before: after any id of the class, an id had its share of the class
+    a, b = (int(i) for i in by_rank[:2])
+    follower = lambda first, c: score(first, c) - score(first)
+    assert any(abs(follower(a, c) - follower(b, c)) > 1e-6 for c in np.flatnonzero(vocabulary.of < 20).tolist())
+
+
+def test_gradients_with_rare_ids_are_those_of_the_score(rare_model):
+    vocabulary, model, texts = rare_model
+    blocks = attention.Blocks(vocabulary, texts[:6])
+    here, x, keys, y = next(blocks.windows(1000))
+    rare, real = model.rare(blocks, here), y != attention.PAD
+    gradients = model.gradients(x, keys, y, rare)
+
+    def score():  # noqa: ANN202
+        f = model.attend(x, keys, np.where(real, y, 0), rare)
+        return float(np.log(f["chance"].astype(float))[real].sum() + np.log(model.choose(f, rare)[2].astype(float)).sum())
+
+    for name in attention.SHAPES:
+        at = np.unravel_index(np.argmax(np.abs(gradients[name])), gradients[name].shape)
+        old, sides = model.parameters[name][at], []
+        for step in (0.02, -0.02):
+            model.parameters[name][at] = old + step
+            model.prepare()
+            sides.append(score())
+        model.parameters[name][at] = old
+        model.prepare()
+        assert (sides[0] - sides[1]) / 0.04 == pytest.approx(gradients[name][at], rel=0.05, abs=0.05)
