@@ -9,11 +9,14 @@ from collections import Counter, defaultdict
 from fractions import Fraction
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
+import xxhash
 from cases import documents, empty, lower, row
 from conftest import SMALL
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tidestar.llm import collocations, multi_index, whitening
 
@@ -55,6 +58,24 @@ def got_collocations(docs, least, share=80, best=2000):  # noqa: ANN001, ANN201
     return sorted(tuple(r)[:8] for r in rows), {(r.lang, tuple(r.phrase.split(" "))): r.doc_id for r in rows}
 
 
+def test_stored_hashes_are_read_and_sent_in_small_parts(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "SLICE", 50_000)
+    texts = spark.createDataFrame([(f"en{i % 2}", f"w{i} a b " * 4000) for i in range(120)], "lang string, text string").coalesce(1)
+    words = collocations.hashed(texts)
+    files = [pq.ParquetFile(f.removeprefix("file:").replace("//", "/")).metadata for f in words.inputFiles()]
+    groups = [m.row_group(i) for m in files for i in range(m.num_row_groups)]
+    assert sum(g.num_rows for g in groups) == words.count() > 100
+    assert max(g.num_rows for g in groups) <= 16  # one group of all rows before: a reader unfolds it as a whole
+    assert words.agg(F.sum("n")).first()[0] == 120 * 3 * 4000
+    monkeypatch.setattr(collocations, "SENT", 3)
+    monkeypatch.setattr(collocations, "HELD", 50_000)
+    marked = collocations.Bitmap(collocations.frequent_prints(words, 1, None, 200_000))  # a and b: 240,000 in each language
+    print_of = collocations.Prints()
+    for lang in ("en0", "en1"):
+        hashes = [np.array([xxhash.xxh3_64_intdigest(w)], np.uint64) for w in (b"a", b"b", b"w7")]
+        assert [bool(marked(print_of(h, lang, 1)[0])[0]) for h in hashes] == [True, True, False]
+
+
 def test_collocations_of_awkward_documents(spark):
     extra = [row(60, "New York\tis big; new york is Big!\x0bnew york\x0cnew york\rnew york"), row(61, "é É é É a\x1cb a\x1cb a\x1cb", "und"), row(62, "é É é É", None)]
     docs = documents(spark).unionByName(spark.createDataFrame([e for e in extra], documents(spark).schema)).repartition(5)

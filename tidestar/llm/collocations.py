@@ -40,8 +40,20 @@ BITS = 1 << 26
 CACHE_WORDS = 150_000
 #: Bytes of text that a task takes at a time; its tokens take some fifteen times as much.
 SLICE = 2_000_000
+#: Of the stored hashes, whose rows are some megabytes each: a writer holds a row group, and a reader unfolds up to 4,096 rows
+#: of one at once, so groups have few rows and bytes, and are measured at each row, not after a hundred.
+ROW_GROUPS = {
+    "parquet.compression.codec.zstd.level": "6",
+    "parquet.page.size": "8000000",
+    "parquet.block.row.count.limit": "16",
+    "parquet.block.size": "4000000",
+    "parquet.block.size.row.check.min": "1",
+    "parquet.page.size.row.check.min": "1",
+}
 #: Fingerprints that a task holds before it sends them.
 HELD = 2_000_000
+#: Of these with their counts, those that go to the executor at a time.
+SENT = 100_000
 
 TOKEN = re.compile(rb"[^ \n]+|\n")
 MARK = b"\n"
@@ -148,7 +160,7 @@ def hashed(texts: DataFrame) -> DataFrame:
             yield dict(zip(("lang", "n", "hashes"), zip(*parts, strict=True), strict=True)) if parts else {"lang": [], "n": [], "hashes": []}
 
     path = work_dir(texts.sparkSession, "hashed")
-    map_slices(texts.select("lang", "text"), HASHED, run, SLICE).write.option("compression", "zstd").parquet(path)
+    map_slices(texts.select("lang", "text"), HASHED, run, SLICE).write.options(compression="zstd", **ROW_GROUPS).parquet(path)
     return texts.sparkSession.read.schema(HASHED).parquet(path)
 
 
@@ -162,10 +174,12 @@ def frequent_prints(words: DataFrame, length: int, shorter: bytes | None, least:
         likely = Bitmap(sent.value) if sent.value else None
         held: list[np.ndarray] = []
 
-        def send() -> pa.RecordBatch:
+        def send() -> Iterator[pa.RecordBatch]:
             found, n = np.unique(np.concatenate(held), return_counts=True)
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(found.astype(np.uint32).view(np.int32)), pa.array(n.astype(np.int64))], schema=schema)
+            for at in range(0, len(found), SENT):  # the executor holds a batch as a whole
+                rows = found[at : at + SENT].view(np.int32), n[at : at + SENT].astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in rows], schema=schema)
 
         for batch in batches:
             for lang, raw in zip(batch.column("lang").to_pylist(), batch.column("hashes"), strict=True):
@@ -174,11 +188,11 @@ def frequent_prints(words: DataFrame, length: int, shorter: bytes | None, least:
                 if likely and len(found):
                     part = likely(prints(hashes, lang, length - 1)[0])
                     whole &= part[:-1] & part[1:]
-                held.append(found[whole])
-            if sum(map(len, held)) > HELD:
-                yield send()
+                held.append(found[whole].astype(np.uint32))
+                if sum(map(len, held)) > HELD:
+                    yield from send()
         if held:
-            yield send()
+            yield from send()
 
     rows = bounded_batches(words.select("lang", "hashes")).mapInArrow(run, "fp int, n bigint")
     counts = rows.groupBy("fp").agg(F.sum("n").alias("n"))
