@@ -5,7 +5,9 @@ from __future__ import annotations
 import re
 from contextlib import contextmanager
 from datetime import date
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from conftest import SMALL, final_plan, plan, rows
 from pyspark.sql import functions as F
@@ -32,6 +34,7 @@ from tidestar.operators.star import describe_times, distinct_times
 from tidestar.plans.star import code_dimensions, packed_times
 from tidestar.plans.store import _by_month
 from tidestar.functions import unwrap_cdc
+from tidestar.registry import QUERIES
 from tidestar.registry.fixtures import USER_ROW, trips, user_feed
 from tidestar.session import stored
 from tidestar.sources import payment_types
@@ -269,6 +272,23 @@ def test_a_larger_star_gets_more_buckets(spark, folder):
     assert [BucketedStar("default").buckets_for(k) for k in (0, 10**6, 10**8)] == [64, 64, 200]
 
 
+def test_a_bucketed_star_shuffles_times_and_stores_small(spark, folder):
+    clean = clean_trips(skewed_trips(spark, 0.4))
+    star = BucketedStar("default", "small_", buckets=8)
+    for rows_of in star.laid(clean)[1].values():
+        text = plan(rows_of)
+        assert text.count("sha2(") == 1 and text.index("sha2(") < text.index("REPARTITION_BY_NUM")  # the plan's last step stands first
+    star.write(clean, folder)
+    for name in ("fact_trips", "dim_datetime"):
+        for file in Path(folder, name).glob("*.parquet"):
+            assert pq.ParquetFile(file).metadata.row_group(0).column(0).compression == "ZSTD"
+
+
+def test_a_bucketed_star_is_joined_to_its_codes_without_a_shuffle(spark):
+    text = final_plan(QUERIES["star_join_bucketed"](spark, SMALL))
+    assert "hashpartitioning" not in text and text.split("Initial Plan")[0].count("BroadcastHashJoin") == 2
+
+
 def test_a_load_shuffles_times_and_hashes_afterwards(spark, folder):
     clean = clean_trips(trips(spark, SMALL))
     text = plan(describe_times(_by_month(distinct_times(clean))))

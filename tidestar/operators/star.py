@@ -45,9 +45,9 @@ def distinct_times(df: DataFrame) -> DataFrame:
     return require_not_null(df.select(*schemas.EVENT_TIMES), schemas.EVENT_TIMES).distinct()
 
 
-def describe_times(pairs: DataFrame) -> DataFrame:
-    """Distinct times with their hash and parts, row by row."""
-    return with_datetime_hash(pairs).select("datetime_hash", *schemas.EVENT_TIMES, *datetime_parts(TIME_PREFIXES))
+def describe_times(pairs: DataFrame, *more: str) -> DataFrame:
+    """Distinct times with their hash and parts, row by row, and ``more`` columns."""
+    return with_datetime_hash(pairs).select("datetime_hash", *schemas.EVENT_TIMES, *datetime_parts(TIME_PREFIXES), *more)
 
 
 def build_fact(df: DataFrame, hashed: bool = True) -> DataFrame:

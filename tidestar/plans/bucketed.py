@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidestar import schemas
 from tidestar.functions.derive import with_datetime_hash
-from tidestar.operators.star import FACT_COLUMNS, build_dim_datetime
+from tidestar.operators.star import FACT_COLUMNS, describe_times, distinct_times
 
 PART = "time_part"
 LAYOUT = [*schemas.EVENT_TIMES, PART]
@@ -43,21 +43,26 @@ class BucketedStar:
         hot = counts.where(F.col("n") > share).select(*schemas.EVENT_TIMES, F.ceil(F.col("n") / share).cast("int").alias("parts"))
         return trips.sparkSession.createDataFrame(hot.collect(), hot.schema)
 
-    def write(self, trips: DataFrame, root: str) -> None:
-        """Write clean trips, whose times are not null. Each table is shuffled once here, and by no join afterwards."""
+    def laid(self, trips: DataFrame) -> tuple[int, dict[str, DataFrame]]:
+        """The number of buckets, and the rows of each table dealt to them; times are hashed and described after their shuffle."""
         n_rows = trips.count()
         buckets, hot = self.buckets_for(n_rows), self.hot_times(trips, n_rows)
         parts = F.coalesce("parts", F.lit(1))
         number = F.pmod(F.monotonically_increasing_id(), F.lit(1 << 30))  # drawn before the join, which may move rows
-        fact = with_datetime_hash(trips.withColumn("__number", number)).join(hot, schemas.EVENT_TIMES, "left")
-        fact = fact.withColumn(PART, F.pmod("__number", parts).cast("int")).select(*FACT_COLUMNS, *LAYOUT)
-        dim = build_dim_datetime(trips)
+        own = [c for c in FACT_COLUMNS if c != "datetime_hash"]
+        fact = trips.select(*own, *schemas.EVENT_TIMES, number.alias("__number")).join(hot, schemas.EVENT_TIMES, "left")
+        fact = fact.select(*own, *schemas.EVENT_TIMES, F.pmod("__number", parts).cast("int").alias(PART))
         copies = F.explode(F.sequence(F.lit(0), parts - 1)).alias(PART)
-        dim = dim.join(hot, schemas.EVENT_TIMES, "left").select(*dim.columns, copies)
-        for name, rows in (("fact_trips", fact), ("dim_datetime", dim)):
-            rows = rows.repartition(buckets, *LAYOUT)  # one file a bucket
+        times = distinct_times(trips).join(hot, schemas.EVENT_TIMES, "left").select(*schemas.EVENT_TIMES, copies)
+        fact, times = (rows.repartition(buckets, *LAYOUT) for rows in (fact, times))  # one file a bucket
+        return buckets, {"fact_trips": with_datetime_hash(fact).select(*FACT_COLUMNS, *LAYOUT), "dim_datetime": describe_times(times, PART)}
+
+    def write(self, trips: DataFrame, root: str) -> None:
+        """Write clean trips, whose times are not null. Each table is shuffled once here, and by no join afterwards."""
+        buckets, tables = self.laid(trips)
+        for name, rows in tables.items():
             writer = rows.write.format("parquet").mode("overwrite").bucketBy(buckets, *LAYOUT).sortBy(*LAYOUT)
-            writer.option("path", f"{root}/{name}").saveAsTable(self.table(name))
+            writer.option("compression", "zstd").option("path", f"{root}/{name}").saveAsTable(self.table(name))
 
     def fact(self, spark: SparkSession) -> DataFrame:
         return spark.table(self.table("fact_trips")).select(*FACT_COLUMNS)

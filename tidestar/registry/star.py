@@ -24,7 +24,7 @@ from tidestar.registry.fixtures import (
     captured_changes,
     trips,
 )
-from tidestar.session import work_dir
+from tidestar.session import stored, work_dir
 from tidestar.sources import payment_types, rate_codes
 from tidestar.streaming import captured_state
 
@@ -133,7 +133,8 @@ def star_join_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean = _clean(spark, sf_dir)
     star = BucketedStar("default", f"star_{uuid.uuid4().hex}_", buckets=16)
     star.write(clean, work_dir(spark, "bucketed_star"))
-    return without_zone(star_join(star.joined(spark), code_dimensions(clean)))
+    codes = {name: stored(rows, name) for name, rows in code_dimensions(clean).items()}  # of known size: else the joined rows are shuffled
+    return without_zone(star_join(star.joined(spark), codes))
 
 
 SUMMARY_SQL = f"""WITH {CLEAN_SQL}, {PAYMENTS_SQL}
